@@ -29,9 +29,30 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.secrets import secret_scan
+
+    return secret_scan(documents(spark, sf_dir))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.mixing import mix_digest
+
+    return mix_digest(documents(spark, sf_dir))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.quality import quality
+
+    return quality(documents(spark, sf_dir)).drop("rejected_by")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
+    "op5_secrets": op5_secrets,
+    "op8_mixing": op8_mixing,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {}
