@@ -29,6 +29,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.toxicity import toxicity
+
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinicweave.llm.secrets import secret_scan
 
@@ -50,6 +56,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op5_secrets": op5_secrets,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from clinicweave.llm.common import scratch
 
-#: Entries that a worker keeps; a full cache is emptied, which costs time and changes nothing else.
-CACHE_ENTRIES = 300_000
+#: Entries that a worker keeps; its older half leaves when it is full, which costs time and changes nothing else.
+CACHE_ENTRIES = 450_000
+#: Words that go to the library in one call.
+WORDS_IN_A_CALL = 20_000
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 4 << 20
 #: Texts that are not cut into words are cut into parts of about so many characters at safe boundaries.
@@ -64,19 +66,41 @@ def groups(texts: list[str | None], chars: int = GROUP_CHARS) -> Iterator[list[s
         yield group
 
 
+def _encode_words(path: str, words: list[str]) -> list[np.ndarray]:
+    """The ids of each word, many words in one call of the library where it says which word an id belongs to."""
+    out: list[np.ndarray] = []
+    for at in range(0, len(words), WORDS_IN_A_CALL):
+        part = words[at : at + WORDS_IN_A_CALL]
+        if path.endswith(".json"):
+            e = tokenizer(path).encode(part, is_pretokenized=True, add_special_tokens=False)
+            owners = e.word_ids
+            if None not in owners:
+                sizes = np.bincount(np.array(owners, np.int64), minlength=len(part))
+                ends = np.cumsum(sizes).tolist()
+                ids = np.array(e.ids, "<u4")
+                out += [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                continue
+        out += [np.array(x, "<u4") for x in _encode(path, part)]
+    return out
+
+
 class _Words(dict):
-    """Word -> what ``keep`` makes of its ids."""
+    """Word -> what ``keep`` makes of its ids. Two generations: words not met for a while leave first."""
 
     def __init__(self, path: str, prefix: str, keep):
         super().__init__()
-        self.path, self.prefix, self.keep = path, prefix, keep
+        self.path, self.prefix, self.keep, self.old = path, prefix, keep, {}
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.keys())
+        new = words - self.keys()
         if len(self) + len(new) > CACHE_ENTRIES:
+            self.old = dict(self)
             self.clear()
-            new = list(words)
-        self.update(zip(new, map(self.keep, _encode(self.path, [self.prefix + w for w in new])), strict=True))
+            new = words
+        known = new & self.old.keys()
+        self.update((w, self.old[w]) for w in known)
+        rest = list(new - known)
+        self.update(zip(rest, map(self.keep, _encode_words(self.path, [self.prefix + w for w in rest])), strict=True))
 
 
 _CACHES: dict[tuple, _Words] = {}
@@ -89,11 +113,11 @@ def _cache(path: str, prefix: str, what: str, keep) -> _Words:
 # --- ids -----------------------------------------------------------------------------------------------------------
 
 #: A comma or full stop that does not follow a plain Latin letter or digit may belong to a longer token.
-_RUN = re.compile(r"(?:^|[^A-Za-z0-9À-ÖØ-öø-įı-ɏ])[.,]")
+_RUN = re.compile(r"(?<![A-Za-z0-9À-ÖØ-öø-įı-ɏ])[.,]")
 
 
-def _ids_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def _ids_bytes(ids: np.ndarray) -> bytes:
+    return ids.tobytes()
 
 
 def encode_words(path: str, texts: list[str]) -> list[bytes]:
@@ -115,7 +139,7 @@ def encode_words(path: str, texts: list[str]) -> list[bytes]:
 
 
 def _id_batches(path: str, end_id: int | None, id_col: str, text_col: str):
-    end = b"" if end_id is None else _ids_bytes([end_id])
+    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
