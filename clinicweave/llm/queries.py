@@ -41,6 +41,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.neardup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), shingle_words=2, percent=80)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinicweave.llm.mixing import mix_digest
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op5_secrets": op5_secrets,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
 }
