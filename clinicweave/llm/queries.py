@@ -35,6 +35,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.substrings import substring_dedup
+
+    return substring_dedup(documents(spark, sf_dir))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinicweave.llm.secrets import secret_scan
 
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_substrings": op4_substrings,
     "op5_secrets": op5_secrets,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
