@@ -65,6 +65,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.decontamination import find_leaks
+
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
