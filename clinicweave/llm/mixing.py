@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import materialize, n_words_of
+from clinicweave.llm.common import join_bounded, materialize, n_words_of
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -115,9 +115,16 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
     return rows.join(times, "_row", "left").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents of the mix with all their columns, a row for each time one is taken. Ids must be unique."""
-    _, draws = mix_plan(docs, id_col=id_col, **options)
-    times = draws.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    mixed = docs.join(times, F.col(id_col).eqNullSafe(F.col("_id")))
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents of the mix with all their columns, a row for each time one is taken.
+
+    Rows that are equal in id and text are taken alike. The text is joined to its count as it is read: a broadcast
+    within a checked size, else a shuffle.
+    """
+    keyed = docs.withColumn("_rid", F.xxhash64(id_col, text_col))
+    rows, draws = mix_plan(keyed, id_col="_rid", text_col=text_col, **options)
+    equal = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    times = draws.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).join(equal, "doc_id")
+    times = materialize(times.select(F.col("doc_id").alias("_rid"), F.round(F.col("n") / F.col("rows")).cast("int").alias("_n")), "mix-times")
+    mixed = join_bounded(keyed, times, "_rid", "inner", 24).filter("_n > 0")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)

@@ -47,6 +47,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.lines import line_dedup
+
+    return line_dedup(documents(spark, sf_dir))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinicweave.llm.neardup import near_duplicates
 
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_substrings": op4_substrings,
     "op5_secrets": op5_secrets,
+    "op6_lines": op6_lines,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
