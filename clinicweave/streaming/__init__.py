@@ -1,0 +1 @@
+"""Incremental processing of new drops."""
