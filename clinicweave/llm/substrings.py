@@ -18,13 +18,13 @@ from clinicweave.llm.tokens import groups
 #: Bytes of a string that counts as repeated.
 LENGTH = 50
 #: Bytes of an anchor. Every string of LENGTH bytes holds LENGTH - ANCHOR + 1 anchors; the least hash of them is its own.
-ANCHOR = 20
+ANCHOR = 30
 #: Texts of about so many bytes are compared at once by a mapper.
 BATCH_BYTES, BATCH_DOCS = 16 << 20, 60_000
 #: An anchor with more different contexts is compared string by string, spread over tasks.
 MAX_CONTEXTS = 2000
 #: Bytes of the contexts that one suffix array is built over.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 def _anchors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -285,6 +285,18 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     return lists.select("rid", F.col("x.at").alias("at"), F.col("x.size").alias("size"), F.col("x.gone").alias("gone")).mapInArrow(_covered, "rid long, runs binary")
 
 
+def exact_copies(rows: DataFrame) -> DataFrame:
+    """(rid, runs) of rows whose whole text, of LENGTH bytes at least, a smaller document has: all of it goes.
+
+    They need not be searched: the smallest of them holds the same strings. Texts meet as 128-bit hashes.
+    """
+    hashed = rows.filter(F.octet_length("text") >= LENGTH).select("rid", "doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
+    least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = hashed.join(least, ["h1", "h2"]).filter(F.col("doc_id") > F.col("least")).select("rid", "size").distinct()
+    little = lambda c: F.concat(*[F.unhex(F.lpad(F.hex(F.shiftright(c, 8 * i).bitwiseAND(255)), 2, "0")) for i in range(4)])
+    return later.select("rid", F.concat(F.unhex(F.lit("00000000")), little(F.col("size"))).alias("runs"))
+
+
 def _cut(raw: bytes, runs: bytes | None) -> tuple[bytes, int, int]:
     if not runs:
         return raw, 0, 0
@@ -319,10 +331,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 after removing repeated byte strings.
 
     A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a document with a smaller id; strings
-    are those of the input, and never cross documents. Null texts are empty. Rows with equal ids never remove from
+    are those of the input, and never cross documents. Exact copies of a smaller document lose all at once. Null texts are empty. Rows with equal ids never remove from
     each other; rows that are equal in full share their runs. Rows with a null id neither lose nor remove anything.
 
-    Strings are brought together by anchors: the least hash among a string's 20-byte windows, which any copy of the
+    Strings are brought together by anchors: the least hash among a string's 30-byte windows, which any copy of the
     string shares. Anchors of one document only are dropped on 64-bit hashes sent in blocks; around the others the
     bytes that their strings cover are kept as contexts, each distinct one once with its smallest document. Shards of
     contexts get a suffix array by induced sorting and permuted common prefixes; runs of suffixes with 50 common
@@ -331,7 +343,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     a shuffle.
     """
     rows = _keyed(docs)
-    runs = materialize(removed_runs(rows.filter("doc_id is not null")), "removed-runs")
+    known = rows.filter("doc_id is not null")
+    copies = materialize(exact_copies(known), "exact-copies")
+    rest = join_bounded(known, copies, "rid", "left_anti", 48)
+    runs = removed_runs(rest).unionByName(copies.select("rid", "runs"))
+    runs = materialize(runs, "removed-runs")
     n, size = runs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("runs")), F.lit(0))).first()
     joined = rows.join(F.broadcast(runs) if n * 64 + size <= BROADCAST_BYTES else runs.hint("merge"), "rid", "left")
     return joined.select("doc_id", "text", "runs").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
