@@ -68,7 +68,8 @@ def concatenate(spark: SparkSession, parts: str, path: str, head: str = "", tail
         source = fs.open(p)
         last = trim_last if i == len(names) - 1 else ""
         size = fs.getFileStatus(p).getLen() - len(last.encode())
-        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, size, False)
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(source, size)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(bounded, out, 1 << 16, False)
         source.close()
     out.write(bytearray(("\n" if trim_last and names else "").encode() + tail.encode()))
     out.close()

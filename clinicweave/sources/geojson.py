@@ -26,7 +26,7 @@ def feature_text(lat: Column, lon: Column, properties: dict[str, Column]) -> Col
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """(type, geometry, properties) of a FeatureCollection file."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     parsed = whole.select(F.from_json("value", f"struct<features:array<{FEATURE}>>").alias("c"))
     return parsed.select(F.inline("c.features"))
 
