@@ -51,8 +51,8 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     A source's documents fall into 256 permuted blocks by a seeded hash of the id. The mix takes whole passes over a
     source, then blocks in permuted order until the rest of its target is met; the block at the edge is cut into 256
-    smaller ones in the same way, and the one at that edge by documents, the last of which is taken if that comes
-    nearer to the target. So a draw never exceeds ``passes`` times a document, and reruns draw alike.
+    smaller ones in the same way, and the one at that edge by documents; one more document fills the gap that is left
+    if that comes nearer to the target. So a draw never exceeds ``passes`` times a document, and reruns draw alike.
 
     Blocks times passes are the units. A binary splitting tree deals the units to ``2 ** levels`` shards: each node
     sends exactly half of its units to the left, chosen without replacement by a seeded permutation, so the counts
@@ -86,8 +86,16 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     second = parts.filter("_edge").select("_s", "_b", "_c", (F.col("_rest") - F.col("_at")).alias("_rest"))
     last = Window.partitionBy("_s").orderBy("_d", "doc_id", "size", "_row")
     at = F.coalesce(F.sum("size").over(last.rowsBetween(_FIRST, -1)), F.lit(0))
-    single = rows.join(second, ["_s", "_b", "_c"]).withColumn("_at", at).filter(F.col("_at") + F.col("size") / 2 <= F.col("_rest")).select("_row")
-    partial = rows.join(parts.filter("_whole").select("_s", "_b", "_c"), ["_s", "_b", "_c"]).select("_row").unionByName(single)
+    single = rows.join(second, ["_s", "_b", "_c"]).withColumn("_at", at).filter(F.col("_at") + F.col("size") <= F.col("_rest")).select("_row", "_s", "size")
+    partial = rows.join(parts.filter("_whole").select("_s", "_b", "_c"), ["_s", "_b", "_c"]).select("_row", "_s", "size").unionByName(single)
+    partial = materialize(partial, "mix-edge")
+
+    # What is left of a source's target goes to the one more document that comes nearest to it.
+    whole_sizes = blocks.groupBy("_s").agg(F.first("_rest").alias("_rest"), F.sum(F.when(F.col("_whole"), F.col("_size")).otherwise(0)).alias("_sum"))
+    left = whole_sizes.join(partial.groupBy("_s").agg(F.sum("size").alias("_more")), "_s", "left").select("_s", (F.col("_rest") - F.col("_sum") - F.coalesce("_more", F.lit(0))).alias("_left"))
+    others = rows.join(blocks.filter("not _whole").select("_s", "_b"), ["_s", "_b"]).join(partial.select("_row"), "_row", "left_anti").join(left, "_s")
+    nearest = others.groupBy("_s").agg(F.min(F.struct(F.abs(F.col("_left") - F.col("size")).alias("off"), "_d", "size", "_row")).alias("_m"), F.first("_left").alias("_left"))
+    partial = partial.select("_row").unionByName(nearest.filter(F.col("_m.off") < F.col("_left")).select("_m._row"))
 
     copies = F.col("_full") + F.when(F.col("_whole") | F.col("_edge"), 1).otherwise(0)
     units = blocks.filter(copies > 0).select("_s", "_b", "_full", "_edge", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
@@ -100,9 +108,9 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     units = materialize(units.select("_s", "_b", "copy", "_cut", "shard"), "mix-units")
 
     place = F.md5(F.concat_ws(":", F.lit(seed), F.col("copy").cast("string"), F.col("_d")))
-    pick = lambda r, u: r.join(u, ["_s", "_b"]).select("doc_id", "_row", "copy", "shard", place.alias("place"))
-    whole = pick(rows, units.filter("not _cut"))
-    cut = pick(rows.join(partial, "_row", "left_semi"), units.filter("_cut"))
+    pick = lambda r, u, on: r.join(u, on).select("doc_id", "_row", "copy", "shard", place.alias("place"))
+    whole = pick(rows, units.filter("not _cut"), ["_s", "_b"])
+    cut = pick(rows.join(partial, "_row", "left_semi"), units.filter("_cut").drop("_b"), ["_s"])
     out = rows.join(targets.select("_s", "source_size", "target"), "_s").select("doc_id", "_row", "source", "size", "source_size", "target")
     return out, whole.unionByName(cut)
 

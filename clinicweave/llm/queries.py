@@ -90,4 +90,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words of a text.
+WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, source, CAST(len({WORDS_SQL}) AS BIGINT) AS size, md5('mix-1:' || doc_id) AS h, CASE WHEN source IS NULL THEN 'true:' ELSE 'false:' || source END AS s FROM documents),
+rows_ AS (SELECT *, CAST('0x' || substr(h, 1, 2) AS INTEGER) AS b, CAST('0x' || substr(h, 3, 2) AS INTEGER) AS c FROM d),
+sums AS (SELECT source, s, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY ALL),
+ranked AS (SELECT *, ([5.0, 2.0, 1.0])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w, (3 * source_size)::DOUBLE AS cap FROM sums),
+levels AS (SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
+shares AS (SELECT *, (SELECT arg_min(level, cap / w) FROM levels x WHERE NOT x.cap < x.level * x.w) AS share FROM levels),
+targets AS (SELECT s, source_size, least(cap, coalesce(w * share, cap)) AS target FROM shares),
+passes AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size + 1e-9), 3) ELSE 0 END AS full_ FROM targets),
+rests AS (SELECT *, greatest(0.0, target - full_ * source_size) AS rest FROM passes),
+sizes AS (SELECT s, b, sum(size) AS z FROM rows_ GROUP BY ALL),
+blocks AS (SELECT s, b, z, rest, coalesce(sum(z) OVER (PARTITION BY s ORDER BY md5('mix-1:' || s || ':' || b), b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM sizes JOIN rests USING (s)),
+edge AS (SELECT s, b, rest - at_ AS rest FROM blocks WHERE at_ + z > rest AND at_ < rest),
+parts AS (SELECT s, b, c, z, rest, coalesce(sum(z) OVER (PARTITION BY s ORDER BY md5('mix-1:' || s || ':' || b || ':' || c), b, c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM (SELECT s, b, c, sum(size) AS z, rest FROM rows_ JOIN edge USING (s, b) GROUP BY s, b, c, rest)),
+inner_ AS (SELECT s, b, c, rest - at_ AS rest FROM parts WHERE at_ + z > rest AND at_ < rest),
+single AS (SELECT doc_id, s, size FROM (SELECT doc_id, s, size, rest, coalesce(sum(size) OVER (PARTITION BY s ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM rows_ JOIN inner_ USING (s, b, c)) WHERE at_ + size <= rest),
+part_ AS (SELECT doc_id, s, size FROM rows_ JOIN parts USING (s, b, c) WHERE at_ + z <= rest UNION ALL SELECT * FROM single),
+gaps AS (SELECT s, any_value(rest) - sum(CASE WHEN at_ + z <= rest THEN z ELSE 0 END) - coalesce((SELECT sum(size) FROM part_ WHERE part_.s = blocks.s), 0) AS gap FROM blocks GROUP BY s),
+nearest AS (SELECT s, arg_min(doc_id, (abs(gap - size), h, size)) AS doc_id, min(abs(gap - size)) AS off, any_value(gap) AS gap FROM rows_ JOIN (SELECT s, b FROM blocks WHERE at_ + z > rest) USING (s, b) JOIN gaps USING (s) WHERE doc_id NOT IN (SELECT doc_id FROM part_) GROUP BY s),
+extra AS (SELECT doc_id FROM part_ UNION ALL SELECT doc_id FROM nearest WHERE off < gap UNION ALL SELECT doc_id FROM rows_ JOIN (SELECT s, b FROM blocks WHERE at_ + z <= rest) USING (s, b))
+SELECT r.doc_id, r.size, t.source_size, t.target, CAST(r.size * (t.full_ + CASE WHEN e.doc_id IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken FROM rows_ r JOIN rests t USING (s) LEFT JOIN extra e ON e.doc_id = r.doc_id"""
+
+OP9_SQL = rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS_SQL} AS ws FROM documents),
+tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS t FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, t) AS c FROM tri) WHERE c > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w),
+dups AS (SELECT doc_id, count(l) - count(DISTINCT l) AS n FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+chars AS (SELECT doc_id, i, substr(text, i, 1) AS c FROM (SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS i FROM w)),
+runs AS (SELECT doc_id FROM (SELECT doc_id, c, i - row_number() OVER (PARTITION BY doc_id, c ORDER BY i) AS r FROM chars WHERE NOT regexp_matches(c, '\s')) GROUP BY doc_id, c, r HAVING count(*) >= 200),
+m AS (SELECT doc_id, text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(list_aggregate(ws, 'string_agg', '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+ coalesce(dups.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM w LEFT JOIN dups USING (doc_id) LEFT JOIN rep USING (doc_id)),
+b AS (SELECT doc_id, text, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (word_chars < n_words OR word_chars > 30 * n_words OR 2 * n_symbols > n_words OR 10 * n_dup_lines > 6 * (length(text) - length(replace(text, chr(10), '')) + 1)
+ OR 10 * length(regexp_replace(text, '\P{{L}}+', '', 'g')) < word_chars OR doc_id IN (SELECT doc_id FROM runs)) AS kept FROM b"""
+
+ORACLES: dict[str, str] = {"op8_mixing": OP8_SQL, "op9_quality": OP9_SQL}
