@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import BROADCAST_BYTES, join_bounded, materialize
+from clinicweave.llm.common import BROADCAST_BYTES, let, materialize
 
 #: Lines within so many edits count as one line.
 MAX_EDITS = 2
@@ -50,12 +50,14 @@ def probe_keys(line: Column, length: Column, edits: int, least: int) -> Column:
 
 
 def _some_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, h2, line) of the occurrences (rid, no) in ``wanted``; each text is read once and joined to its list."""
+    """(h1, h2, line) of the occurrences (rid, no) in ``wanted``; each text is read once and joined to its list.
+
+    ``let`` splits a text once: a plain column would be moved into the lambda and split again for every line.
+    """
     lists = materialize(wanted.groupBy("rid").agg(F.collect_list("no").alias("nos")), "line-numbers")
     n, total = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("nos")), F.lit(0))).first()
     joined = rows.join(F.broadcast(lists) if 64 * n + 4 * total <= BROADCAST_BYTES else lists.hint("merge"), "rid")
-    split = joined.select("nos", F.split("text", "\n", -1).alias("x"))
-    one = split.select(F.explode(F.transform("nos", lambda i: F.get("x", i))).alias("line"))
+    one = joined.select(F.explode(let(F.split("text", "\n", -1), lambda x: F.transform("nos", lambda i: F.get(x, i)))).alias("line"))
     return one.select(F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
 
 
