@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinicweave.llm.common import BROADCAST_BYTES, let, materialize
@@ -13,40 +13,33 @@ MAX_EDITS = 2
 LEAST_CHARS = 24
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """(start, length) of segment ``i`` of ``parts`` of a line: equal parts, the longer ones last."""
-    base, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    return i * base + F.greatest(F.lit(0), i - (parts - longer)), base + F.when(i >= parts - longer, 1).otherwise(0)
+def _pieces(edits: int) -> list[tuple[bool, int, int, int]]:
+    """(probe, shorter, segment, shift) of the pieces that a line has a key for.
 
-
-def _key(length: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), piece)
-
-
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    """A key for each segment of a line."""
-    out = []
-    for i in range(edits + 1):
-        start, size = _segment(length, i, edits + 1)
-        out.append(_key(length, i, F.substring(line, start + 1, size)))
-    return F.array(*out)
+    A line's own segments come first. Then the substrings that can equal a segment of a line that is up to ``edits``
+    characters shorter: of the places of a segment those that leave as many edits on its left as segments stand
+    there, and as many on its right. For 2 edits these are 12 substrings over the three lengths.
+    """
+    own = [(False, 0, i, 0) for i in range(edits + 1)]
+    shifts = lambda shorter, i: range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
+    return own + [(True, shorter, i, shift) for shorter in range(edits + 1) for i in range(edits + 1) for shift in shifts(shorter, i)]
 
 
-def probe_keys(line: Column, length: Column, edits: int, least: int) -> Column:
-    """Keys of the substrings that can equal a segment of a line that is up to ``edits`` characters shorter.
+def segment_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """(h1, h2, probe, key) of lines (h1, h2, line): a row for each piece, by its text, its segment and that line's length.
 
-    Of the places of a segment those are probed that leave as many edits on its left as segments stand there, and as
-    many on its right: for 2 edits, 12 substrings over the three lengths.
+    Segments are equal parts, the longer ones last. Pieces are rows, so that their keys are compiled code.
     """
-    out = []
-    for shorter in range(edits + 1):
-        other = length - shorter
-        for i in range(edits + 1):
-            start, size = _segment(other, i, edits + 1)
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                fits = (other >= least) & (start + shift >= 0) & (start + shift + size <= length)
-                out.append(F.when(fits, _key(other, i, F.substring(line, start + shift + 1, size))))
-    return F.array_compact(F.array(*out))
+    parts = edits + 1
+    pieces = F.array(*[F.struct(F.lit(p).alias("probe"), F.lit(n).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for p, n, i, x in _pieces(edits)])
+    rows = lines.select("h1", "h2", "line", F.length("line").alias("n")).withColumn("p", F.explode(pieces))
+    rows = rows.select("h1", "h2", "line", "n", "p.*", (F.col("n") - F.col("p.shorter")).alias("other"))
+    rows = rows.withColumn("longer", F.col("other") % parts).withColumn("base", F.floor((F.col("other") - F.col("longer")) / parts).cast("int"))
+    rows = rows.withColumn("start", F.col("i") * F.col("base") + F.greatest(F.lit(0), F.col("i") - parts + F.col("longer")) + F.col("shift"))
+    rows = rows.withColumn("size", F.col("base") + (F.col("i") >= parts - F.col("longer")).cast("int"))
+    fits = (F.col("other") >= least) & (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n"))
+    piece = F.substring("line", F.col("start") + 1, F.col("size"))
+    return rows.filter(fits).select("h1", "h2", "probe", F.xxhash64("other", "i", piece).alias("key"))
 
 
 def _some_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -69,10 +62,9 @@ def similar_lines(rows: DataFrame, distinct: DataFrame, edits: int, least: int)
     of segments and of probed substrings are joined, and pairs are verified by the banded Levenshtein distance.
     """
     lines = _some_lines(rows, distinct.select("rid", "no"))
-    length = F.length("line")
-    keyed = materialize(lines.select("h1", "h2", index_keys(F.col("line"), length, edits).alias("own"), probe_keys(F.col("line"), length, edits, least).alias("probes")), "segment-keys")
-    index = keyed.select("h1", "h2", F.explode("own").alias("key"))
-    probe = keyed.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.explode("probes").alias("key"))
+    keyed = materialize(segment_keys(lines, edits, least), "segment-keys")
+    index = keyed.filter("not probe").select("h1", "h2", "key")
+    probe = keyed.filter("probe").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "key")
     met = index.join(probe, "key").filter("h1 != g1 or h2 != g2")
     swap = (F.col("g1") < F.col("h1")) | ((F.col("g1") == F.col("h1")) & (F.col("g2") < F.col("h2")))
     first = lambda a, b, name: F.when(swap, F.col(b)).otherwise(F.col(a)).alias(name)
