@@ -230,6 +230,28 @@ def test_near_duplicates(spark, docs, k):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.near_duplicates(docs).count() == docs.count()
 
 
+def star(copies):
+    """An original (id 0) and copies of it, each near to it and none near to another."""
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, copies + 1):
+        words = list(base)
+        for at in rng.sample(range(400), 20):
+            words[at] = f"x{n}-{at}"
+        rows.append((n, " ".join(words)))
+    return rows
+
+
+def test_near_duplicates_that_only_an_original_joins(spark):
+    rows = star(500)
+    want = links(rows, 2)
+    assert {r[1] for r in want.values()} == {0} and all(not r[2] for d, r in links(rows[1:61], 2).items() if d != r[1])
+    assert sum(r[2] for r in links(rows[1:61], 2).values()) > 55
+    got = by_id(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in got.items()} == want
+
+
 # --- quality, secrets, mixing ---------------------------------------------------------------------------------------
 
 
