@@ -1,4 +1,4 @@
-"""Benchmark decontamination: CGK embeddings of windows, bit-sampling LSH, exact edit verification."""
+"""Benchmark decontamination: counts of common grams by diagonal, which lose no passage, and exact edit verification."""
 
 from __future__ import annotations
 
@@ -17,18 +17,13 @@ from clinicweave.llm.tokens import groups
 MAX_EDITS = 0.15
 #: Items of fewer characters after normalization cannot be told from chance and are not searched.
 LEAST_ITEM = 32
-#: A window is embedded if so many of the grams inside its first WINDOW characters occur in some item.
-GRAM, WINDOW, LEAST_GRAMS = 10, 40, 10
-#: Walks of an embedding, their steps, keys of each walk and sampled steps of a key.
-WALKS, STEPS, KEYS, SAMPLED = 2, 64, 6, 12
+#: Characters of a gram at most, and grams that a passage within the edits keeps of an item at least.
+GRAM, LEAST_KEPT = 10, 4
+#: Occurrences of grams that are counted at once.
+HITS = 4 << 20
 #: Characters of items that are broadcast at once; more items are searched block by block.
 BLOCK_CHARS = 4 << 20
 
-_RNG = np.random.default_rng(77)
-_ADVANCE = _RNG.integers(0, 2, (WALKS, STEPS, 256), dtype=np.int64)
-_SAMPLES = np.stack([[np.sort(_RNG.permutation(STEPS)[:SAMPLED]) for _ in range(KEYS)] for _ in range(WALKS)])
-
-
 def normalize(text: str | None) -> str:
     """Lower case, blanks between words only."""
     return " ".join((text or "").lower().replace("\0", " ").split())
@@ -38,37 +33,13 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def _grams(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the gram that starts at each position."""
-    if len(codes) < GRAM:
+def _grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the gram of ``size`` characters that starts at each position."""
+    if len(codes) < size:
         return np.empty(0, np.uint64)
     up, down = _powers(len(codes) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum((_BYTE[codes & 255] + codes) * up[: len(codes)])])
-    return mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(codes) - GRAM + 1])
-
-
-def embed(codes: np.ndarray, starts: np.ndarray, walk: int) -> np.ndarray:
-    """The CGK embedding of the windows at ``starts``: at each step the character under the pointer, which then
-    moves on or stays as a random function of step and character says. ``codes`` has STEPS characters to spare."""
-    at, out = starts.copy(), np.empty((STEPS, len(starts)), np.uint64)
-    for step in range(STEPS):
-        c = codes[at]
-        out[step] = c
-        at += _ADVANCE[walk, step, c & 255]
-    return out
-
-
-def window_keys(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """LSH keys (number of keys, windows): hashes of sampled steps of the embeddings."""
-    out = []
-    for walk in range(WALKS):
-        e = embed(codes, starts, walk)
-        for k in range(KEYS):
-            h = np.full(len(starts), walk * KEYS + k + 1, np.uint64)
-            for step in _SAMPLES[walk, k]:
-                h = mix(h * np.uint64(0x9FB21C651E98DF25) + e[step])
-            out.append(h)
-    return np.stack(out)
+    return mix((sums[size:] - sums[:-size]) * down[: len(codes) - size + 1])
 
 
 def best_match(item: str, text: str) -> tuple[int, int]:
@@ -98,78 +69,92 @@ def best_match(item: str, text: str) -> tuple[int, int]:
 
 
 class Items:
-    """A block of items, prepared on the driver: grams, keys of their windows, and the texts to verify against."""
+    """A block of items, prepared on the driver: where each gram occurs in them, and the texts to verify against.
+
+    An edit touches ``size`` grams at most, so that a passage within ``most`` edits of an item keeps all but
+    ``most * size`` of its grams, at diagonals (place in the text less place in the item) that span ``most`` at most.
+    ``size`` is the largest that leaves ``LEAST_KEPT`` grams of every item, and one for each eight of its characters. The most frequent grams of an item are left out
+    and count as lost; the others still have to come ``least`` times in two neighbouring strips of diagonals.
+    """
 
     def __init__(self, rows: list[tuple[int, str]], max_edits: float):
         self.rows = [(i, t) for i, t in ((i, normalize(t)) for i, t in rows) if len(t) >= LEAST_ITEM]
-        self.max_edits = max_edits
         codes = [_codes(t) for _, t in self.rows]
-        grams = np.unique(np.concatenate([_grams(c) for c in codes])) if codes else np.empty(0, np.uint64)
-        self.grams = grams
+        n = np.array([len(c) for c in codes], np.int64)
+        self.most = np.array([int(max_edits * x) for x in n.tolist()], np.int64)
+        kept = lambda size: n - size + 1 - self.most * size
+        self.size = next((size for size in range(GRAM, 1, -1) if (kept(size) >= np.maximum(LEAST_KEPT, n // 8)).all()), 1)
+        grams = [_grams(c, self.size) for c in codes]
+        self.grams, which, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True) if grams else (np.empty(0, np.uint64),) * 3
         self.bitmap = np.zeros(1 << 22, bool)
-        self.bitmap[(grams >> np.uint64(42)).astype(np.int64)] = True
-        keys, owners, offsets = [], [], []
-        for n, c in enumerate(codes):
-            spare = np.concatenate([c, np.zeros(STEPS + 1, c.dtype)])
-            starts = np.concatenate([[0], np.flatnonzero(c[:-1] == 32) + 1])
-            starts = starts[starts <= len(c) - LEAST_ITEM]
-            k = window_keys(spare, starts)
-            keys.append(k.ravel())
-            owners.append(np.full(k.size, n))
-            offsets.append(np.tile(starts, len(k)))
-        self.keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys = self.keys[order]
-        self.owners = np.concatenate(owners)[order] if keys else np.empty(0, np.int64)
-        self.offsets = np.concatenate(offsets)[order] if keys else np.empty(0, np.int64)
-
-    def candidates(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
-        """(text, item, likely start of the item in the text) of windows that share a key with a window of an item."""
-        if not len(self.keys):
+        self.bitmap[(self.grams >> np.uint64(42)).astype(np.int64)] = True
+        self.least = np.minimum(np.maximum(LEAST_KEPT, -(-kept(self.size) // 2)), kept(self.size))
+        owners, offsets, numbers, at = [], [], [], 0
+        for item, g in enumerate(grams):
+            mine = which[at : at + len(g)]
+            at += len(g)
+            rare = np.argsort(counts[mine], kind="stable")[: len(g) - int(kept(self.size)[item] - self.least[item])]
+            owners.append(np.full(len(rare), item))
+            offsets.append(rare)
+            numbers.append(mine[rare])
+        self.owners, self.offsets, numbers = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (owners, offsets, numbers))
+        order = np.argsort(numbers, kind="stable")
+        self.owners, self.offsets = self.owners[order], self.offsets[order]
+        self.first = np.searchsorted(numbers[order], np.arange(len(self.grams) + 1))
+
+    def candidates(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, least, greatest) of the places in the text that an item may start at."""
+        if not len(self.grams):
             return
-        codes = _codes("\0".join(texts) + "\0" * (STEPS + WINDOW + 2))
-        grams = _grams(codes)
-        hit = self.bitmap[(grams >> np.uint64(42)).astype(np.int64)]
-        at = np.flatnonzero(hit)
+        codes = _codes("\0".join(texts))
+        grams = _grams(codes, self.size)
+        at = np.flatnonzero(self.bitmap[(grams >> np.uint64(42)).astype(np.int64)])
         near = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
-        at = at[self.grams[near] == grams[at]]
-        if not len(at):
-            return
-        word = np.flatnonzero((codes[:-1] == 32) | (codes[:-1] == 0)) + 1
-        word = np.concatenate([[0], word])
-        inside = np.searchsorted(at, word + WINDOW - GRAM, "right") - np.searchsorted(at, word)
-        starts = word[(inside >= LEAST_GRAMS) & (word < len(codes) - STEPS - 1)]
-        if not len(starts):
-            return
-        keys = window_keys(codes, starts)
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-        found = set()
-        for row in keys:
-            low, high = np.searchsorted(self.keys, row), np.searchsorted(self.keys, row, "right")
-            for w in np.flatnonzero(high > low).tolist():
-                start = int(starts[w])
-                text = int(np.searchsorted(begins, start, "right")) - 1
-                for x in range(low[w], high[w]):
-                    found.add((text, int(self.owners[x]), start - int(begins[text]) - int(self.offsets[x])))
-        last = None
-        for text, item, start in sorted(found):
-            if last and last[:2] == (text, item) and start - last[2] <= 8:
-                continue  # the passage that was just yielded covers it
-            last = (text, item, start)
-            yield last
+        same = self.grams[near] == grams[at]
+        at, near = at[same], near[same]
+        many = self.first[near + 1] - self.first[near]
+        ahead = max(len(t) for _, t in self.rows)  # so that no diagonal is below 0
+        strips = len(codes) + ahead + 3
+        cuts = np.searchsorted(np.cumsum(many), np.arange(HITS, int(many.sum()) + HITS, HITS))
+        keys, sums, begin = [], [], 0
+        for end in [*(cuts[:-1] + 1).tolist(), len(at)]:
+            m = many[begin:end]
+            place = np.arange(int(m.sum())) + np.repeat(self.first[near[begin:end]] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) if len(m) else np.empty(0, np.int64)
+            owner = self.owners[place]
+            strip = (np.repeat(at[begin:end], m) - self.offsets[place] + ahead) // (self.most[owner] + 1)
+            key, n = np.unique(owner * strips + strip, return_counts=True)
+            keys.append(key)
+            sums.append(n)
+            begin = end
+        key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(inverse, np.concatenate(sums), len(key)).astype(np.int64)
+        both = n.copy()
+        both[:-1] += np.where(key[1:] == key[:-1] + 1, n[1:], 0)
+        key = key[both >= self.least[key // strips]]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        last: list[int] | None = None
+        for item, strip in zip((key // strips).tolist(), (key % strips).tolist(), strict=True):
+            most = int(self.most[item])
+            low, high = strip * (most + 1) - ahead - most, (strip + 2) * (most + 1) - ahead + most
+            for text in range(max(0, int(np.searchsorted(begins, low, "right")) - 1), min(len(texts), int(np.searchsorted(begins, high, "right")))):
+                x, y = max(0, low - int(begins[text])), min(len(texts[text]), high - int(begins[text]))
+                if last and last[:2] == [text, item] and x <= last[3]:
+                    last[3] = max(y, last[3])
+                    continue
+                if last:
+                    yield tuple(last)
+                last = [text, item, x, y]
+        if last:
+            yield tuple(last)
 
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item id, edits, end) of the best verified passage of each item in each text."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for text, item, start in self.candidates(texts):
-            wanted = self.rows[item][1]
-            most = int(self.max_edits * len(wanted))
-            if best.get((text, item), (1, 0))[0] == 0:
-                continue
-            begin = max(0, start - most - 8)
-            edits, end = best_match(wanted, texts[text][begin : max(0, start) + len(wanted) + most + 16])
+        for text, item, low, high in self.candidates(texts):
+            wanted, most = self.rows[item][1], int(self.most[item])
+            edits, end = best_match(wanted, texts[text][low : high + len(wanted) + most])
             if edits <= most:
-                best[text, item] = min(best.get((text, item), (edits, begin + end)), (edits, begin + end))
+                best[text, item] = min(best.get((text, item), (edits, low + end)), (edits, low + end))
         for (text, item), (edits, end) in best.items():
             yield text, self.rows[item][0], edits, end
 
@@ -178,12 +163,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_
     """(doc_id, item_id, edits, item_chars, end) of every document and item of which it holds a passage.
 
     Texts are compared in lower case with single blanks. A document leaks an item if some passage of it is within
-    ``max_edits`` of the item's length in edits (Levenshtein). Windows start at words of the document and of the item.
-    A window whose first 40 characters hold 10 ten-character grams of any items is embedded, and windows that agree
-    on one of the sampled keys are candidates, verified over the whole item. A passage is found for sure up to the
-    first verification if 40 characters of it are unchanged from a word on, and with the probability of the LSH
-    beyond; one window of the some dozens in an item is enough. Items shorter than ``LEAST_ITEM`` are not searched;
-    null or empty texts, ids and items leak nothing; equal items are found each; equal documents have their own rows.
+    ``max_edits`` of the item's length in edits (Levenshtein). Every such passage is found: it keeps so many grams of
+    the item on near diagonals that counting them loses none, and places with that many are verified over the whole
+    item. Items shorter than ``LEAST_ITEM`` are not searched; null or empty texts, ids and items leak nothing; equal
+    items are found each; equal documents have their own rows.
 
     One narrow pass over the documents for each block of ``BLOCK_CHARS`` characters of items, which is what a task
     gets as a broadcast; nothing is shuffled.

@@ -380,3 +380,27 @@ def test_leaks(spark, docs):
     assert decontamination.find_leaks(docs, bench).count() == 0 and decontamination.find_leaks(df, bench.limit(0)).count() == 0
     left = decontamination.drop_leaking(df.withColumn("item_id", F.lit(1)), bench)
     assert left.count() == 200 - len({d for d, _ in found}) and "item_id" in left.columns
+
+
+def test_leaks_with_all_the_edits_that_count(spark):
+    rng = random.Random(31)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(60))[:n].strip()
+    items = [(i, text((34, 90, 160, 233)[i % 4])) for i in range(40)]
+    rows = []
+    for i in range(240):
+        source = list(items[i % 40][1])
+        k = int((0.08, 0.1, 0.12, 0.15)[i // 40 % 4] * len(source)) + (i >= 200)
+        spread = [int((j + 0.5) * len(source) / k) for j in range(k)] if i % 2 else rng.sample(range(len(source)), k)
+        for at in sorted(spread, reverse=True):
+            kind = rng.randrange(3) if i % 3 else 0
+            source[at : at + 1] = [rng.choice("klm"), "", source[at] + rng.choice("klm")][kind]
+        rows.append((i, text(200) + " " + "".join(source) + " " + text(100)))
+    want = {}
+    for d, t in rows:
+        for i, item in items:
+            edits = decontamination.best_match(item, decontamination.normalize(t))[0]
+            if edits <= 0.15 * len(item):
+                want[d, i] = edits
+    assert len(want) >= 200
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.find_leaks(df, bench).collect()} == want
