@@ -51,7 +51,7 @@ def _some_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     n, total = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("nos")), F.lit(0))).first()
     joined = rows.join(F.broadcast(lists) if 64 * n + 4 * total <= BROADCAST_BYTES else lists.hint("merge"), "rid")
     one = joined.select(F.explode(let(F.split("text", "\n", -1), lambda x: F.transform("nos", lambda i: F.get(x, i)))).alias("line"))
-    return one.select(F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
+    return one.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2"), "line")
 
 
 def similar_lines(rows: DataFrame, distinct: DataFrame, edits: int, least: int) -> DataFrame:
@@ -90,7 +90,7 @@ def line_dedup(docs: DataFrame, *, edits: int = MAX_EDITS, least: int = LEAST_CH
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
     long_lines = rows.filter("doc_id is not null").select("doc_id", "rid", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).filter(F.length("line") >= least)
-    places = materialize(long_lines.select("doc_id", "rid", "no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")), "line-places")
+    places = materialize(long_lines.select("doc_id", "rid", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2")), "line-places")
     place = F.struct("doc_id", "rid", "no")
     distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines")
 

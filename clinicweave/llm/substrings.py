@@ -290,7 +290,7 @@ def exact_copies(rows: DataFrame) -> DataFrame:
 
     They need not be searched: the smallest of them holds the same strings. Texts meet as 128-bit hashes.
     """
-    hashed = rows.filter(F.octet_length("text") >= LENGTH).select("rid", "doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
+    hashed = rows.filter(F.octet_length("text") >= LENGTH).select("rid", "doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h1"), F.xxhash64(F.reverse("text")).alias("h2"))
     least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = hashed.join(least, ["h1", "h2"]).filter(F.col("doc_id") > F.col("least")).select("rid", "size").distinct()
     little = lambda c: F.concat(*[F.unhex(F.lpad(F.hex(F.shiftright(c, 8 * i).bitwiseAND(255)), 2, "0")) for i in range(4)])

@@ -404,3 +404,25 @@ def test_leaks_with_all_the_edits_that_count(spark):
     assert len(want) >= 200
     df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.find_leaks(df, bench).collect()} == want
+
+
+def test_texts_of_one_64_bit_hash_are_not_equal(spark):
+    rng, full = random.Random(3), 2**64 - 1
+    p1, p2 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F
+
+    def after(word):
+        v = (42 + p1 + p2 + int.from_bytes(word, "little") * p2) & full
+        return ((v << 31 | v >> 33) & full) * p1 & full
+
+    letters = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    while True:  # the first lane of XXH64 after two stripes is the same for both
+        a, b, c = letters(8), letters(8), letters(8)
+        d = ((int.from_bytes(c, "little") + (after(a) - after(b)) * pow(p2, -1, 1 << 64)) & full).to_bytes(8, "little")
+        if all(32 <= x < 127 for x in d):
+            break
+    middle, rest = letters(24), letters(24).decode() + "z" * 80
+    texts = [(a + middle + c).decode() + rest, (b + middle + d).decode() + rest]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert df.select(F.xxhash64("text")).distinct().count() == 1
+    assert {r["n_removed"] for r in lines.line_dedup(df).collect()} == {0}
+    assert substrings.exact_copies(df.withColumn("rid", F.col("doc_id"))).count() == 0
