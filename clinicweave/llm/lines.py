@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import BROADCAST_BYTES, let, materialize
+from clinicweave.llm.common import BROADCAST_BYTES, join_bounded, let, materialize
 
 #: Lines within so many edits count as one line.
 MAX_EDITS = 2
 #: Lines of fewer characters are left alone.
 LEAST_CHARS = 24
+#: In a key of more lines, lines are brought together by where they deviate from its earliest one.
+FREQUENT = 32
+#: Places of a line that make one block.
+PLACES = 32
 
 
 def _pieces(edits: int) -> list[tuple[bool, int, int, int]]:
@@ -43,37 +47,110 @@ def segment_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
 
 
 def _some_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, h2, line) of the occurrences (rid, no) in ``wanted``; each text is read once and joined to its list.
+    """(h1, h2, line, first) of the occurrences (rid, no) in ``wanted``; each text is read once and joined to its list.
 
     ``let`` splits a text once: a plain column would be moved into the lambda and split again for every line.
     """
     lists = materialize(wanted.groupBy("rid").agg(F.collect_list("no").alias("nos")), "line-numbers")
     n, total = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("nos")), F.lit(0))).first()
     joined = rows.join(F.broadcast(lists) if 64 * n + 4 * total <= BROADCAST_BYTES else lists.hint("merge"), "rid")
-    one = joined.select(F.explode(let(F.split("text", "\n", -1), lambda x: F.transform("nos", lambda i: F.get(x, i)))).alias("line"))
-    return one.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2"), "line")
-
-
-def similar_lines(rows: DataFrame, distinct: DataFrame, edits: int, least: int) -> DataFrame:
-    """Pairs (h1, h2, g1, g2) of different lines within ``edits`` edits, each pair once.
-
-    ``distinct`` has (h1, h2, rid, no): a line and an occurrence. A line is cut into ``edits + 1`` segments; of two
-    similar lines one holds a segment of the other unchanged, at a place that differs by the edits before it. Keys
-    of segments and of probed substrings are joined, and pairs are verified by the banded Levenshtein distance.
+    numbered = lambda x: F.transform("nos", lambda i: F.struct(i.alias("no"), F.get(x, i).alias("line")))
+    one = joined.select("doc_id", "rid", F.explode(let(F.split("text", "\n", -1), numbered)).alias("x"))
+    place = F.struct("doc_id", "rid", F.col("x.no").alias("no"))
+    return one.select(F.xxhash64("x.line").alias("h1"), F.xxhash64(F.reverse("x.line")).alias("h2"), F.col("x.line").alias("line"), place.alias("first"))
+
+
+def _common(a: Column, i: Column, b: Column, j: Column) -> Column:
+    """Length of the common prefix of ``a`` from character ``i`` and ``b`` from ``j``, by halving steps."""
+    most = F.greatest(F.least(F.length(a) - i, F.length(b) - j), F.lit(0))
+    steps = F.transform(F.sequence(F.ceil(F.log2(most + 1)).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
+    same = lambda n, step: (n + step <= most) & (F.substring(a, i + n + 1, step) == F.substring(b, j + n + 1, step))
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(same(n, step), n + step).otherwise(n))
+
+
+def _reach(a: Column, b: Column, edits: int) -> Column:
+    """Struct of the common prefix of ``a`` and ``b`` and of the longest prefix of ``b`` that is within ``edits`` edits
+    of some prefix of ``a``: the furthest points of the diagonals, an edit at a time."""
+    spot = lambda i, j: let(F.struct(F.least(i, F.length(a)).alias("i"), F.least(j, F.length(b)).alias("j")), lambda s: let(_common(a, s["i"], b, s["j"]), lambda n: F.struct((s["i"] + n).alias("i"), (s["j"] + n).alias("j"))))
+    spots = F.array(spot(F.lit(0), F.lit(0)))
+    for _ in range(edits):
+        spots = F.flatten(F.transform(spots, lambda s: F.array(spot(s["i"] + 1, s["j"] + 1), spot(s["i"] + 1, s["j"]), spot(s["i"], s["j"] + 1))))
+    return F.struct(_common(a, F.lit(0), b, F.lit(0)).alias("same"), F.array_max(F.transform(spots, lambda s: s["j"])).alias("far"))
+
+
+def _deviating(big: DataFrame, edits: int) -> DataFrame:
+    """Pairs (h1, h2, g1, g2) of frequent keys that may be similar, g the earlier line; of rows (key, h1, h2, probe,
+    first, done, line, hub), hub being the text of the key's earliest line.
+
+    A line x leaves the hub r after ``left`` characters and comes back to it for good at ``right``. With all edits spent
+    it follows r up to ``far`` from the left, and from ``near`` on seen from the right. If y is similar to x, y's part
+    before its own ``left`` is r's, so that x follows it: left(y) <= far(x), and all of that the other way round and
+    from the right. So intervals [left, far] of two lines that are not similar to r meet, and an earlier y that is
+    similar to r has [left, right] around far(x) or in touch with [near(x), far(x)]. Blocks of places make keys of it.
+    """
+    size = F.length("hub")
+    rows = big.select("*", _reach(F.col("line"), F.col("hub"), edits).alias("a"), _reach(F.reverse("line"), F.reverse("hub"), edits).alias("z"))
+    rows = rows.select("key", "h1", "h2", "probe", "first", "done", F.col("a.same").alias("left"), F.col("a.far").alias("far"), (size - F.col("z.same")).alias("right"), (size - F.col("z.far")).alias("near"))
+    rows = materialize(rows, "line-deviations")
+    blocks = lambda x, y: F.explode(F.sequence(F.floor(x / PLACES), F.floor(F.greatest(x, y) / PLACES))).alias("block")
+    left, far, right, near = (F.col(c) for c in ("left", "far", "right", "near"))
+    sides = ("key", "h1", "h2", "probe", "first", "left", "far", "right", "near")
+    found = None
+    for like_hub, own, its in ((False, (left, far), (left, far)), (True, (F.least(near, far), far), (left, right))):
+        x = rows.filter("not done").select(*sides, blocks(*own))
+        y = rows.filter(F.col("done") == like_hub).select("key", *[F.col(c).alias(f"y_{c}") for c in sides[1:]], blocks(*its))
+        meet = (F.col("y_first") < F.col("first")) & (F.col("y_probe") != F.col("probe")) & (F.col("y_left") <= far) & (left <= F.col("y_far")) & (F.col("y_right") >= near) & (right >= F.col("y_near"))
+        pairs = x.join(y, ["key", "block"]).filter(meet).select("h1", "h2", F.col("y_h1").alias("g1"), F.col("y_h2").alias("g2"))
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.distinct()
+
+
+def near_earlier(rows: DataFrame, distinct: DataFrame, edits: int, least: int) -> DataFrame:
+    """(h1, h2) of the lines that have an earlier line within ``edits`` edits.
+
+    ``distinct`` has (h1, h2, rid, no): a line and its first occurrence. A line is cut into ``edits + 1`` segments; of
+    two similar lines one holds a segment of the other unchanged, at a place that differs by the edits before it. So
+    keys of segments and of probed substrings bring them together, and the banded Levenshtein distance decides.
+
+    A line needs one similar earlier line, so that pairs come in turns and a line leaves at its first match. First each
+    line meets the earliest one of each of its keys. Lines that remain meet the other earlier ones of their rare keys.
+    In keys of more than ``FREQUENT`` lines they meet those that deviate from the earliest line in the same places.
     """
     lines = _some_lines(rows, distinct.select("rid", "no"))
     keyed = materialize(segment_keys(lines, edits, least), "segment-keys")
-    index = keyed.filter("not probe").select("h1", "h2", "key")
-    probe = keyed.filter("probe").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "key")
-    met = index.join(probe, "key").filter("h1 != g1 or h2 != g2")
-    swap = (F.col("g1") < F.col("h1")) | ((F.col("g1") == F.col("h1")) & (F.col("g2") < F.col("h2")))
-    first = lambda a, b, name: F.when(swap, F.col(b)).otherwise(F.col(a)).alias(name)
-    pairs = materialize(met.select(first("h1", "g1", "h1"), first("h2", "g2", "h2"), first("g1", "h1", "g1"), first("g2", "h2", "g2")).distinct(), "line-pairs")
-    needed = pairs.select("h1", "h2").union(pairs.select("g1", "g2")).distinct()
-    texts = materialize(_some_lines(rows, distinct.join(needed, ["h1", "h2"], "left_semi").select("rid", "no")), "line-texts")
-    other = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("other"))
-    near = pairs.join(texts, ["h1", "h2"]).join(other, ["g1", "g2"]).filter(F.levenshtein("line", "other", edits) >= 0)
-    return near.select("h1", "h2", "g1", "g2")
+    spread = (F.min("h1") != F.max("h1")) | (F.min("h2") != F.max("h2"))
+    shared = materialize(keyed.groupBy("key").agg(F.min("probe").alias("probe"), spread.alias("spread")).filter("spread and not probe").select("key"), "shared-keys")
+    met = materialize(join_bounded(keyed, shared, "key", "left_semi", 16).distinct(), "keyed-lines")
+    needed = materialize(met.select("h1", "h2").distinct(), "needed-lines")
+    texts = _some_lines(rows, join_bounded(distinct, needed, ["h1", "h2"], "left_semi", 32).select("rid", "no"))
+    texts = materialize(texts.dropDuplicates(["h1", "h2"]), "line-texts")
+    n, total = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("line")), F.lit(0))).first()
+    fits = 96 * n + total <= BROADCAST_BYTES
+    of = lambda a, b, name: (F.broadcast if fits else lambda x: x)(texts.select(F.col("h1").alias(a), F.col("h2").alias(b), F.col("line").alias(name)))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        near = pairs.join(of("h1", "h2", "line"), ["h1", "h2"]).join(of("g1", "g2", "other"), ["g1", "g2"]).filter(F.levenshtein("line", "other", edits) >= 0)
+        return materialize(near.select("h1", "h2").distinct(), name)
+
+    firsts = texts.select("h1", "h2", "first")
+    members = materialize(met.join(firsts, ["h1", "h2"]), "key-members")
+    hubs = members.groupBy("key").agg(F.min(F.struct("first", "h1", "h2")).alias("m"), F.count(F.lit(1)).alias("n"))
+    hubs = materialize(hubs.select("key", F.col("m.h1").alias("g1"), F.col("m.h2").alias("g2"), "n"), "key-hubs")
+    other = (F.col("h1") != F.col("g1")) | (F.col("h2") != F.col("g2"))
+    rest = join_bounded(members, hubs, "key", "inner", 40).filter(other)
+    near = verified(rest.select("h1", "h2", "g1", "g2").distinct(), "near-hub")
+
+    marked = join_bounded(rest, near.withColumn("done", F.lit(True)), ["h1", "h2"], "left", 24).withColumn("done", F.coalesce("done", F.lit(False)))
+    marked = materialize(marked, "open-lines")
+    rare = marked.filter(F.col("n") <= FREQUENT)
+    earlier = rare.select("key", F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("first").alias("y_first"), F.col("probe").alias("y_probe"))
+    pairs = rare.filter("not done").drop("g1", "g2").join(earlier, "key").filter((F.col("y_first") < F.col("first")) & (F.col("y_probe") != F.col("probe")))
+    pairs = pairs.select("h1", "h2", "g1", "g2")
+    big = marked.filter(F.col("n") > FREQUENT)
+    if not big.isEmpty():
+        with_texts = big.join(of("h1", "h2", "line"), ["h1", "h2"]).join(of("g1", "g2", "hub"), ["g1", "g2"])
+        pairs = pairs.unionByName(_deviating(with_texts.drop("g1", "g2", "n"), edits))
+    return near.unionByName(verified(pairs.distinct(), "near-others")).distinct()
 
 
 def line_dedup(docs: DataFrame, *, edits: int = MAX_EDITS, least: int = LEAST_CHARS) -> DataFrame:
@@ -94,14 +171,11 @@ def line_dedup(docs: DataFrame, *, edits: int = MAX_EDITS, least: int = LEAST_CH
     place = F.struct("doc_id", "rid", "no")
     distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines")
 
-    near = materialize(similar_lines(rows, distinct.select("h1", "h2", "first.rid", "first.no"), edits, least), "near-lines")
-    both = near.unionByName(near.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.col("h1").alias("g1"), F.col("h2").alias("g2")))
-    firsts = distinct.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("first").alias("near"))
-    nearest = both.join(firsts, ["g1", "g2"]).groupBy("h1", "h2").agg(F.min("near").alias("near"))
-    earliest = F.least("first", F.coalesce("near", "first"))
-    affected = distinct.join(nearest, ["h1", "h2"], "left").filter((F.col("n") > 1) | F.col("near").isNotNull()).select("h1", "h2", "first", earliest.alias("earliest"))
+    near = materialize(near_earlier(rows, distinct.select("h1", "h2", "first.rid", "first.no"), edits, least), "near-lines")
+    alike = join_bounded(distinct, near.withColumn("near", F.lit(True)), ["h1", "h2"], "left", 24)
+    affected = alike.filter((F.col("n") > 1) | F.col("near")).select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
 
-    gone = places.join(affected, ["h1", "h2"]).filter(F.col("earliest") < place)
+    gone = places.join(affected, ["h1", "h2"]).filter(F.col("near") | (F.col("first") < place))
     removed = materialize(gone.groupBy("rid").agg(F.collect_set("no").alias("nos"), F.count_distinct(F.when(F.col("first") == place, F.col("no"))).alias("near")), "removed-lines")
     n, total = removed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("nos")), F.lit(0))).first()
     joined = rows.join(F.broadcast(removed) if 64 * n + 4 * total <= BROADCAST_BYTES else removed.hint("merge"), "rid", "left")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clinicweave.llm import decontamination, graph, lines, mixing, neardup, quality, secrets, substrings, tokens, toxicity
+from clinicweave.llm import common, decontamination, graph, lines, mixing, neardup, quality, secrets, substrings, tokens, toxicity
 from clinicweave.llm.queries import vocabulary
 from clinicweave.llm.suffix import permuted_lcp, suffix_array
 
@@ -135,8 +135,11 @@ def distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("edits", [1, 2, 3])
-def test_similar_lines(spark, docs, edits):
+@pytest.mark.parametrize(("edits", "frequent", "broadcast"), [(1, 32, None), (2, 32, 0), (3, 32, None), (1, 1, None), (2, 1, 0)])
+def test_similar_lines(spark, docs, monkeypatch, edits, frequent, broadcast):
+    monkeypatch.setattr(lines, "FREQUENT", frequent)
+    for module in (lines, common) if broadcast is not None else ():
+        monkeypatch.setattr(module, "BROADCAST_BYTES", broadcast)
     rng = random.Random(edits)
     texts = []
     for _ in range(40):
@@ -165,6 +168,27 @@ def test_similar_lines(spark, docs, edits):
     assert lines.line_dedup(docs, edits=edits).count() == docs.count() and lines.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_lines_of_a_large_group_of_near_copies(spark):
+    rng = random.Random(17)
+    base = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(40))
+    texts = [base]
+    while len(texts) < 260:
+        x = list(rng.choice(texts[:40]) if rng.random() < 0.4 else base)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(x))
+            x[at : at + rng.randint(0, 1)] = "".join(rng.choice("abcxyz") for _ in range(rng.choice([0, 1, 1, 4])))
+        texts.append("".join(x))
+    rng.shuffle(texts)
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(t, i)
+    near = {t for t in first for o in first if first[o] < first[t] and abs(len(o) - len(t)) <= 2 and decontamination.best_match(o, t)[0] <= 2 and distance(o, t) <= 2}
+    want = {i: (int(t in near or first[t] < i), int(t in near and first[t] == i)) for i, t in enumerate(texts)}
+    got = by_id(lines.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert 30 < sum(n for _, n in want.values()) < 230
+    assert {d: (r["n_removed"], r["n_near"]) for d, r in got.items()} == want
+
+
 # --- near-duplicates ------------------------------------------------------------------------------------------------
 
 
