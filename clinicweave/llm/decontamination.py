@@ -186,7 +186,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_
             chars = {i: len(t) for i, t in prepared.rows}
             for batch in batches:
                 at, ids = 0, batch.column("doc_id").to_pylist()
-                for group in groups(batch.column("text").to_pylist(), 1 << 20):
+                for group in groups(batch.column("text"), 1 << 20):
                     found = [(ids[at + t], i, e, chars[i], end) for t, i, e, end in prepared.leaks([normalize(t) for t in group])]
                     at += len(group)
                     if found:

@@ -24,7 +24,7 @@ REGION = 16
 #: not joined yet. Of 200,000 simulated pairs at 80 % one shared no order's first three values, 117 no order's first five.
 CROWD_DEPTH = 3
 #: Sets of a crowd with the most links, which all others are tested against first, and sets of a block of a crowd.
-REPRESENTATIVES, BLOCK = 4, 128
+REPRESENTATIVES, BLOCK = 4, 512
 #: Candidates whose signatures agree in fewer places than this share of the threshold are dropped: at 128 hashes a
 #: pair at the threshold falls below it with a chance of about 1e-8.
 SKETCH_SLACK = 0.75
@@ -101,11 +101,12 @@ def _signed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for group in groups(batch.column("text").to_pylist(), 1 << 20):
+            for group in groups(batch.column("text"), 1 << 20):
                 sets = [shingle_set(w, k) for w in word_hashes(group)]
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 signs = [signature(s).tobytes() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(group)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "key", "sign"])
+                same = [batch.column(c).slice(at, len(group)) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*same, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "text_hash", "n_shingles", "key", "sign"])
                 at += len(group)
 
     return run
@@ -115,10 +116,10 @@ def _full_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for group in groups(batch.column("text").to_pylist(), 1 << 20):
+            for group in groups(batch.column("text"), 1 << 20):
                 sets = [shingle_set(w, k) for w in word_hashes(group)]
                 packed = [np.ascontiguousarray(s.view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BYTES :]).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(group)), pa.array(packed, pa.binary())], ["node", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(at, len(group)), pa.array(packed, pa.binary())], ["node", "members"])
                 at += len(group)
 
     return run
@@ -360,15 +361,16 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 2, percent: int = 8
     copies costs about n comparisons. In a crowd, a region too large for all of its pairs to be candidates, what
     links have not joined is then tested against the sets with the most links, and block against block after that:
     no pair of it stays untested unless it is in one component. Null texts and texts without words are empty and stay
-    alone; equal ids are rows of their own with one component; a null id has no component and is kept. Extra columns
-    are ignored.
+    alone; rows with equal ids are one document for the links of all their texts; a null id has no component and is
+    kept. Extra columns are ignored, and an empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    signed = materialize(plain.mapInArrow(_signed(shingle_words), "doc_id long, n_shingles long, key binary, sign binary"), "signed")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    signed = materialize(plain.mapInArrow(_signed(shingle_words), "doc_id long, text_hash long, n_shingles long, key binary, sign binary"), "signed")
     some = signed.filter("key is not null and doc_id is not null")
-    classes = some.groupBy("key").agg(F.min("doc_id").alias("node"), F.min_by("sign", "doc_id").alias("sign"))
-    classes = materialize(classes, "classes")
+    classes = some.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash"), F.min_by("sign", "doc_id").alias("sign"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    again = materialize(some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
     sets = classes.select("node", "sign")
 
     pairs = candidate_pairs(sets)
@@ -388,18 +390,22 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 2, percent: int = 8
     first = nearest(rated, "first-pairs")
 
     def full_sets(needed: DataFrame) -> DataFrame:
-        needed = materialize(needed.distinct(), "needed")
-        full = join_bounded(plain, needed, "doc_id", "left_semi", 16).dropDuplicates(["doc_id"]) if _repeated else join_bounded(plain, needed, "doc_id", "left_semi", 16)
+        needed = materialize(classes.select("node", "doc_id", "text_hash").join(needed.distinct(), "node"), "needed")
+        full = join_bounded(plain, needed, ["doc_id", "text_hash"], "inner", 48).select("node", "text")
+        full = full if again.isEmpty() else full.dropDuplicates(["node"])
         return materialize(full.mapInArrow(_full_sets(shingle_words), "node long, members binary"), "sets")
 
     def confirm(candidates: DataFrame, name: str) -> DataFrame:
-        full = full_sets(candidates.select(F.explode(F.array("a", "b")).alias("doc_id")))
+        full = full_sets(candidates.select(F.explode(F.array("a", "b")).alias("node")))
         of = lambda c, to: full.select(F.col("node").alias(c), F.col("members").alias(to))
         joined = candidates.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y")
         return materialize(joined.mapInArrow(_linked(percent), "a long, b long"), name)
 
-    _repeated = some.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     links = confirm(first, "links")
+    if not again.isEmpty():
+        own = materialize(join_bounded(some, again, "doc_id", "left_semi", 16).join(classes.select("key", "node"), "key").select("doc_id", "node").distinct(), "classes-of-ids")
+        least = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+        links = links.unionByName(materialize(own.join(least, "doc_id").filter("a != node").select("a", F.col("node").alias("b")), "links-of-ids"))
     labels = components(links)
     to = lambda df, c, out: df.join(labels.select(F.col("node").alias(c), F.col("label").alias(out)), c, "left").withColumn(out, F.coalesce(out, c))
     rest = to(to(rated.select("a", "b"), "a", "la"), "b", "lb").filter("la != lb").join(first, ["a", "b"], "left_anti")
@@ -418,15 +424,16 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 2, percent: int = 8
             links = links.unionByName(met)
             labels = components(links)
             open_ = _unsettled(crowd, labels)
-        full = full_sets(open_.select(F.col("node").alias("doc_id"))).join(sketches, "node")
+        full = full_sets(open_.select("node")).join(sketches, "node")
         blocks = _block_pairs(open_).join(full, "node").groupBy("region", "p", "q")
         left = materialize(blocks.applyInArrow(_block_links(percent), "a long, b long").distinct(), "block-links")
         if not left.isEmpty():
             labels = components(links.unionByName(left))
 
-    label = classes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
-    out = signed.select("doc_id", "n_shingles", "key").join(label, "key", "left")
-    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")))
+    label = classes.select("key", "node", "doc_id").join(labels, "node", "left").select("key", "doc_id", F.coalesce("label", "node").alias("label"))
+    least = label.groupBy("label").agg(F.min("doc_id").alias("least"))
+    out = signed.select("doc_id", "n_shingles", "key").join(label.join(least, "label").select("key", "least"), "key", "left")
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

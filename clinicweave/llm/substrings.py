@@ -90,7 +90,7 @@ def _send_anchors(buckets: int):
         rids, hashes, owners, size = [], [], [], 0
         for b in batches:
             ids, at = b.column("rid").to_pylist(), 0
-            for group in groups(b.column("text").to_pylist(), 1 << 20):
+            for group in groups(b.column("text"), 1 << 20):
                 text, _, _, h, data = _anchors(_raw(group))
                 if len(h):
                     hashes.append(h)
@@ -160,7 +160,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         at = 0
         ids, docs, marks = (b.column(c).to_pylist() for c in ("rid", "doc_id", "marks"))
-        for group in groups(b.column("text").to_pylist(), 1 << 20):
+        for group in groups(b.column("text"), 1 << 20):
             raws = _raw(group)
             text, first, count, h, data = _anchors(raws)
             top = (h >> np.uint64(48)).astype(np.int64) + (text.astype(np.int64) << 16)

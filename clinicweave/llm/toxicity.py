@@ -90,7 +90,7 @@ def with_features(rows: DataFrame, strong: list[str], weak: list[str]) -> DataFr
         lexicon = Lexicon(strong, weak)
         for batch in batches:
             at = 0
-            for group in groups(batch.column("text").to_pylist()):
+            for group in groups(batch.column("text")):
                 values = np.array([text_features(t, lexicon) for t in group], np.float64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, len(FEATURES), dtype=np.int32)), pa.array(values.ravel()))
                 part = batch.slice(at, len(group))

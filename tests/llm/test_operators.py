@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,10 +34,20 @@ def odd_texts(n=1500):
     return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(n)]
 
 
-def test_words_give_the_ids_of_whole_texts():
+tokens_letters = [chr(c) for a, b in ((65, 90), (97, 122), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x131, 0x24F)) for c in range(a, b + 1)]
+
+
+def test_words_give_the_ids_of_whole_texts(monkeypatch):
     path = vocabulary("word_bpe_49k.json")
     texts = odd_texts()
-    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encode_words(path, texts)] == tokens._encode(path, texts)
+    assert tokens._plain_words(path)
+    monkeypatch.setattr(tokens, "WORDS_AT_ONCE", 40)
+    got = [x.tolist() for ids, sizes in tokens.encode_column(path, pa.array([None, *texts])) for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [[], *tokens._encode(path, texts)]
+    words = ["".join(random.Random(i).choices(tokens_letters, k=i % 9 + 1)) for i in range(3000)]
+    ids, sizes = tokens._encode_plain(path, words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == tokens._encode(path, words)
+    assert [len(x) for x in tokens.slices(pa.array(["a" * 10, None, "b" * 3, "c" * 30, "d"]), 12)] == [3, 1, 1]
 
 
 def test_words_give_the_counts_of_whole_texts():
@@ -67,6 +78,31 @@ def test_token_files(spark, docs):
     assert tokens.token_output(docs.limit(0), path).count() == 0
 
 
+def test_token_files_are_read_in_part(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path, at = vocabulary("word_bpe_49k.json"), str(tmp_path / "ids")
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"{rng.choice('abcd')}{rng.randint(0, 999)}" for _ in range(50))) for i in range(4000)] + [(7, "c"), (7, "b b b b b b"), (7, "b b b b b b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("place", F.lit("x"))
+    files = tokens.write_token_ids(df, at, path, row_group_bytes=1 << 16, page_bytes=4 << 10, page_rows=100)
+    starts = sorted((r["start"], r["n_tokens"]) for r in tokens.token_file_digest(files).filter("doc_id = 7").collect())
+    assert [n for _, n in starts[1:3]] == [7, 2] and starts[0][1] > 50 or [n for _, n in starts[:3]] == [7, 7, 2]  # equal ids lie in the order of their texts, as in the files
+    some = tokens.read_token_ids(spark, at, 100, 102)
+    assert sorted(r["doc_id"] for r in some.collect()) == [100, 101, 102]
+    counts = tokens.read_token_counts(spark, at)
+    assert counts.agg(F.sum("n_tokens")).first() == files.agg(F.sum("n_tokens")).first()
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), GreaterThanOrEqual(doc_id,100)" in plan(some) and "ids" not in plan(counts).split("ReadSchema")[1]
+    meta = [pq.ParquetFile(f).metadata for f in tmp_path.glob("ids/*.parquet")]
+    column = lambda m, name: next(m.row_group(0).column(i) for i in range(m.num_columns) if m.row_group(0).column(i).path_in_schema.startswith(name))
+    assert any(m.num_row_groups > 1 for m in meta)
+    for m in meta:
+        assert column(m, "ids").has_dictionary_page and "RLE_DICTIONARY" in column(m, "ids").encodings
+        assert any(e.startswith("DELTA") for e in column(m, "doc_id").encodings)
+        assert column(m, "doc_id").has_offset_index and column(m, "doc_id").has_column_index
+
+
 def test_token_counts(docs):
     path = vocabulary("byte_bpe_50k.json")
     got = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in tokens.token_counts(docs, path).collect())
@@ -254,6 +290,16 @@ def test_near_duplicates(spark, docs, k):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.near_duplicates(docs).count() == docs.count()
 
 
+def test_texts_of_one_id_join_what_is_near_to_each(spark):
+    rng = random.Random(4)
+    text = lambda: [f"w{rng.randrange(10_000)}" for _ in range(100)]
+    w, v = text(), text()
+    near = lambda x: " ".join([*x[:50], "changed", *x[51:]])
+    rows = [(5, " ".join(w)), (5, " ".join(v)), (6, near(w)), (7, near(v)), (8, None), (8, None)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [(5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True), (8, 8, True)]
+
+
 def star(copies):
     """An original (id 0) and copies of it, each near to it and none near to another."""
     rng = random.Random(21)
