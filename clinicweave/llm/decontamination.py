@@ -10,36 +10,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinicweave.llm.common import join_bounded, materialize
-from clinicweave.llm.neardup import _BYTE, _powers, mix
 from clinicweave.llm.tokens import groups
 
 #: An item leaks into a document that holds a passage within this share of its length in edits.
 MAX_EDITS = 0.15
-#: Items of fewer characters after normalization cannot be told from chance and are not searched.
+#: Items of fewer characters after normalization leak only where they stand without an edit between other words:
+#: what is within the edits of so few characters is met by chance.
 LEAST_ITEM = 32
+#: Items of fewer characters are words that any text may hold, and are not searched.
+LEAST_EXACT = 12
 #: Characters of a gram at most, and grams that a passage within the edits keeps of an item at least.
 GRAM, LEAST_KEPT = 10, 4
-#: Occurrences of grams that are counted at once.
-HITS = 4 << 20
+#: Characters of texts that are searched at once, and cells of (item, strip of diagonals) that are counted in an array.
+GROUP_CHARS, CELLS = 256 << 10, 16 << 20
 #: Characters of items that are broadcast at once; more items are searched block by block.
 BLOCK_CHARS = 4 << 20
 
+_MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def normalize(text: str | None) -> str:
     """Lower case, blanks between words only."""
     return " ".join((text or "").lower().replace("\0", " ").split())
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
 
 
 def _grams(codes: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of the gram of ``size`` characters that starts at each position."""
-    if len(codes) < size:
-        return np.empty(0, np.uint64)
-    up, down = _powers(len(codes) + 1)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((_BYTE[codes & 255] + codes) * up[: len(codes)])])
-    return mix((sums[size:] - sums[:-size]) * down[: len(codes) - size + 1])
+    n = max(0, len(codes) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(size):
+        out += codes[i : i + n] * _MULTIPLIERS[i]
+    return out
 
 
 def best_match(item: str, text: str) -> tuple[int, int]:
@@ -69,73 +74,88 @@ def best_match(item: str, text: str) -> tuple[int, int]:
 
 
 class Items:
-    """A block of items, prepared on the driver: where each gram occurs in them, and the texts to verify against.
+    """Items of one gram size, prepared on the driver: where each gram occurs in them, and the texts to verify against.
 
     An edit touches ``size`` grams at most, so that a passage within ``most`` edits of an item keeps all but
     ``most * size`` of its grams, at diagonals (place in the text less place in the item) that span ``most`` at most.
-    ``size`` is the largest that leaves ``LEAST_KEPT`` grams of every item, and one for each eight of its characters. The most frequent grams of an item are left out
-    and count as lost; the others still have to come ``least`` times in two neighbouring strips of diagonals.
+    The most frequent grams of an item are left out and count as lost; the others still have to come ``least`` times in
+    two neighbouring strips of diagonals.
     """
 
-    def __init__(self, rows: list[tuple[int, str]], max_edits: float):
-        self.rows = [(i, t) for i, t in ((i, normalize(t)) for i, t in rows) if len(t) >= LEAST_ITEM]
-        codes = [_codes(t) for _, t in self.rows]
-        n = np.array([len(c) for c in codes], np.int64)
-        self.most = np.array([int(max_edits * x) for x in n.tolist()], np.int64)
-        kept = lambda size: n - size + 1 - self.most * size
-        self.size = next((size for size in range(GRAM, 1, -1) if (kept(size) >= np.maximum(LEAST_KEPT, n // 8)).all()), 1)
-        grams = [_grams(c, self.size) for c in codes]
-        self.grams, which, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True) if grams else (np.empty(0, np.uint64),) * 3
-        self.bitmap = np.zeros(1 << 22, bool)
-        self.bitmap[(self.grams >> np.uint64(42)).astype(np.int64)] = True
-        self.least = np.minimum(np.maximum(LEAST_KEPT, -(-kept(self.size) // 2)), kept(self.size))
+    def __init__(self, rows: list[tuple[int, str]], most: list[int], size: int):
+        self.rows, self.size, self.most = rows, size, np.array(most, np.int64)
+        n = np.array([len(t) for _, t in rows], np.int64)
+        self.kept = n - size + 1 - self.most * size
+        self.least = np.minimum(np.maximum(LEAST_KEPT, -(-self.kept // 2)), self.kept)
+        self.item_grams = [_grams(_codes(t), size) for _, t in rows]
+        self.grams, which, counts = np.unique(np.concatenate(self.item_grams), return_inverse=True, return_counts=True)
         owners, offsets, numbers, at = [], [], [], 0
-        for item, g in enumerate(grams):
+        for item, g in enumerate(self.item_grams):
             mine = which[at : at + len(g)]
             at += len(g)
-            rare = np.argsort(counts[mine], kind="stable")[: len(g) - int(kept(self.size)[item] - self.least[item])]
+            rare = np.argsort(counts[mine], kind="stable")[: len(g) - int(self.kept[item] - self.least[item])]
             owners.append(np.full(len(rare), item))
             offsets.append(rare)
             numbers.append(mine[rare])
-        self.owners, self.offsets, numbers = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (owners, offsets, numbers))
+        owners, offsets, numbers = np.concatenate(owners), np.concatenate(offsets), np.concatenate(numbers)
         order = np.argsort(numbers, kind="stable")
-        self.owners, self.offsets = self.owners[order], self.offsets[order]
-        self.first = np.searchsorted(numbers[order], np.arange(len(self.grams) + 1))
+        self.owners, self.first = owners[order], np.searchsorted(numbers[order], np.arange(len(self.grams) + 1))
+        self.ahead = int(n.max())  # so that no diagonal is below 0
+        self.turn, self.width = self.ahead - offsets[order] + 0.5, 1.0 / (self.most[self.owners] + 1)
+        # Grams in order of their hashes: the first of each value of the upper bits.
+        self.shift = np.uint64(64 - min(24, max(16, int(len(self.grams)).bit_length() + 3)))
+        self.begin = np.searchsorted(self.grams >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
+        self.deep = int(np.diff(self.begin).max())
+
+    def _hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, number of its gram) of the positions whose gram an item has."""
+        top = (grams >> self.shift).astype(np.int64)
+        start, end = self.begin[top], self.begin[top + 1]
+        at = np.flatnonzero(end > start)
+        start, end, mine = start[at], end[at], grams[at]
+        found = []
+        for k in range(self.deep):
+            same = (start + k < end) & (self.grams[np.minimum(start + k, len(self.grams) - 1)] == mine)
+            found.append(np.stack([at[same], start[same] + k]))
+        found = np.concatenate(found, axis=1)
+        return found[0], found[1]
+
+    def _strips(self, grams: np.ndarray, chars: int) -> tuple[np.ndarray, np.ndarray]:
+        """(item, strip) of which this strip and the next one have as many grams as a passage keeps."""
+        at, gram = self._hits(grams)
+        many = self.first[gram + 1] - self.first[gram]
+        place = np.repeat(self.first[gram] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        owner = self.owners[place]
+        strip = ((np.repeat(at, many) + self.turn[place]) * self.width[place]).astype(np.int64)
+        each = (chars + self.ahead) // (self.most + 1) + 3
+        base = np.cumsum(each) - each
+        cells = int(each.sum())
+        if cells <= CELLS:
+            counts = np.bincount(base[owner] + strip, minlength=cells + 1)
+            some = counts >= max(1, int(self.least.min()) // 2)
+            some[:-1] |= some[1:]
+            cell = np.flatnonzero(some[:-1])
+            both = counts[cell] + counts[cell + 1]
+        else:
+            cell, n = np.unique(base[owner] + strip, return_counts=True)
+            both = n.copy()
+            both[:-1] += np.where(cell[1:] == cell[:-1] + 1, n[1:], 0)
+            alone = np.setdiff1d(cell - 1, cell)  # strips that have grams in the next one only
+            cell, both = np.concatenate([cell, alone]), np.concatenate([both, n[np.searchsorted(cell, alone + 1)]])
+            order = np.argsort(cell)
+            cell, both = cell[order], both[order]
+        item = np.maximum(np.searchsorted(base, cell, "right") - 1, 0)
+        good = both >= self.least[item]
+        return item[good], (cell - base[item])[good]
 
     def candidates(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, least, greatest) of the places in the text that an item may start at."""
-        if not len(self.grams):
-            return
         codes = _codes("\0".join(texts))
-        grams = _grams(codes, self.size)
-        at = np.flatnonzero(self.bitmap[(grams >> np.uint64(42)).astype(np.int64)])
-        near = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
-        same = self.grams[near] == grams[at]
-        at, near = at[same], near[same]
-        many = self.first[near + 1] - self.first[near]
-        ahead = max(len(t) for _, t in self.rows)  # so that no diagonal is below 0
-        strips = len(codes) + ahead + 3
-        cuts = np.searchsorted(np.cumsum(many), np.arange(HITS, int(many.sum()) + HITS, HITS))
-        keys, sums, begin = [], [], 0
-        for end in [*(cuts[:-1] + 1).tolist(), len(at)]:
-            m = many[begin:end]
-            place = np.arange(int(m.sum())) + np.repeat(self.first[near[begin:end]] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) if len(m) else np.empty(0, np.int64)
-            owner = self.owners[place]
-            strip = (np.repeat(at[begin:end], m) - self.offsets[place] + ahead) // (self.most[owner] + 1)
-            key, n = np.unique(owner * strips + strip, return_counts=True)
-            keys.append(key)
-            sums.append(n)
-            begin = end
-        key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate(sums), len(key)).astype(np.int64)
-        both = n.copy()
-        both[:-1] += np.where(key[1:] == key[:-1] + 1, n[1:], 0)
-        key = key[both >= self.least[key // strips]]
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         last: list[int] | None = None
-        for item, strip in zip((key // strips).tolist(), (key % strips).tolist(), strict=True):
+        for item, strip in zip(*(x.tolist() for x in self._strips(_grams(codes, self.size), len(codes))), strict=True):
             most = int(self.most[item])
-            low, high = strip * (most + 1) - ahead - most, (strip + 2) * (most + 1) - ahead + most
+            low, high = strip * (most + 1) - self.ahead - most, (strip + 2) * (most + 1) - self.ahead + most
             for text in range(max(0, int(np.searchsorted(begins, low, "right")) - 1), min(len(texts), int(np.searchsorted(begins, high, "right")))):
                 x, y = max(0, low - int(begins[text])), min(len(texts[text]), high - int(begins[text]))
                 if last and last[:2] == [text, item] and x <= last[3]:
@@ -152,49 +172,81 @@ class Items:
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for text, item, low, high in self.candidates(texts):
             wanted, most = self.rows[item][1], int(self.most[item])
-            edits, end = best_match(wanted, texts[text][low : high + len(wanted) + most])
+            part = texts[text][low : high + len(wanted) + most]
+            if len(part) < self.size:
+                continue
+            near, own = np.sort(_grams(_codes(part), self.size)), self.item_grams[item]
+            if (near[np.minimum(np.searchsorted(near, own), len(near) - 1)] == own).sum() < self.kept[item]:
+                continue
+            if len(wanted) < LEAST_ITEM:
+                at = f" {texts[text]} ".find(f" {wanted} ", low)
+                edits, end = (0, at - low + len(wanted)) if 0 <= at <= high else (most + 1, 0)
+            else:
+                edits, end = best_match(wanted, part)
             if edits <= most:
                 best[text, item] = min(best.get((text, item), (edits, low + end)), (edits, low + end))
         for (text, item), (edits, end) in best.items():
             yield text, self.rows[item][0], edits, end
 
 
+def prepared(rows: list[tuple[int, str]], max_edits: float) -> list[Items]:
+    """Items by gram size: the largest that leaves ``LEAST_KEPT`` grams of an item, and one for each eight of its characters."""
+    by: dict[int, list[tuple[tuple[int, str], int]]] = {}
+    for i, t in ((i, normalize(t)) for i, t in rows):
+        n = len(t)
+        most = int(max_edits * n) if n >= LEAST_ITEM else 0
+        kept = lambda size: n - size + 1 - most * size  # noqa: B023, E731
+        if n >= LEAST_EXACT:
+            size = next((size for size in range(GRAM, 1, -1) if kept(size) >= max(LEAST_KEPT if most else 1, n // 8)), 1)
+            by.setdefault(size, []).append(((i, t), most))
+    return [Items([r for r, _ in x], [m for _, m in x], size) for size, x in by.items()]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_EDITS) -> DataFrame:
     """(doc_id, item_id, edits, item_chars, end) of every document and item of which it holds a passage.
 
     Texts are compared in lower case with single blanks. A document leaks an item if some passage of it is within
     ``max_edits`` of the item's length in edits (Levenshtein). Every such passage is found: it keeps so many grams of
     the item on near diagonals that counting them loses none, and places with that many are verified over the whole
-    item. Items shorter than ``LEAST_ITEM`` are not searched; null or empty texts, ids and items leak nothing; equal
-    items are found each; equal documents have their own rows.
+    item. Items shorter than ``LEAST_ITEM`` have to stand verbatim between other words, and those shorter than
+    ``LEAST_EXACT`` are not searched. Null or empty texts, ids and items leak nothing; equal items are found each;
+    repeated rows have their own rows; texts of any length are searched whole; extra columns are ignored.
 
     One narrow pass over the documents for each block of ``BLOCK_CHARS`` characters of items, which is what a task
-    gets as a broadcast; nothing is shuffled.
+    gets as a broadcast, a block at a time; nothing is shuffled.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_CHARS))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    out = None
-    for block in range(blocks):
+
+    def search(block: int) -> tuple[DataFrame, object]:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in part], max_edits))
+        shared = spark.sparkContext.broadcast(prepared([(r["item_id"], r["text"]) for r in part], max_edits))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            prepared: Items = shared.value
-            chars = {i: len(t) for i, t in prepared.rows}
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            chars = {i: len(t) for items in shared.value for i, t in items.rows}
             for batch in batches:
                 at, ids = 0, batch.column("doc_id").to_pylist()
-                for group in groups(batch.column("text"), 1 << 20):
-                    found = [(ids[at + t], i, e, chars[i], end) for t, i, e, end in prepared.leaks([normalize(t) for t in group])]
+                for group in groups(batch.column("text"), GROUP_CHARS):
+                    texts = [normalize(t) for t in group]
+                    found = [(ids[at + t], i, e, chars[i], end) for items in shared.value for t, i, e, end in items.leaks(texts)]
                     at += len(group)
                     if found:
                         cols = zip(*found, strict=True)
                         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "edits", "item_chars", "end"])
 
-        found = rows.mapInArrow(run, "doc_id long, item_id long, edits int, item_chars int, end int")
+        return rows.mapInArrow(run, "doc_id long, item_id long, edits int, item_chars int, end int"), shared
+
+    if blocks == 1:
+        return search(0)[0]
+    out = None
+    for block in range(blocks):
+        found, shared = search(block)
+        found = materialize(found, "leaks")
+        shared.unpersist()
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -429,11 +429,14 @@ def test_edit_search():
         assert decontamination.best_match(a, b)[0] == want
 
 
-def test_leaks(spark, docs):
+@pytest.mark.parametrize(("block", "cells"), [(4 << 20, 16 << 20), (2000, 0)])
+def test_leaks(spark, docs, monkeypatch, block, cells):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block)
+    monkeypatch.setattr(decontamination, "CELLS", cells)
     rng = random.Random(12)
     text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
-    items = [(i, text(30)) for i in range(40)] + [(100, None), (101, ""), (102, "short"), (None, text(30))]
-    rows, want = [], set()
+    items = [(i, text(30)) for i in range(40)] + [(100, None), (101, ""), (102, "short"), (None, text(30)), (103, "Twenty  three letters!")]
+    rows, want = [(900, "x twenty three\nletters! y"), (901, "twenty three letters!y"), (902, "twenty three letter! y"), (903, "漢字" * 400 + items[3][1] + "漢" * 90)], {(900, 103), (903, 3)}
     for i in range(200):
         body = text(60)
         if i % 5 == 0:
@@ -449,10 +452,12 @@ def test_leaks(spark, docs):
     assert found <= want and len(found) >= 0.95 * len(want)
     assert decontamination.find_leaks(docs, bench).count() == 0 and decontamination.find_leaks(df, bench.limit(0)).count() == 0
     left = decontamination.drop_leaking(df.withColumn("item_id", F.lit(1)), bench)
-    assert left.count() == 200 - len({d for d, _ in found}) and "item_id" in left.columns
+    assert left.count() == 204 - len({d for d, _ in found}) and "item_id" in left.columns
 
 
-def test_leaks_with_all_the_edits_that_count(spark):
+@pytest.mark.parametrize("cells", [16 << 20, 0])
+def test_leaks_with_all_the_edits_that_count(spark, monkeypatch, cells):
+    monkeypatch.setattr(decontamination, "CELLS", cells)
     rng = random.Random(31)
     text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(60))[:n].strip()
     items = [(i, text((34, 90, 160, 233)[i % 4])) for i in range(40)]
