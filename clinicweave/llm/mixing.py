@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import join_bounded, materialize, n_words_of
+from clinicweave.llm.common import join_bounded, let, materialize, n_words_of
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -46,24 +46,66 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes:
     return rows.select("source", "source_size", F.least("_cap", F.coalesce(F.col("_w") * F.col("_share"), F.col("_cap"))).alias("target"))
 
 
-def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, passes: int = MAX_PASSES, levels: int = LEVELS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
-    """Tables (documents with size, source_size, target) and (draws: doc_id, _row, copy, shard, place).
+def _left_quotas(quotas: Column, seed: Column) -> Column:
+    """Struct of the quotas of the left and of the right child of a node: a multivariate hypergeometric draw.
+
+    The left child gets half of all units. Units are decided one by one, each taken with the chance (still wanted) /
+    (still there), which takes exactly half and gives the counts by source their joint law.
+    """
+    total = F.aggregate(quotas, F.lit(0), lambda a, q: a + q)
+    chance = lambda i, t: F.pmod(F.xxhash64(seed, i, t), F.lit(1 << 31)) / float(1 << 31)
+
+    def unit(a: Column, i: Column, t: Column) -> Column:
+        return let((chance(i, t) * a["there"] < a["wanted"]).cast("int"), lambda take: F.struct((a["wanted"] - take).alias("wanted"), (a["there"] - 1).alias("there"), (a["taken"] + take).alias("taken")))
+
+    def source(acc: Column, i: Column) -> Column:
+        begin = F.struct(acc["wanted"].alias("wanted"), acc["there"].alias("there"), F.lit(0).alias("taken"))
+        end = F.aggregate(F.filter(F.sequence(F.lit(0), quotas[i]), lambda t: t > 0), begin, lambda a, t: unit(a, i, t))
+        return let(end, lambda e: F.struct(e["wanted"].alias("wanted"), e["there"].alias("there"), F.concat(acc["left"], F.array(e["taken"])).alias("left")))
+
+    begin = F.struct(F.ceil(total / 2).cast("int").alias("wanted"), total.alias("there"), F.array().cast("array<int>").alias("left"))
+    left = F.aggregate(F.sequence(F.lit(0), F.size(quotas) - 1), begin, source)["left"]
+    return let(left, lambda x: F.struct(x.alias("left"), F.zip_with(quotas, x, lambda q, n: q - n).alias("right")))
+
+
+def shard_quotas(quotas: DataFrame, levels: int = LEVELS, seed: str = SEED) -> DataFrame:
+    """(_s, shard, _from, _to) of rows (_s, quota): the units of each source that each shard draws, as a run of them.
+
+    A splitting tree over the vector of all quotas: every node deals its vector to two children by a hypergeometric
+    draw, down to ``2 ** levels`` shards. A row a node, as long as there are sources.
+    """
+    node = quotas.agg(F.array_sort(F.collect_list(F.struct("_s", "quota"))).alias("x")).filter(F.size("x") > 0)
+    node = node.select(F.lit(1).alias("node"), F.col("x._s").alias("_s"), F.col("x.quota").alias("quota"))
+    for _ in range(levels):
+        halves = node.select("node", "_s", _left_quotas(F.col("quota"), F.xxhash64(F.lit(seed), "node")).alias("h"))
+        child = F.explode(F.array(F.struct((2 * F.col("node")).alias("node"), F.col("h.left").alias("quota")), F.struct((2 * F.col("node") + 1).alias("node"), F.col("h.right").alias("quota"))))
+        node = materialize(halves.select("_s", child.alias("c")).select("c.node", "_s", "c.quota"), "mix-tree")
+    runs = node.select((F.col("node") - (1 << levels)).alias("shard"), F.explode(F.arrays_zip("_s", "quota")).alias("z")).select("z._s", "shard", "z.quota")
+    to = F.sum("quota").over(Window.partitionBy("_s").orderBy("shard").rowsBetween(_FIRST, 0))
+    return runs.withColumn("_to", to).withColumn("_from", F.col("_to") - F.col("quota")).drop("quota")
+
+
+def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", key_col: str | None = None, weights: tuple[int, ...] = WEIGHTS, passes: int = MAX_PASSES, levels: int = LEVELS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+    """Tables (documents with size, source_size, target) and (draws: doc_id, _row, _key, copy, shard, place).
+
+    ``key_col`` names a column that draws carry as ``_key``, the id if none is given.
 
     A source's documents fall into 256 permuted blocks by a seeded hash of the id. The mix takes whole passes over a
     source, then blocks in permuted order until the rest of its target is met; the block at the edge is cut into 256
     smaller ones in the same way, and the one at that edge by documents; one more document fills the gap that is left
     if that comes nearer to the target. So a draw never exceeds ``passes`` times a document, and reruns draw alike.
 
-    Blocks times passes are the units. A binary splitting tree deals the units to ``2 ** levels`` shards: each node
-    sends exactly half of its units to the left, chosen without replacement by a seeded permutation, so the counts
-    by source follow the multivariate hypergeometric law. Units are disjoint; ``place`` orders a shard locally.
+    Blocks times passes are the units, and their numbers by source the quotas, which ``shard_quotas`` splits exactly
+    among ``2 ** levels`` shards. Every shard draws its quota of each source from the source's permuted units: the
+    runs of the shards are disjoint and leave nothing over. ``place`` shuffles a shard locally.
 
-    Null sources are one source, null texts have size 0, equal ids fall into one block. Windows run over at most 256
-    rows a source, except the last one over a 65,536th of a source's documents, and the tree over units.
+    Null sources are one source, null texts have size 0, equal ids fall into one block, repeated rows are rows, texts
+    of any length count whole, extra columns are ignored, an empty table gives empty tables. Windows run over at most
+    256 rows a source and pass, except the last one over a 65,536th of a source's documents.
     """
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words_of(F.col(text_col)).alias("size"))
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(key_col or id_col).alias("_key"), F.col(source_col).alias("source"), n_words_of(F.col(text_col)).alias("size"))
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    rows = materialize(sized.select("doc_id", "source", "size", F.monotonically_increasing_id().alias("_row"), digest.alias("_d")), "mix-sizes")
+    rows = materialize(sized.select("doc_id", "_key", "source", "size", F.monotonically_increasing_id().alias("_row"), digest.alias("_d")), "mix-sizes")
     rows = rows.withColumn("_b", _hex_byte(F.col("_d"), 0)).withColumn("_c", _hex_byte(F.col("_d"), 1)).withColumn("_s", F.struct(F.col("source").isNull().alias("n"), F.coalesce("source", F.lit("")).alias("v")))
 
     key = lambda *more: F.md5(F.concat_ws(":", F.lit(seed), F.col("_s.n").cast("string"), F.col("_s.v"), *[F.col(x).cast("string") for x in more]))
@@ -99,19 +141,18 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     copies = F.col("_full") + F.when(F.col("_whole") | F.col("_edge"), 1).otherwise(0)
     units = blocks.filter(copies > 0).select("_s", "_b", "_full", "_edge", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
-    units = units.withColumn("_cut", F.col("_edge") & (F.col("copy") > F.col("_full"))).withColumn("shard", F.lit(0))
-    for level in range(levels):
-        node = Window.partitionBy("shard")
-        nth = F.row_number().over(node.orderBy(F.md5(F.concat_ws(":", F.lit(level), key("_b", "copy"))), "_s", "_b", "copy"))
-        right = nth > F.floor((F.count(F.lit(1)).over(node) + 1) / 2)
-        units = units.withColumn("shard", 2 * F.col("shard") + right.cast("int"))
-    units = materialize(units.select("_s", "_b", "copy", "_cut", "shard"), "mix-units")
-
-    place = F.md5(F.concat_ws(":", F.lit(seed), F.col("copy").cast("string"), F.col("_d")))
-    pick = lambda r, u, on: r.join(u, on).select("doc_id", "_row", "copy", "shard", place.alias("place"))
+    units = units.withColumn("_cut", F.col("_edge") & (F.col("copy") > F.col("_full")))
+    nth = F.row_number().over(Window.partitionBy("_s").orderBy(key("_b", "copy"), "_b", "copy"))
+    units = units.withColumn("_nth", nth).select("_s", "_b", "copy", "_cut", "_nth")
+    quotas = materialize(shard_quotas(units.groupBy("_s").agg(F.count(F.lit(1)).cast("int").alias("quota")), levels, seed), "mix-quotas")
+    drawn = units.join(quotas, "_s").filter((F.col("_nth") > F.col("_from")) & (F.col("_nth") <= F.col("_to")))
+    units = materialize(drawn.select("_s", "_b", "copy", "_cut", "shard"), "mix-units")
+
+    place = F.xxhash64(F.lit(seed), "copy", "_d")
+    pick = lambda r, u, on: r.join(u, on).select("doc_id", "_row", "_key", "copy", "shard", place.alias("place"))
     whole = pick(rows, units.filter("not _cut"), ["_s", "_b"])
     cut = pick(rows.join(partial, "_row", "left_semi"), units.filter("_cut").drop("_b"), ["_s"])
-    out = rows.join(targets.select("_s", "source_size", "target"), "_s").select("doc_id", "_row", "source", "size", "source_size", "target")
+    out = rows.join(targets.select("_s", "source_size", "target"), "_s").select("doc_id", "_row", "_key", "source", "size", "source_size", "target")
     return out, whole.unionByName(cut)
 
 
@@ -123,16 +164,22 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
     return rows.join(times, "_row", "left").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents of the mix with all their columns, a row for each time one is taken.
+def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix with all their columns, a row for each time one is taken, shard after shard and each
+    shard in its shuffled order.
 
-    Rows that are equal in id and text are taken alike. The text is joined to its count as it is read: a broadcast
-    within a checked size, else a shuffle.
+    Rows that are equal in id and text are taken alike. The draws of a document are joined to it as it is read: as a
+    broadcast within a checked size, else by a shuffle. Shards are ranges of (shard, place), so that a large shard is
+    many tasks. Helper columns have names of their own, whatever the columns of ``docs`` are called.
     """
-    keyed = docs.withColumn("_rid", F.xxhash64(id_col, text_col))
-    rows, draws = mix_plan(keyed, id_col="_rid", text_col=text_col, **options)
-    equal = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    times = draws.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).join(equal, "doc_id")
-    times = materialize(times.select(F.col("doc_id").alias("_rid"), F.round(F.col("n") / F.col("rows")).cast("int").alias("_n")), "mix-times")
-    mixed = join_bounded(keyed, times, "_rid", "inner", 24).filter("_n > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names, strict=True))
+    keyed = docs.toDF(*names).withColumn("rid", F.xxhash64(of[id_col], of[text_col]))
+    rows, draws = mix_plan(keyed, id_col=of[id_col], key_col="rid", text_col=of[text_col], source_col=of[source_col], **options)
+    equal = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
+    lists = draws.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(F.struct("copy", "shard", "place"))).alias("draws")).join(equal, "_key")
+    lists = lists.select(F.col("_key").alias("rid"), F.slice("draws", 1, F.round(F.col("n") / F.col("rows")).cast("int")).alias("draws")).filter(F.size("draws") > 0)
+    mixed = join_bounded(keyed, materialize(lists, "mix-draws"), "rid", "inner", 40 + 40 * MAX_PASSES)
+    mixed = mixed.select(*names, F.explode("draws").alias("d")).select(*names, "d.shard", "d.place")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return mixed.repartitionByRange(parts, "shard", "place").sortWithinPartitions("shard", "place").select(*names).toDF(*docs.columns)
