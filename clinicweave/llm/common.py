@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,13 @@ BROADCAST_BYTES = 48 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (tests on one machine), a temporary
-    folder of this machine is set once for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset and all runs in one process, as in tests, a
+    temporary folder of this machine is set once for the session; executors elsewhere would not see it.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="clinicweave-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import let, materialize
+from clinicweave.llm.common import join_bounded, let, materialize
 
 # The patterns of the base kinds.
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -23,7 +23,8 @@ MAX_OWNERS, MAX_REPOSITORIES = 1, 5
 #: Words of placeholders.
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|1234567|abcdef"
 
-_SALTS = 16
+#: The occurrences of a value are dealt to a task for each so many of them.
+ROWS_OF_A_KEY = 50_000
 
 
 def _spans(text: Column, pattern: str, kind: int, keep, value_group: int = 0) -> Column:
@@ -80,10 +81,13 @@ def secret_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     it. A live-looking value within ``max_owners`` owners and ``max_repositories`` repositories is owner-specific:
     its tokens become spans of kind ``token``, and its base spans count in ``n_live``. A value beyond the bounds
     counts in ``n_copied``. Base spans stay whatever their frequency. Null texts are empty, null owners and
-    repositories are one value each, and every input row is a row of the result.
+    repositories are one value each; texts of any length are scanned whole; every input row is a row of the result,
+    repeated rows and equal ids included; extra columns are ignored, whatever their names; an empty table gives an
+    empty result. Of overlapping matches of one kind the leftmost counts.
 
     The text is read once; what follows works on a written table of spans. Distinct owners are reduced per value
-    before the shuffle, and the verdicts are joined salted, so that a value in a third of all rows is no hot key.
+    before the shuffle, and the verdicts of frequent values are joined salted, a salt for each ``ROWS_OF_A_KEY`` of their
+    occurrences, so that a value in a third of all rows is no hot key.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(repository_col).cast("string").alias("_repo"), F.col(owner_col).cast("string").alias("_owner"), text.alias("_t"))
@@ -94,12 +98,16 @@ def secret_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     candidates = table.filter((F.size("base") > 0) | (F.size("more") > 0)).select("_row", "_repo", "_owner", F.explode(F.concat("base", "more")).alias("s"))
     key = F.sha2(F.col("s.value"), 256)
     hashed = candidates.select("_row", "_repo", "_owner", "s", key.alias("key"))
-    by_owner = hashed.groupBy("key", "_owner", "_repo").agg(F.first("s.value").alias("value")).groupBy("key", "_owner").agg(F.count(F.lit(1)).alias("r"), F.first("value").alias("value"))
-    by_value = by_owner.groupBy("key").agg(F.count(F.lit(1)).alias("owners"), F.sum("r").alias("repositories"), F.first("value").alias("value"))
+    by_owner = hashed.groupBy("key", "_owner", "_repo").agg(F.first("s.value").alias("value"), F.count(F.lit(1)).alias("n"))
+    by_owner = by_owner.groupBy("key", "_owner").agg(F.count(F.lit(1)).alias("r"), F.sum("n").alias("n"), F.first("value").alias("value"))
+    by_value = by_owner.groupBy("key").agg(F.count(F.lit(1)).alias("owners"), F.sum("r").alias("repositories"), F.sum("n").alias("n"), F.first("value").alias("value"))
     rare = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
-    verdicts = by_value.select("key", (rare & looks_live(F.col("value"))).alias("live"), (~rare).alias("copied"))
-    verdicts = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    judged = hashed.withColumn("_salt", F.pmod(F.col("_row"), F.lit(_SALTS)).cast("int")).join(verdicts, ["key", "_salt"])
+    salts = F.ceil(F.col("n") / ROWS_OF_A_KEY).cast("int").alias("_salts")
+    verdicts = materialize(by_value.select("key", (rare & looks_live(F.col("value"))).alias("live"), (~rare).alias("copied"), salts), "secret-values")
+    heavy = materialize(verdicts.filter("_salts > 1").select("key", "_salts"), "frequent-secrets")
+    dealt = join_bounded(hashed, heavy, "key", "left", 96).withColumn("_salt", F.pmod(F.col("_row"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    verdicts = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    judged = dealt.join(verdicts, ["key", "_salt"])
     per_row = judged.groupBy("_row").agg(
         F.collect_list(F.when((F.col("s.kind") == 3) & F.col("live"), F.col("s"))).alias("added"),
         F.count_if((F.col("s.kind") != 3) & F.col("live")).alias("n_live"),

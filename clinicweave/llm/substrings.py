@@ -19,8 +19,8 @@ from clinicweave.llm.tokens import groups
 LENGTH = 50
 #: Bytes of an anchor. Every string of LENGTH bytes holds LENGTH - ANCHOR + 1 anchors; the least hash of them is its own.
 ANCHOR = 30
-#: Texts of about so many bytes are compared at once by a mapper.
-BATCH_BYTES, BATCH_DOCS = 16 << 20, 60_000
+#: Texts of about so many bytes are compared at once by a mapper, and so many documents: their numbers have 16 bits.
+BATCH_BYTES, BATCH_DOCS = 16 << 20, 48_000
 #: An anchor with more different contexts is compared string by string, spread over tasks.
 MAX_CONTEXTS = 2000
 #: Bytes of the contexts that one suffix array is built over.

@@ -26,6 +26,8 @@ CACHE_ENTRIES = 450_000
 WORDS_IN_A_CALL = 20_000
 #: Texts are encoded in groups of about so many bytes.
 GROUP_BYTES = 4 << 20
+#: Bytes that a row counts for besides its text.
+ROW_BYTES = 64
 #: Texts that are not cut into words are cut into parts of about so many characters at safe boundaries.
 PART_CHARS = 1 << 16
 
@@ -55,8 +57,11 @@ def _encode(path: str, texts: list[str]) -> list[list[int]]:
 
 
 def slices(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[pa.Array]:
-    """Consecutive parts of a text column of about ``size`` bytes each, so that no step holds many long texts at once."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    """Consecutive parts of a text column of about ``size`` bytes each, so that no step holds many long texts at once.
+
+    A row counts for ``ROW_BYTES`` more, so that empty texts do not pile up either.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES)
     at = 0
     while at < len(column):
         before = int(ends[at - 1]) if at else 0

@@ -36,7 +36,8 @@ LOOKALIKES = str.maketrans("013457@$!|", "oieastasil")
 FEATURES = ("strong_density", "strong_log", "weak_density", "weak_log", "disguised_hits", "disguised_rate", "near_second_person", "second_person", "capitals", "shouted", "exclamations", "questions", "punctuation", "word_length", "log_words")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._-]+[^\W\d_]+)+")
+#: Starts at the beginning of a run of letters and gives nothing back, so that it is linear in any text.
+_DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!|*._-]++[^\W\d_]++)++")
 _CAPITALS = bytes(range(65, 91))
 _LETTERS = _CAPITALS + bytes(range(97, 123))
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -107,11 +108,14 @@ def fold(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """(fold, toxic, text) of at most about ``most`` labelled rows outside the held-out fold, chosen by a hash of the id."""
-    usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    """(fold, toxic, text) of at most about ``most`` labelled rows outside the held-out fold, chosen by a hash of the id.
+
+    An id with both labels counts as toxic.
+    """
+    usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     share = min(1.0, most / max(1, usable.count()))
     chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # about ``most`` rows
     return materialize(rows.select(fold(F.col("doc_id")).alias("fold"), "toxic", "text"), "toxicity-training")
 
 
@@ -192,8 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> Mo
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, most: int = MAX_TRAINING_ROWS) -> DataFrame:
     """Per document: doc_id, held_out (its fold is 1), score in [0, 1], predicted (1 if score >= threshold).
 
-    Only the text enters a score; null texts are empty and are scored too. Every input row is a row of the result;
-    a null id is not held out. Without both classes among the labels, every score is their share of toxic ones, or 0.
+    Only the text enters a score; null texts are empty and are scored too; a text of any length is scored whole, in
+    time linear in it. Every input row is a row of the result, repeated rows and equal ids included; a null id is not
+    held out; extra columns are ignored; an empty table gives an empty result. Without both classes among the labels, every score is their share of toxic ones, or 0.
     """
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     model = fit(docs, labels, most)

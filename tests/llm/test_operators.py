@@ -47,7 +47,7 @@ def test_words_give_the_ids_of_whole_texts(monkeypatch):
     words = ["".join(random.Random(i).choices(tokens_letters, k=i % 9 + 1)) for i in range(3000)]
     ids, sizes = tokens._encode_plain(path, words)
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == tokens._encode(path, words)
-    assert [len(x) for x in tokens.slices(pa.array(["a" * 10, None, "b" * 3, "c" * 30, "d"]), 12)] == [3, 1, 1]
+    assert [len(x) for x in tokens.slices(pa.array(["a" * 10, None, "b" * 3, "c" * 30, "d"]), 150)] == [3, 2]
 
 
 def test_words_give_the_counts_of_whole_texts():
@@ -362,6 +362,29 @@ def test_secrets(spark, docs):
     assert secrets.secret_scan(docs.limit(0)).count() == 0
 
 
+def spans_of(text):
+    """Plain version of the base spans of a text."""
+    out = []
+    for kind, (pattern, least, group) in enumerate(((secrets.ASSIGN, 8, 2), (secrets.ACCESS, 16, 0), ("[0-9a-f]+", 32, 0))):
+        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text or "") if len(m[group]) >= least]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_base_spans_equal_a_plain_scan(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(secrets, "ROWS_OF_A_KEY", 2)
+    rng = random.Random(14)
+    bits = ["password", "Secret", "API_key", "apikey", "token", "passwd", "=", ":", " ", "\"", "'", "AKIA", "ABCDEFGH", "0123456789abcdef", "x9.Z", "漢", "\n", "é", "tokentoken=", "deadbeef"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(400)] + [None, "", "password = abcdefgh1 " * 300]
+    fuzz = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    for df in (fuzz, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        got = by_id(secrets.secret_scan(df))
+        for d, t in plain(df):
+            want = spans_of(t)
+            assert got[d]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+            assert set(filter(None, want.split(","))) <= set(got[d]["spans"].split(","))
+    assert sum(bool(spans_of(t)) for t in texts) > 50
+
+
 def test_mixing(spark, docs):
     rng = random.Random(6)
     rows = [(i, "w " * rng.randint(0, 60), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(600)]
@@ -389,8 +412,32 @@ def test_mixing(spark, docs):
     shards = [r["n"] for r in draws.groupBy("shard").agg(F.count_distinct("copy", "doc_id").alias("n")).collect()]
     assert len(shards) == 16 and sum(shards) == sum(r["taken"] // r["size"] for r in got if r["size"]) + draws.join(df.filter("trim(text) = ''"), "doc_id").count()
     assert mixing.mix_digest(docs).count() == docs.count() and mixing.mix_digest(docs.limit(0)).count() == 0
-    mixed = mixing.mix_documents(docs)
-    assert mixed.columns == docs.columns
+    mixed = mixing.mix_documents(df.withColumn("shard", F.lit("x")).withColumn("place", F.lit(None).cast("int")))
+    assert mixed.columns == ["doc_id", "text", "source", "shard", "place"]
+    times = {r["doc_id"]: r["n"] for r in mixed.filter("shard = 'x' and place is null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {d: n for d, n in times.items() if rows[d][1]} == {r["doc_id"]: r["taken"] // r["size"] for r in got if r["taken"]}
+    order = [r["doc_id"] for r in mixed.collect()]
+    assert order != sorted(order) and order == [r["doc_id"] for r in mixing.mix_documents(df.repartition(5)).collect()]
+    assert mixing.mix_documents(docs).columns == docs.columns and mixing.mix_documents(docs).count() > 0 and mixing.mix_documents(docs.limit(0)).count() == 0
+
+
+def test_quotas_of_shards(spark):
+    rows = [(f"s{i}", n) for i, n in enumerate([700, 40, 1, 0, 259])]
+    df = spark.createDataFrame(rows, "_s string, quota int")
+    seen = {}
+    for seed in range(8):
+        got = mixing.shard_quotas(df, 3, f"seed {seed}").collect()
+        by = {}
+        for r in got:
+            by.setdefault(r["_s"], []).append((r["shard"], r["_from"], r["_to"]))
+        for s, n in rows:
+            runs = sorted(by[s])
+            assert [x[0] for x in runs] == list(range(8)) and runs[0][1] == 0 and runs[-1][2] == n
+            assert all(a[2] == b[1] for a, b in zip(runs, runs[1:], strict=False))
+        assert [sum(b - a for x in by.values() for k, a, b in x if k == shard) for shard in range(8)] == [125] * 8
+        seen.setdefault("s0", []).extend(b - a for _, a, b in by["s0"])
+    # of 125 units a shard has 125 * 0.7 of the largest source, give or take 5 (the law's standard deviation is 4.8)
+    assert abs(np.mean(seen["s0"]) - 87.5) < 1e-9 and 3 < np.std(seen["s0"]) < 7
 
 
 # --- toxicity -------------------------------------------------------------------------------------------------------
@@ -418,6 +465,18 @@ def test_toxicity(spark, docs):
     assert kept.columns == df.columns and 600 <= kept.count() <= 720
 
 
+def test_features_of_a_very_long_word_take_no_longer():
+    import time
+
+    for text in ("a" * 1_000_000, "a1" * 500_000, "A" * 500_000 + "b", "." * 500_000 + "a", "b-a_s-t@rd " * 50_000):
+        began = time.process_time()
+        assert len(toxicity.text_features(text, toxicity.Lexicon(["bastard"], []))) == len(toxicity.FEATURES)
+        assert time.process_time() - began < 30
+    plain_words = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._-]+[^\W\d_]+)+")
+    for t in odd_texts(500) + ["a.b c1d e--f_g h", "x@@y.z!"]:
+        assert toxicity._DISGUISED.findall(t) == plain_words.findall(t)
+
+
 # --- decontamination ------------------------------------------------------------------------------------------------
 
 
