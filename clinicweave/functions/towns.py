@@ -15,8 +15,10 @@ HYPHENS = "-－﹣−‐⁃‑‒–—﹘―⎯⏤ーｰ─━"
 
 _NUMERAL = re.compile("[〇一二三四五六七八九十百千]+")
 _FOLD = {**{ord(c): "-" for c in HYPHENS}, **{0xFF10 + i: str(i) for i in range(10)}, ord("ヶ"): "ケ", ord("ヵ"): "カ"}
-_KANJI = re.compile(r"[一-龠々〆ヵヶ]")
-_WORD = re.compile(r"[一-龠々〆ヵヶぁ-んァ-ヴー]+")
+# The characters that a town may begin with, and that it consists of.
+KANJI = "[々〇一-鿿]"
+_KANJI = re.compile(KANJI)
+_WORD = re.compile("[々〇一-鿿ぁ-んァ-ヶー]+")
 
 
 def numeral(text: str) -> int:
@@ -66,7 +68,7 @@ def longer_town(address: str, town: str, rest: str, evidence: str, towns: list[t
 def with_longer_towns(df: DataFrame, towns: DataFrame) -> DataFrame:
     """``longer_town`` beside (pref, city, address, town, rest, evidence); towns: (pref, city, part, name).
 
-    A city's towns are one list, joined by city; rows that cannot be affected never meet it.
+    A city's towns are one list, joined by city; rows that cannot be affected are set apart first and never meet it.
     """
     lists = towns.dropDuplicates(["pref", "city", "name"]).groupBy("pref", "city").agg(F.array_sort(F.collect_list(F.struct("part", "name"))).alias("_towns"))
 
@@ -75,4 +77,7 @@ def with_longer_towns(df: DataFrame, towns: DataFrame) -> DataFrame:
         rows = zip(address, town, rest, evidence, names, strict=True)
         return pd.Series([longer_town(a or "", t or "", r or "", e or "", [(x["part"] or "", x["name"]) for x in n] if n is not None else []) for a, t, r, e, n in rows])
 
-    return df.join(lists, ["pref", "city"], "left").withColumn("longer_town", judge("address", "town", "rest", "evidence", "_towns")).drop("_towns")
+    open_ = (F.col("evidence") == "なし") & (F.col("town") != "") & F.col("rest").rlike("^" + KANJI)
+    marked = df.withColumn("_open", F.coalesce(open_, F.lit(False)))
+    judged = marked.filter("_open").join(lists, ["pref", "city"], "left").withColumn("longer_town", judge("address", "town", "rest", "evidence", "_towns")).drop("_towns")
+    return judged.unionByName(marked.filter("not _open").withColumn("longer_town", F.lit(""))).drop("_open")

@@ -35,7 +35,12 @@ def split_intervals(df: DataFrame, start: str = "s", end: str = "e", department:
 
 
 def week_expression(df: DataFrame, key: str = "id") -> DataFrame:
-    """(key, expression) of slots (key, day, s, e). One shuffle by the key; the rest is array work inside a row."""
+    """(key, expression) of slots (key, day, s, e).
+
+    The slots of a day are reduced to their disjoint unions first, so that a key's list holds at most the islands of a
+    week, however many slots it has.
+    """
+    df = interval_union(df.select(key, "day", "s", "e"), [key, "day"])
     slots = F.collect_list(F.struct(F.col("day").cast("int").alias("day"), F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e")))
     return df.groupBy(key).agg(slots.alias("_slots")).select(key, H.week_rules(F.col("_slots")).alias("expression"))
 

@@ -13,10 +13,13 @@ def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def lookup_with_override(df: DataFrame, table: DataFrame, scope: str, code: str, value: str) -> DataFrame:
-    """``value`` of the row (scope, code) of a mapping table, else of the general row (no scope, code)."""
+    """``value`` of the row (scope, code) of a mapping table, else of the general row (no scope, code).
+
+    A mapping table is written by hand; it is broadcast if Spark's own estimate is below its threshold.
+    """
     own = table.filter(F.coalesce(F.col(scope), F.lit("")) != "").select(F.col(scope), F.col(code), F.col(value).alias("_own"))
     general = table.filter(F.coalesce(F.col(scope), F.lit("")) == "").select(F.col(code), F.col(value).alias("_general"))
-    return df.join(F.broadcast(own), [scope, code], "left").join(F.broadcast(general), code, "left").withColumn(value, F.coalesce("_own", "_general")).drop("_own", "_general")
+    return df.join(own, [scope, code], "left").join(general, code, "left").withColumn(value, F.coalesce("_own", "_general")).drop("_own", "_general")
 
 
 def ordered_values(df: DataFrame, key: str, order: str, values: str, separator: str = ";") -> DataFrame:
@@ -57,11 +60,21 @@ def unique_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def percentile_by_index(df: DataFrame, keys: list[str], value: str, percents: list[int]) -> DataFrame:
-    """Percentiles by the rule ``sorted[min(n * p div 100, n - 1)]``, and the maximum, of each key."""
-    order = Window.partitionBy(*keys).orderBy(value)
-    ranked = df.filter(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(order) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    """Percentiles by the rule ``sorted[min(n * p div 100, n - 1)]``, and the maximum, of each key.
+
+    Rows are first counted by (key, value), partially before the shuffle; running counts of the distinct values say
+    where an index falls, so that a key is as large as its distinct values.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
+    upto = F.sum("_k").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("_upto", upto).withColumn("_n", F.sum("_k").over(Window.partitionBy(*keys)))
     at = lambda p: F.least(F.floor(F.col("_n") * p / 100), F.col("_n") - 1)
-    return ranked.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == at(p), F.col(value))).alias(f"p{p}") for p in percents], F.max(value).alias("max"))
+    return ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("_upto") > at(p), F.col(value))).alias(f"p{p}") for p in percents], F.max(value).alias("max"))
+
+
+def filled_measures(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(keys, name, value): a row for each of the columns that is not null."""
+    return df.unpivot(keys, columns, "name", "value").filter(F.col("value").isNotNull())
 
 
 def fill_rates(df: DataFrame, columns: list[str]) -> DataFrame:

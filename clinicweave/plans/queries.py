@@ -85,12 +85,12 @@ def hours_expression(t):
 
 
 @query(
-    f"""WITH d AS (SELECT DISTINCT user_id AS id, isodow(ts) - 1 AS day FROM events WHERE event_id % 5 < 2), r AS (SELECT *, day - row_number() OVER (PARTITION BY id ORDER BY day) AS run FROM d),
+    f"""WITH d AS (SELECT DISTINCT user_id AS id, isodow(ts) - 1 AS day FROM events WHERE value < 3), r AS (SELECT *, day - row_number() OVER (PARTITION BY id ORDER BY day) AS run FROM d),
  n AS (SELECT id, min(day) AS a, CASE WHEN count(*) >= 3 THEN {DAY_NAMES}[min(day) + 1] || '-' || {DAY_NAMES}[max(day) + 1] ELSE string_agg({DAY_NAMES}[day + 1], ',' ORDER BY day) END AS days FROM r GROUP BY id, run)
  SELECT id, string_agg(days, ',' ORDER BY a) AS days FROM n GROUP BY id"""
 )
 def day_runs(t):
-    days = t("events").filter("event_id % 5 < 2").groupBy(F.col("user_id").alias("id")).agg(F.array_sort(F.collect_set(F.weekday("ts"))).alias("d"))
+    days = t("events").filter("value < 3").groupBy(F.col("user_id").alias("id")).agg(F.array_sort(F.collect_set(F.weekday("ts"))).alias("d"))
     return days.select("id", H.fold_days(F.col("d")).alias("days"))
 
 
@@ -112,14 +112,14 @@ def date_runs(t):
 
 
 GRID_SQL = "SELECT u.id, CAST(d.day AS INTEGER) AS day, CASE WHEN (u.id * 7 + d.day) % 3 = 0 THEN '0' ELSE '1' END AS flag FROM (SELECT DISTINCT user_id AS id FROM events) u, range(7) d(day)"
-COARSE_SQL = "SELECT DISTINCT user_id AS id, CAST(isodow(ts) - 1 AS INTEGER) AS day, CAST(hour(ts) // 6 * 360 AS INTEGER) AS s, CAST(hour(ts) // 6 * 360 + 360 AS INTEGER) AS e FROM events WHERE event_id % 3 = 0"
+COARSE_SQL = "SELECT DISTINCT user_id AS id, CAST(isodow(ts) - 1 AS INTEGER) AS day, CAST(hour(ts) // 6 * 360 AS INTEGER) AS s, CAST(hour(ts) // 6 * 360 + 360 AS INTEGER) AS e FROM events WHERE value < 3"
 
 
 def day_grid(t) -> tuple[DataFrame, DataFrame]:
     users = t("events").select(F.col("user_id").alias("id")).distinct()
     flags = users.select("id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("day")).withColumn("flag", F.when((F.col("id") * 7 + F.col("day")) % 3 == 0, "0").otherwise("1"))
     s = (F.floor(F.hour("ts") / 6) * 360).cast("int")
-    coarse = t("events").filter("event_id % 3 = 0").select(F.col("user_id").alias("id"), F.weekday("ts").alias("day"), s.alias("s"), (s + 360).alias("e")).distinct()
+    coarse = t("events").filter("value < 3").select(F.col("user_id").alias("id"), F.weekday("ts").alias("day"), s.alias("s"), (s + 360).alias("e")).distinct()
     return flags, coarse
 
 
@@ -153,10 +153,10 @@ def nth_week_rules(t):
     return rules.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d", "rule"))), lambda x: x["rule"]), "; ").alias("rules"))
 
 
-@query("SELECT l_orderkey, l_linenumber, name, value FROM (SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_discount AS discount, l_tax AS tax FROM lineitem WHERE l_orderkey % 10 = 0) UNPIVOT (value FOR name IN (quantity, discount, tax)) WHERE value > 0.01")
+@query("SELECT l_orderkey, l_linenumber, name, value FROM (SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_discount AS discount, l_tax AS tax FROM lineitem) UNPIVOT (value FOR name IN (quantity, discount, tax)) WHERE value > 0.01")
 def unpivot_measures(t):
-    wide = t("lineitem").filter("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
-    return wide.unpivot(["l_orderkey", "l_linenumber"], ["quantity", "discount", "tax"], "name", "value").filter("value > 0.01")
+    wide = t("lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
+    return T.filled_measures(wide, ["l_orderkey", "l_linenumber"], ["quantity", "discount", "tax"]).filter("value > 0.01")
 
 
 # --- mappings, values, assembly -------------------------------------------------------------------------------------
@@ -250,12 +250,11 @@ def coarse_grid(t):
 HAVERSINE_SQL = "2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"
 
 
-@query(f"WITH p AS ({POINTS_SQL}) SELECT a.id AS a, b.id AS b, round({HAVERSINE_SQL}, 1) AS m FROM p a JOIN p b ON a.city = b.city AND a.sector = 's' AND b.sector = 's' AND a.id < b.id")
+@query(f"SELECT a.sector, a.id, round({HAVERSINE_SQL}, 1) AS m FROM (SELECT *, lat + id % 7 * 0.01 AS lat2, lon - id % 5 * 0.01 AS lon2 FROM ({POINTS_SQL})) a, LATERAL (SELECT a.lat2 AS lat, a.lon2 AS lon) b")
 def haversine_pairs(t):
-    p = points(t).filter("sector = 's'")
-    a, b = p.alias("a"), p.alias("b")
-    m = G.distance_m(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
-    return a.join(b, F.expr("a.city = b.city and a.id < b.id")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.round(m, 1).alias("m"))
+    """The distance of each facility's two points."""
+    p = points(t).withColumn("lat2", F.col("lat") + F.col("id") % 7 * F.lit(0.01)).withColumn("lon2", F.col("lon") - F.col("id") % 5 * F.lit(0.01))
+    return p.select("sector", "id", F.round(G.distance_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")), 1).alias("m"))
 
 
 #: Boxes of the regions of the synthetic points: name, bounds.
@@ -360,7 +359,7 @@ def note_join(t):
     return t("customer").select("c_custkey", X.join_notes([F.when(F.col("c_acctbal") < 0, "negative balance"), F.when(F.col("c_mktsegment") == "BUILDING", "building"), F.when(F.col("c_custkey") % 3 == 0, "third").otherwise("")]).alias("note"))
 
 
-NUMBERS_SQL = "SELECT l_orderkey, l_linenumber, l_linenumber < 5 AS has_block, l_orderkey % 4 <> 0 AS known FROM lineitem WHERE l_orderkey % 5 = 0"
+NUMBERS_SQL = "SELECT l_orderkey, l_linenumber, l_linenumber < 5 AS has_block, l_orderkey % 4 <> 0 AS known FROM lineitem"
 RESIDENCE_SQL = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey % 3 = 0"
 LOTS_SQL = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey % 3 = 1 AND l_quantity < 30"
 
@@ -371,7 +370,7 @@ LOTS_SQL = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partk
 )
 def number_judge(t):
     line, keys = t("lineitem"), ["l_orderkey", "l_linenumber"]
-    rows = line.filter("l_orderkey % 5 = 0").select(*keys, (F.col("l_linenumber") < 5).alias("has_block"), (F.col("l_orderkey") % 4 != 0).alias("known"))
+    rows = line.select(*keys, (F.col("l_linenumber") < 5).alias("has_block"), (F.col("l_orderkey") % 4 != 0).alias("known"))
     residence = line.filter("l_partkey % 3 = 0").select(*keys).distinct()
     lots = line.filter("l_partkey % 3 = 1 and l_quantity < 30").select(*keys).distinct()
     out = rows.join(residence.withColumn("r", F.lit(True)), keys, "left").join(lots.withColumn("l", F.lit(True)), keys, "left").join(residence.select("l_orderkey").distinct().withColumn("any", F.lit(True)), "l_orderkey", "left")

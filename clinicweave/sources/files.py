@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinicweave.operators.tables import assert_none
+
 BOM = "\ufeff"
 
 
@@ -101,3 +103,29 @@ def write_by_prefecture(df: DataFrame, path: str, by: str, known: list[str], all
     assert_none(df.filter(~F.coalesce(F.col(by), F.lit("")).isin(*known)).select(by), "unknown prefecture codes")
     out = df.select(*(allowed_columns or df.columns))
     out.repartition(by).write.mode("overwrite").partitionBy(by).option("header", True).option("escape", '"').csv(path)
+
+
+def read_mapping(spark: SparkSession, path: str, *, kind: str | None = None, kinds: tuple[str, ...] = (), longest: str | None = None) -> DataFrame:
+    """A mapping table as text columns: rows of the wanted kinds, longest words first (ties by the word)."""
+    table = read_csv(spark, path)
+    if kind:
+        table = table.filter(F.col(f"`{kind}`").isin(*kinds))
+    return table.orderBy(F.length(longest).desc(), longest) if longest else table
+
+
+def read_boxes(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
+    """(name, lat_min, lat_max, lon_min, lon_max) of a table of boxes; a bound that is no number, or a box inside out, is an error."""
+    bounds = ("lat_min", "lat_max", "lon_min", "lon_max")
+    boxes = read_csv(spark, path).select(F.col(f"`{name}`").alias("name"), *[F.col(c).try_cast("double").alias(c) for c in bounds])
+    sound = (F.col("lat_min") <= F.col("lat_max")) & (F.col("lon_min") <= F.col("lon_max"))
+    assert_none(boxes.filter(~F.coalesce(sound, F.lit(False))), "unsound boxes")
+    return boxes
+
+
+def file_index(df: DataFrame, key: str, review: str, path: str) -> DataFrame:
+    """(key, rows, to_review, bytes) of a table written in one folder a key: counts of the rows, sizes of the files."""
+    spark = df.sparkSession
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(F.col(review), F.lit("")) != "").alias("to_review"))
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    folder = F.url_decode(F.regexp_extract("path", rf"/{key}=([^/]*)/", 1))
+    return counts.join(sizes.groupBy(folder.alias(key)).agg(F.sum("length").alias("bytes")), key, "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)))

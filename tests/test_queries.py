@@ -5,9 +5,9 @@ import os
 import duckdb
 import pytest
 
-from clinicweave.plans import golden, queries
+from clinicweave.plans import checks, golden, queries  # noqa: F401
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "documents", "pages", "labels")
 QUERIES, ORACLES = queries.QUERIES | golden.QUERIES, queries.ORACLES | golden.ORACLES
 
 
