@@ -149,9 +149,11 @@ def noisy(seed, n):
     return [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("most", [2000, 1])
-def test_repeated_strings(spark, docs, monkeypatch, most):
+@pytest.mark.parametrize(("most", "broadcast"), [(2000, 48 << 20), (1, 0)])
+def test_repeated_strings(spark, docs, monkeypatch, most, broadcast):
     monkeypatch.setattr(substrings, "MAX_CONTEXTS", most)
+    for module in (substrings, common):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", broadcast)
     for df in (docs, spark.createDataFrame(noisy(5, 60), "doc_id long, text string")):
         got = sorted(tuple(r) for r in substrings.substring_dedup(df).collect() if r["doc_id"] is not None)
         assert got == removal(plain(df))
@@ -279,8 +281,9 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_near_duplicates(spark, docs, k):
+@pytest.mark.parametrize(("k", "broadcast"), [(2, 48 << 20), (5, 0)])
+def test_near_duplicates(spark, docs, monkeypatch, k, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
     rows = near_copies() + [(500, None), (501, ""), (502, " "), (503, "one"), (504, "ONE"), (505, "x y"), (506, "x y x y x y")]
     got = by_id(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=k))
     assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in got.items()} == links(rows, k)
@@ -385,7 +388,9 @@ def test_base_spans_equal_a_plain_scan(spark, sf_dir, monkeypatch):
     assert sum(bool(spans_of(t)) for t in texts) > 50
 
 
-def test_mixing(spark, docs):
+@pytest.mark.parametrize("broadcast", [48 << 20, 0])
+def test_mixing(spark, docs, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
     rng = random.Random(6)
     rows = [(i, "w " * rng.randint(0, 60), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
