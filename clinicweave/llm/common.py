@@ -14,6 +14,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 #: A side that is joined as a broadcast holds at most so many bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 48 << 20
+#: Rows of an Arrow batch that holds texts.
+BATCH_ROWS = 4000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +46,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, after the session's Arrow batches are limited to ``BATCH_ROWS`` rows: a worker holds a batch of texts at
+    once, and texts are long. A smaller limit that the session has stays."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return docs
+
+
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
     """Join, with ``small`` (a materialized table) as a broadcast only if its counted rows fit ``BROADCAST_BYTES``.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import join_bounded, materialize
+from clinicweave.llm.common import bounded_batches, join_bounded, materialize
 from clinicweave.llm.tokens import groups
 
 #: An item leaks into a document that holds a passage within this share of its length in edits.
@@ -219,7 +219,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_CHARS))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
 
     def search(block: int) -> tuple[DataFrame, object]:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()

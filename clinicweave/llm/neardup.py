@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import join_bounded, materialize
+from clinicweave.llm.common import bounded_batches, join_bounded, materialize
 from clinicweave.llm.graph import components
 from clinicweave.llm.tokens import groups
 
@@ -365,7 +365,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 2, percent: int = 8
     kept. Extra columns are ignored, and an empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    plain = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     signed = materialize(plain.mapInArrow(_signed(shingle_words), "doc_id long, text_hash long, n_shingles long, key binary, sign binary"), "signed")
     some = signed.filter("key is not null and doc_id is not null")
     classes = some.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash"), F.min_by("sign", "doc_id").alias("sign"))

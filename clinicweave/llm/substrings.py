@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import BROADCAST_BYTES, join_bounded, materialize
+from clinicweave.llm.common import BROADCAST_BYTES, bounded_batches, join_bounded, materialize
 from clinicweave.llm.neardup import _BYTE, _powers, mix
 from clinicweave.llm.suffix import permuted_lcp, suffix_array
 from clinicweave.llm.tokens import groups
@@ -323,7 +323,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    plain = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     return plain.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
 
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import scratch
+from clinicweave.llm.common import bounded_batches, scratch
 
 #: Entries that a worker keeps; its older half leaves when it is full, which costs time and changes nothing else.
 CACHE_ENTRIES = 450_000
@@ -130,6 +130,8 @@ _APART = f"([{PLAIN}0-9])([.,])( |$)"
 _RUN = re.compile(f"(?<![{PLAIN}0-9])[.,]")
 #: Plain words that go to the library as one text.
 WORDS_IN_A_TEXT = 256
+#: Such texts in a call: what the library returns takes some hundred bytes a token.
+TEXTS_IN_A_CALL = 32
 #: Texts of about so many bytes are encoded at once; their different words go to the library.
 SLICE_BYTES = 16 << 20
 #: Words whose ids are gathered at once.
@@ -161,7 +163,8 @@ def _encode_plain(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids, sizes) of words of plain letters: many words are one text, and the marks of word ends cut it again."""
     if lean := _plain_words(path):
         texts = [" ".join(words[at : at + WORDS_IN_A_TEXT]) for at in range(0, len(words), WORDS_IN_A_TEXT)]
-        ids = np.concatenate([np.empty(0, "<u4"), *(np.array(e.ids, "<u4") for e in lean[0].encode_batch_fast(texts, add_special_tokens=False))])
+        some = (texts[at : at + TEXTS_IN_A_CALL] for at in range(0, len(texts), TEXTS_IN_A_CALL))
+        ids = np.concatenate([np.empty(0, "<u4"), *(np.array(e.ids, "<u4") for part in some for e in lean[0].encode_batch_fast(part, add_special_tokens=False))])
         last = np.flatnonzero(lean[1][ids])
         if len(last) == len(words):
             return ids, np.diff(last, prepend=-1)
@@ -215,6 +218,7 @@ def _id_batches(path: str, end_id: int | None, id_col: str, text_col: str):
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids.view("<i4")))
                 yield pa.RecordBatch.from_arrays([doc.slice(at, n), pa.array(np.arange(place, place + n)), pa.array(sizes.astype(np.int32)), lists], ["doc_id", "place", "n_tokens", "ids"])
                 at, place = at + n, place + n
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -235,7 +239,7 @@ def write_token_ids(docs: DataFrame, path: str, vocabulary: str, *, end_id: int
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(_id_batches(vocabulary, end_id, "doc_id", "text"), "doc_id long, place long, n_tokens int, ids array<int>")
     options = {"compression": "snappy", "parquet.writer.version": "v2", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": 1 << 20}
     rows.withColumn("shard", F.spark_partition_id()).select("doc_id", "shard", "place", "n_tokens", "ids").write.options(**options).parquet(path)
@@ -351,5 +355,5 @@ def token_counts(docs: DataFrame, vocabulary: str, *, limit: int = 512, id_col:
     columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     return rows.mapInArrow(_count_batches(vocabulary, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import materialize
+from clinicweave.llm.common import bounded_batches, materialize
 from clinicweave.llm.tokens import groups
 
 #: Labelled rows that are used to learn, at most: the bound of the training sample.
@@ -200,7 +200,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
     time linear in it. Every input row is a row of the result, repeated rows and equal ids included; a null id is not
     held out; extra columns are ignored; an empty table gives an empty result. Without both classes among the labels, every score is their share of toxic ones, or 0.
     """
-    rows = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     model = fit(docs, labels, most)
     if model is None:
         share = labels.filter(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 1)).agg(F.avg("toxic").cast("double")).first()[0] or 0.0
@@ -218,7 +218,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     if model is None:
         return docs
     names = [f"c{i}" for i in range(len(docs.columns))]
-    renamed = docs.toDF(*names)
+    renamed = bounded_batches(docs).toDF(*names)
     body = names[docs.columns.index("text")]
     scored = model.score(renamed.withColumn("text", F.coalesce(body, F.lit(""))))
     return scored.filter(F.col("score") < threshold).select(*names).toDF(*docs.columns)
