@@ -438,6 +438,17 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 2, percent: int = 8
 
 
 def keep_one_of_each(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with the smallest id of their component, with all columns."""
+    """The documents with the smallest id of their component, with all columns.
+
+    Rows that are equal in every column and have an id are one document and stay once; rows of one id that differ stay
+    each, as do rows with a null id. Null and empty texts are linked with nothing and stay. Only rows of repeated ids
+    are compared, so that texts are not shuffled for it.
+    """
     gone = materialize(near_duplicates(docs, shingle_words=shingle_words, percent=percent).filter("not kept").select("doc_id").distinct(), "near-copies")
-    return join_bounded(docs, gone, "doc_id", "left_anti", 16)
+    kept = join_bounded(docs, gone, "doc_id", "left_anti", 16)
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = materialize(ids.filter("rows > 1").select("doc_id"), "repeated-rows")
+    if repeated.isEmpty():
+        return kept
+    once = join_bounded(kept, repeated, "doc_id", "left_semi", 16).distinct()
+    return join_bounded(kept, repeated, "doc_id", "left_anti", 16).unionByName(once)
