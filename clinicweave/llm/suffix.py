@@ -1,11 +1,12 @@
-"""Suffix arrays by induced sorting, with numpy: buckets are filled a wave at a time instead of a suffix at a time."""
+"""Suffix arrays by recursive induced sorting: with few characters numpy fills buckets a wave at a time, reduced
+strings of many names are induced a suffix at a time. Both are linear."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Up to so many different names the reduced string is sorted by recursion, beyond by doubling its ranks.
-RECURSE_NAMES = 1 << 10
+#: Strings of up to so many different characters are induced in waves; each bucket costs some numpy calls.
+WAVE_CHARACTERS = 1 << 10
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -45,6 +46,31 @@ class _Induce:
 
     def run(self, lms: np.ndarray) -> np.ndarray:
         """``lms`` in the order that its suffixes or substrings have, of equal first characters at least."""
+        return self._waves(lms) if self.sigma <= WAVE_CHARACTERS else self._singly(lms)
+
+    def _singly(self, lms: np.ndarray) -> np.ndarray:
+        s, small = self.s.tolist(), self.small.tolist()
+        sa = [-1] * len(s)
+        tail = (self.ends - 1).tolist()
+        for p in reversed(lms.tolist()):
+            c = s[p]
+            sa[tail[c]] = p
+            tail[c] -= 1
+        head = self.starts.tolist()
+        for p in sa:  # grows to the right while it is read
+            if p > 0 and not small[p - 1]:
+                c = s[p - 1]
+                sa[head[c]] = p - 1
+                head[c] += 1
+        tail = (self.ends - 1).tolist()
+        for p in reversed(sa):
+            if p > 0 and small[p - 1]:
+                c = s[p - 1]
+                sa[tail[c]] = p - 1
+                tail[c] -= 1
+        return np.array(sa, np.int64)
+
+    def _waves(self, lms: np.ndarray) -> np.ndarray:
         s, starts, ends = self.s, self.starts, self.ends
         sa = np.full(len(s), -1, np.int64)
         chars = s[lms]
@@ -92,37 +118,6 @@ def _names(s: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return names
 
 
-def _double(names: np.ndarray) -> np.ndarray:
-    """Suffix array of a string of names by doubling the depth of its ranks.
-
-    The first sort sees as many names as fit in 63 bits; later ones only sort again what is not yet told apart. A rank
-    is the place of the first suffix of its group, so ranks of other groups stay as they are.
-    """
-    n, bits = len(names), int(names.max() + 1).bit_length()
-    step = min(max(1, 63 // bits), n)
-    key = names + 1
-    for i in range(1, step):
-        key = key << bits
-        key[:-i] |= names[i:] + 1
-    order = np.argsort(key)
-    first = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    open_at = np.flatnonzero(~(first & np.append(first[1:], True)))
-    while len(open_at):
-        part = order[open_at]
-        later = np.where(part + step < n, rank[np.minimum(part + step, n - 1)] + 1, 0)
-        key = rank[part] * (n + 1) + later
-        sort = np.argsort(key)
-        part, key = part[sort], key[sort]
-        order[open_at] = part
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        rank[part] = open_at[np.maximum.accumulate(np.where(first, np.arange(len(part)), 0))]
-        open_at = open_at[~(first & np.append(first[1:], True))]
-        step *= 2
-    return order
-
-
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of integers below ``sigma``; the last one is 0 and the only 0."""
     n = len(s)
@@ -139,7 +134,7 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
         names = _names(s, ordered, lms)
         count = int(names.max()) + 1
         if count < len(lms):
-            lms = lms[suffix_array(names, count) if count <= RECURSE_NAMES else _double(names)]
+            lms = lms[suffix_array(names, count)]
         else:
             lms = ordered
     return induce.run(lms)

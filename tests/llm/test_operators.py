@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clinicweave.llm import common, decontamination, graph, lines, mixing, neardup, quality, secrets, substrings, tokens, toxicity
+from clinicweave.llm import common, decontamination, graph, lines, mixing, neardup, quality, secrets, substrings, suffix, tokens, toxicity
 from clinicweave.llm.queries import vocabulary
 from clinicweave.llm.suffix import permuted_lcp, suffix_array
 
@@ -113,7 +113,21 @@ def test_token_counts(docs):
 # --- suffix arrays and repeated strings -----------------------------------------------------------------------------
 
 
-def test_suffix_arrays():
+def test_suffix_arrays_recurse(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    raw = np.frombuffer(" ".join(rng.choice(words) for _ in range(4000)).encode() + b"\0", np.uint8).astype(np.int64)
+    alphabets = []
+    plain_init = suffix._Induce.__init__
+    monkeypatch.setattr(suffix._Induce, "__init__", lambda self, s, small, sigma: (alphabets.append(sigma), plain_init(self, s, small, sigma))[1])
+    data = raw.astype(np.uint8).tobytes()
+    assert suffix_array(raw, 256).tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+    assert len(alphabets) > 2 and max(alphabets) > suffix.WAVE_CHARACTERS  # induced in waves and singly
+
+
+@pytest.mark.parametrize("waves", [1 << 10, 0])
+def test_suffix_arrays(monkeypatch, waves):
+    monkeypatch.setattr(suffix, "WAVE_CHARACTERS", waves)
     rng = random.Random(3)
     for _ in range(400):
         sigma = rng.choice([1, 2, 3, 200])
