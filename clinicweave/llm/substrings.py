@@ -210,25 +210,42 @@ def compare_contexts(contexts: list[bytes], docs: np.ndarray) -> np.ndarray:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verdicts of sorted contexts; a shard ends between two keys, because contexts of one key are compared."""
-    keys, ids, contexts, docs, size = [], [], [], [], 0
+    """Verdicts of sorted contexts; a shard ends between two keys, because contexts of one key are compared.
 
-    def flush():
-        bits = compare_contexts(contexts, np.array(docs, np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(docs, pa.int64()), pa.array(bits)], ["key", "id", "least", "gone"])
+    The only context of a key shares no string with another one, so that no suffix array has to hold it.
+    """
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    shard, size, group = [], 0, []  # rows (key, id, context, least)
+
+    def verdicts(rows, gone):
+        cols = [[r[i] for r in rows] for i in (0, 1, 3)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((*cols, gone), kinds, strict=True)], ["key", "id", "least", "gone"])
+
+    def compared():
+        return verdicts(shard, compare_contexts([r[2] for r in shard], np.array([r[3] for r in shard], np.int64)))
 
     for b in batches:
-        for k, i, c, d in zip(*(b.column(x).to_pylist() for x in ("key", "id", "context", "least")), strict=True):
-            if size >= SHARD_BYTES and k != keys[-1]:
-                yield flush()
-                keys, ids, contexts, docs, size = [], [], [], [], 0
-            keys.append(k)
-            ids.append(i)
-            contexts.append(c)
-            docs.append(d)
-            size += len(c)
-    if keys:
-        yield flush()
+        alone = []
+        for row in zip(*(b.column(x).to_pylist() for x in ("key", "id", "context", "least")), strict=True):
+            if group and row[0] != group[0][0]:
+                if len(group) == 1:
+                    alone += group
+                else:
+                    shard += group
+                    size += sum(len(r[2]) for r in group)
+                    if size >= SHARD_BYTES:
+                        yield compared()
+                        shard, size = [], 0
+                group = []
+            group.append(row)
+        if alone:
+            yield verdicts(alone, [0] * len(alone))
+    if len(group) == 1:
+        yield verdicts(group, [0])
+    else:
+        shard += group
+    if shard:
+        yield compared()
 
 
 def _string_by_string(contexts: DataFrame) -> DataFrame:
