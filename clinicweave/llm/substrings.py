@@ -250,13 +250,14 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _string_by_string(contexts: DataFrame) -> DataFrame:
     """The verdicts of ``_shards`` for contexts of very frequent anchors: strings are grouped and joined, no key is
-    compared in one task."""
+    compared in one task. Only strings of contexts with different smallest documents are judged."""
     starts = F.sequence(F.lit(0), F.length("context") - LENGTH)
     strings = contexts.withColumn("offset", F.explode(starts)).withColumn("string", F.substring("context", F.col("offset") + 1, F.lit(LENGTH)))
     strings = strings.select("key", "id", "least", "offset", "string")
-    least = strings.groupBy("string").agg(F.min("least").alias("all"))
-    judged = strings.join(least, "string").withColumn("bit", F.when(F.col("all") < F.col("least"), F.expr("shiftleft(1L, offset)")).otherwise(F.lit(0).cast("long")))
-    return judged.groupBy("key", "id", "least").agg(F.bit_or("bit").alias("gone"))
+    shared = strings.groupBy("string").agg(F.min("least").alias("all"), F.max("least").alias("most")).filter("all < most")
+    bit = F.when(F.col("all") < F.col("least"), F.expr("shiftleft(1L, offset)")).otherwise(F.lit(0).cast("long"))
+    judged = strings.join(shared, "string").groupBy("key", "id").agg(F.bit_or(bit).alias("gone"))
+    return contexts.select("key", "id", "least").join(judged, ["key", "id"], "left").withColumn("gone", F.coalesce("gone", F.lit(0).cast("long")))
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
