@@ -27,8 +27,8 @@ MAX_CONTEXTS = 2000
 SHARD_BYTES = 1 << 20
 
 
-def _anchors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of string starts that have one anchor: (text, first start, starts, anchor's hash) and the joined bytes.
+def _anchors(raws: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Runs of string starts that have one anchor: (text, first start, starts, anchor's hash, anchor) and the joined bytes.
 
     Starts are positions in the joined bytes. The anchor of a start is the leftmost least hash of the anchors inside
     its string, so that equal strings have equal anchors wherever they stand.
@@ -36,7 +36,7 @@ def _anchors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     data = np.frombuffer(b"".join(raws), np.uint8)
     none = np.empty(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none, np.empty(0, np.uint64), data
+        return none, none, none, np.empty(0, np.uint64), none, data
     up, down = _powers(len(data) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * up[: len(data)])])
     hashes = mix((sums[ANCHOR:] - sums[:-ANCHOR]) * down[: len(data) - ANCHOR + 1])
@@ -54,10 +54,10 @@ def _anchors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     skip = np.repeat((ends - sizes) - np.concatenate([[0], np.cumsum(np.maximum(sizes - LENGTH + 1, 0))[:-1]]), np.maximum(sizes - LENGTH + 1, 0))
     starts = np.arange(len(text)) + skip
     if not len(starts):
-        return none, none, none, np.empty(0, np.uint64), data
+        return none, none, none, np.empty(0, np.uint64), none, data
     own = place[starts]
     first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])]))
-    return text[first], starts[first], np.diff(np.append(first, len(starts))), hashes[own[first]], data
+    return text[first], starts[first], np.diff(np.append(first, len(starts))), hashes[own[first]], own[first], data
 
 
 def _raw(texts: list[str]) -> list[bytes]:
@@ -91,7 +91,7 @@ def _send_anchors(buckets: int):
         for b in batches:
             ids, at = b.column("rid").to_pylist(), 0
             for group in groups(b.column("text"), 1 << 20):
-                text, _, _, h, data = _anchors(_raw(group))
+                text, _, _, h, _, data = _anchors(_raw(group))
                 if len(h):
                     hashes.append(h)
                     owners.append((text + len(rids)).astype(np.uint16))
@@ -162,49 +162,62 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, docs, marks = (b.column(c).to_pylist() for c in ("rid", "doc_id", "marks"))
         for group in groups(b.column("text"), 1 << 20):
             raws = _raw(group)
-            text, first, count, h, data = _anchors(raws)
+            text, first, count, h, place, data = _anchors(raws)
             top = (h >> np.uint64(48)).astype(np.int64) + (text.astype(np.int64) << 16)
             known = [np.frombuffer(m, np.uint16).astype(np.int64) + (i << 16) for i, m in enumerate(marks[at : at + len(group)])]
             known = np.concatenate(known) if known else np.empty(0, np.int64)
             near = np.searchsorted(known, top)
             keep = np.flatnonzero((near < len(known)) & (known[np.minimum(near, max(len(known) - 1, 0))] == top)) if len(known) else np.empty(0, np.int64)
             if len(keep):
-                text, first, count, h = text[keep], first[keep], count[keep], h[keep]
+                text, first, count, h, place = text[keep], first[keep], count[keep], h[keep], place[keep]
                 begins = np.cumsum([0, *map(len, raws[:-1])])
                 buffer = data.tobytes()
                 context = [buffer[x:y] for x, y in zip(first.tolist(), (first + count + LENGTH - 1).tolist(), strict=True)]
                 rid = np.array(ids[at : at + len(group)], np.int64)[text]
                 doc = np.array(docs[at : at + len(group)], np.int64)[text]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(context, pa.binary()), pa.array(rid), pa.array(doc), pa.array((first - begins[text]).astype(np.int32))], ["key", "context", "rid", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(context, pa.binary()), pa.array(rid), pa.array(doc), pa.array((first - begins[text]).astype(np.int32)), pa.array((place - first).astype(np.int32))], ["key", "context", "rid", "doc_id", "at", "anchor"])
             at += len(group)
 
 
-def compare_contexts(contexts: list[bytes], docs: np.ndarray) -> np.ndarray:
+def compare_contexts(contexts: list[bytes], docs: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     """For distinct contexts with their smallest document: bits of the starts whose string a smaller document has.
 
-    One suffix array over all contexts with separators; suffixes whose common prefixes reach LENGTH are one string.
+    One suffix array over all contexts with separators, in which an anchor, whole in each of its strings, is a single
+    character; suffixes with equal anchors whose common prefixes reach the length left are one string.
     """
+    least, numbers = LENGTH - ANCHOR + 1, {}
+    number = np.array([numbers.setdefault(c[a : a + ANCHOR], len(numbers)) for c, a in zip(contexts, anchors.tolist(), strict=True)])
     lengths = np.array([len(c) for c in contexts])
     raw = np.frombuffer(b"\0".join(contexts) + b"\0\0", np.uint8).astype(np.int64) + 2
     ends = np.cumsum(lengths + 1) - 1
     raw[ends] = 1
     raw[-1] = 0
-    sa = suffix_array(raw, 258)
+    at = ends - lengths + anchors
+    raw[at] = 258
+    keep = np.ones(len(raw), bool)
+    keep[at[:, None] + np.arange(1, ANCHOR)] = False
+    raw, lengths = raw[keep], lengths - ANCHOR + 1
+    ends = np.cumsum(lengths + 1) - 1
+
+    sa = suffix_array(raw, 259)
     left = np.repeat(ends, lengths + 1) - np.arange(len(raw) - 1)
-    common = np.minimum(permuted_lcp(raw, sa, 258, LENGTH), np.append(left, 0))[sa]
+    common = np.minimum(permuted_lcp(raw, sa, 259, least), np.append(left, 0))[sa]
     owner = np.repeat(np.arange(len(contexts)), lengths + 1)
-    string = np.cumsum(common < LENGTH) - 1
+    string = np.cumsum(common < least) - 1
     inside = sa < len(owner)
     sa, string = sa[inside], string[inside]
     own = owner[sa]
     offset = sa - (ends - lengths)[own]
-    full = offset + LENGTH <= lengths[own]
+    full = offset + least <= lengths[own]
     string, own, offset = string[full], own[full], offset[full]
     out = np.zeros(len(contexts), np.int64)
     if len(string):
+        string = string * len(numbers) + number[own]
+        order = np.argsort(string, kind="stable")
+        string, own, offset = string[order], own[order], offset[order]
         first = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
-        least = np.repeat(np.minimum.reduceat(docs[own], first), np.diff(np.append(first, len(string))))
-        gone = least < docs[own]
+        smallest = np.repeat(np.minimum.reduceat(docs[own], first), np.diff(np.append(first, len(string))))
+        gone = smallest < docs[own]
         np.bitwise_or.at(out, own[gone], np.int64(1) << offset[gone])
     return out
 
@@ -215,18 +228,18 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The only context of a key shares no string with another one, so that no suffix array has to hold it.
     """
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    shard, size, group = [], 0, []  # rows (key, id, context, least)
+    shard, size, group = [], 0, []  # rows (key, id, context, least, anchor)
 
     def verdicts(rows, gone):
         cols = [[r[i] for r in rows] for i in (0, 1, 3)]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((*cols, gone), kinds, strict=True)], ["key", "id", "least", "gone"])
 
     def compared():
-        return verdicts(shard, compare_contexts([r[2] for r in shard], np.array([r[3] for r in shard], np.int64)))
+        return verdicts(shard, compare_contexts([r[2] for r in shard], np.array([r[3] for r in shard], np.int64), np.array([r[4] for r in shard], np.int64)))
 
     for b in batches:
         alone = []
-        for row in zip(*(b.column(x).to_pylist() for x in ("key", "id", "context", "least")), strict=True):
+        for row in zip(*(b.column(x).to_pylist() for x in ("key", "id", "context", "least", "anchor")), strict=True):
             if group and row[0] != group[0][0]:
                 if len(group) == 1:
                     alone += group
@@ -288,14 +301,14 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     marked = materialize(shared.groupBy("batch").applyInPandas(_by_document, "rid long, marks binary"), "shared-anchors")
     n, size = marked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("marks")), F.lit(0))).first()
     joined = rows.join(F.broadcast(marked) if n * 64 + size <= BROADCAST_BYTES else marked.hint("merge"), "rid")
-    found = joined.select("rid", "doc_id", "marks", "text").mapInArrow(_contexts, "key long, context binary, rid long, doc_id long, at int")
+    found = joined.select("rid", "doc_id", "marks", "text").mapInArrow(_contexts, "key long, context binary, rid long, doc_id long, at int, anchor int")
     found = materialize(found.withColumn("id", F.xxhash64("context")), "contexts")
 
-    distinct = found.groupBy("key", "id", "context").agg(F.min("doc_id").alias("least"))
+    distinct = found.groupBy("key", "id", "context").agg(F.min("doc_id").alias("least"), F.min("anchor").alias("anchor"))
     distinct = materialize(distinct, "distinct-contexts")
     hot = materialize(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MAX_CONTEXTS).select("key"), "frequent-anchors")
     usual = join_bounded(distinct, hot, "key", "left_anti", 16).repartition(buckets, "key").sortWithinPartitions("key")
-    verdicts = usual.select("key", "id", "context", "least").mapInArrow(_shards, "key long, id long, least long, gone long")
+    verdicts = usual.select("key", "id", "context", "least", "anchor").mapInArrow(_shards, "key long, id long, least long, gone long")
     verdicts = verdicts.unionByName(_string_by_string(join_bounded(distinct, hot, "key", "left_semi", 16)))
     places = found.select("key", "id", "rid", "doc_id", "at", F.octet_length("context").alias("size"))
     judged = places.join(verdicts, ["key", "id"]).withColumn("gone", F.when(F.col("doc_id") > F.col("least"), F.lit(-1).cast("long")).otherwise(F.col("gone"))).filter("gone != 0")
