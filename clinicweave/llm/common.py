@@ -16,6 +16,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 48 << 20
 #: Rows of an Arrow batch that holds texts.
 BATCH_ROWS = 4000
+#: Bytes of an Arrow batch of lists or texts.
+BATCH_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +57,14 @@ def bounded_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def sized_batches(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
+    """``df``, after the session's Arrow batches are limited to ``most`` bytes besides their rows. A smaller limit stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.sub(r"[bB]$", "", conf.get(name)) or 0) <= most:
+        conf.set(name, str(most))
+    return df
+
+
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
     """Join, with ``small`` (a materialized table) as a broadcast only if its counted rows fit ``BROADCAST_BYTES``.
 

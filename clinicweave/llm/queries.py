@@ -77,6 +77,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+#: Rules on hosts and paths; the longest that fits decides.
+URL_RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.urls import parse_rules, url_verdicts
+
+    return url_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"), parse_rules(URL_RULES))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.audit import filter_audit
+
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clinicweave.llm.codes import vector_codes
+
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("label")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
@@ -88,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op11_url_filters": op11_url_filters,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: Words of a text.
@@ -129,4 +154,46 @@ b AS (SELECT doc_id, text, n_words, coalesce(word_chars, 0) AS word_chars, n_sym
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (word_chars < n_words OR word_chars > 30 * n_words OR 2 * n_symbols > n_words OR 10 * n_dup_lines > 6 * (length(text) - length(replace(text, chr(10), '')) + 1)
  OR 10 * length(regexp_replace(text, '\P{{L}}+', '', 'g')) < word_chars OR doc_id IN (SELECT doc_id FROM runs)) AS kept FROM b"""
 
-ORACLES: dict[str, str] = {"op8_mixing": OP8_SQL, "op9_quality": OP9_SQL}
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS_SQL} AS ws FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+lab AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS bad FROM labels GROUP BY doc_id),
+marks AS (SELECT d.part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, CAST(len(ws) < 200 AS INTEGER) + 2 * CAST(100 * list_unique(ws) < 50 * len(ws) AS INTEGER)
+ + 4 * CAST(100 * length(regexp_replace(d.text, '[^A-Z]+', '', 'g')) > 2 * length(d.text) AS INTEGER) + 8 * CAST(regexp_matches(d.text, '[#$%&*|]') AS INTEGER)
+ + 16 * CAST(coalesce(d.doc_id > first, false) AS INTEGER) AS mask FROM d JOIN firsts ON firsts.text = d.text LEFT JOIN lab ON lab.doc_id = d.doc_id),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM marks GROUP BY ALL),
+sets AS (SELECT part, s.s, coalesce(sum(n) FILTER ((mask & s.s) <> 0), 0) AS n, coalesce(sum(good) FILTER ((mask & s.s) <> 0), 0) AS good, coalesce(sum(bad) FILTER ((mask & s.s) <> 0), 0) AS bad FROM counts, range(32) s(s) GROUP BY ALL),
+wholes AS (SELECT part, sum(n) AS whole FROM counts GROUP BY part),
+orders AS (SELECT '' AS o, 0 AS used UNION ALL SELECT o || substr('ABCDE', f + 1, 1), used + (1 << f) FROM orders, (SELECT CAST(unnest(range(5)) AS INTEGER) AS f) WHERE used & (1 << f) = 0),
+steps AS (SELECT o, CAST(k AS INTEGER) AS step, instr('ABCDE', substr(o, k, 1)) - 1 AS f, CAST(coalesce(list_sum(list_transform(range(1, k), lambda j: 1 << (instr('ABCDE', substr(o, j, 1)) - 1))), 0) AS INTEGER) AS before FROM orders, range(1, 6) r(k) WHERE length(o) = 5),
+out_ AS (SELECT w.part, o, step, f, whole, t.n AS then_n, b.n AS before_n, t.good - b.good AS good_lost, t.bad - b.bad AS toxic_lost, own.n AS own_n, every.n - rest.n AS unique_fails
+ FROM steps JOIN sets t ON t.s = before + (1 << f) JOIN sets b ON b.part = t.part AND b.s = before JOIN sets own ON own.part = t.part AND own.s = 1 << f
+ JOIN sets every ON every.part = t.part AND every.s = 31 JOIN sets rest ON rest.part = t.part AND rest.s = 31 - (1 << f) JOIN wholes w ON w.part = t.part)
+SELECT part, o AS filter_order, step, CAST(whole - then_n AS BIGINT) AS kept, CAST(then_n - before_n AS BIGINT) AS removed, CAST(own_n - (then_n - before_n) AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+ CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(then_n - before_n) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM out_"""
+
+
+def _op13_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds are unrolled: books{k} after k rounds, near{k} the assignment to them."""
+    near = lambda k: (
+        f"near{k} AS MATERIALIZED (SELECT r, p, arg_min(e, (far, e)) AS e, min(far) AS far FROM (SELECT x.r, x.p, b.e, CAST(list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS far FROM pieces x JOIN books{k} b ON b.p = x.p) GROUP BY r, p)"
+    )
+    means = lambda k: (
+        f"means{k} AS (SELECT p, e, list(m ORDER BY i) AS v FROM (SELECT n.p, n.e, i, CAST((sum(x.v[i]) - ((sum(x.v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM near{k} n JOIN pieces x ON x.r = n.r AND x.p = n.p, (SELECT unnest(range(1, (SELECT max(len(v)) FROM pieces) + 1)) AS i) GROUP BY n.p, n.e, i) GROUP BY p, e), "
+        f"books{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM books{k} b LEFT JOIN means{k} m ON m.p = b.p AND m.e = b.e)"
+    )
+    chain = ", ".join(x for k in range(rounds) for x in (near(k), means(k)))
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding, label) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (SELECT r, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS v FROM kept, (SELECT CAST(unnest(range({parts})) AS INTEGER) AS p)),
+starts AS (SELECT r, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS e FROM (SELECT vec_id, min(r) AS r FROM kept WHERE vec_id IS NOT NULL GROUP BY vec_id ORDER BY vec_id LIMIT {entries})),
+books0 AS MATERIALIZED (SELECT p, e, v FROM pieces JOIN starts USING (r)),
+{chain},
+{near(rounds)},
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books{rounds}),
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN codes USING (r), digest"""
+
+
+ORACLES: dict[str, str] = {"op8_mixing": OP8_SQL, "op9_quality": OP9_SQL, "op12_filter_audit": OP12_SQL, "op13_vector_codes": _op13_sql()}
