@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinicweave.functions.calendar import HOURS, SPAN, calendar, ever_open, ever_unknown, parse_rules
 from clinicweave.functions.geo import LAT_BOUNDS, LON_BOUNDS, in_country, number
+from clinicweave.functions.hours import let
 from clinicweave.operators.tables import issues
 
 # The longest tag, the values of facility tags, the format of keys and addresses.
@@ -152,44 +154,45 @@ def reason_issues(df: DataFrame, *, key: str = "ID", reason: str = "座標の理
     return issues(df, key, {"coord_reason_mismatch": ((why != "") & (head != why), F.substring(head, 1, 60))})
 
 
-_DAY = "(?:Mo|Tu|We|Th|Fr|Sa|Su|PH)"
-_DAYS = rf"{_DAY}(?:-{_DAY})?(?:\[[1-5](?:,[1-5])*\])?"
-_DATE = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) [0-3][0-9]"
-_SPAN = "[0-4][0-9]:[0-5][0-9]-[0-4][0-9]:[0-5][0-9]"
-_WHEN = rf"(?:{_DAYS}(?:,{_DAYS})*|{_DATE}(?:-{_DATE})?(?:,{_DATE}(?:-{_DATE})?)*)"
-_STATE = rf"(?:24/7|{_SPAN}(?:,{_SPAN})*|off|unknown)"
-_RULE = rf"(?:(?:{_WHEN} )?{_STATE}(?: \"[^\"]*\")?|{_WHEN}|\"[^\"]*\")"
-#: The subset of the opening-hours grammar that the output uses.
-HOURS = rf"^{_RULE}(?:(?:; | \|\| ){_RULE})*$"
+# What is said of hours that never open, without and with days of unknown state.
+NEVER_OPEN, ONLY_UNKNOWN = "連続13週間で一度も開かない", "連続13週間で確実に開く時間が無い（状態が unknown のみ）"
 
 
-def hours_issues(df: DataFrame, key: str, value: str = "opening_hours") -> DataFrame:
+def hours_issues(df: DataFrame, key: str, value: str = "opening_hours", days: Column | None = None) -> DataFrame:
     """Findings in opening hours: error (outside of the grammar), never_open, zero_span, too_long, warning.
 
-    Read off the rules, without a calendar: a rule without days that does not open (a comment, off, unknown) takes
-    back all before it, and nothing that opens may follow; a fallback behind ``||`` takes nothing back. A span with
-    equal ends is a zero_span, one that runs over midnight for 12 hours or more a warning.
+    Each different value is read once and evaluated against a calendar (13 weeks unless given): one without a certain
+    opening on any day is never_open, whichever of its rules override each other. A span with equal ends is a zero_span,
+    one that runs over midnight for 12 hours or more a warning. Null and empty values have no findings.
     """
-    v = F.coalesce(F.col(value), F.lit(""))
-    valid = v.rlike(HOURS)
-    opens = lambda r: r.rlike(rf"{_SPAN}|24/7|^{_WHEN}$")
-    resets = lambda r: ~r.rlike(rf"^{_WHEN}") & ~opens(r)
-    rules = F.transform(F.split(v, "; "), lambda r: F.split_part(r, F.lit(" || "), F.lit(1)))
-    state = F.aggregate(rules, F.lit(False), lambda a, r: F.when(resets(r), False).otherwise(a | opens(r)))
-    spans = F.regexp_extract_all(v, F.lit(_SPAN), F.lit(0))
+    given = df.filter(F.coalesce(F.col(value), F.lit("")) != "").select(F.col(key).alias("_key"), F.col(value).alias("_v"))
+    v, days = F.col("_v"), calendar() if days is None else days
+    spans = F.regexp_extract_all(F.regexp_replace(v, '"[^"]*"', ""), F.lit(SPAN), F.lit(0))
     minutes = lambda s, at: F.substring(s, at, 2).cast("int") * 60 + F.substring(s, at + 3, 2).cast("int")
     zero = F.filter(spans, lambda s: minutes(s, 1) == minutes(s, 7))
     long_night = F.filter(spans, lambda s: (minutes(s, 7) < minutes(s, 1)) & (minutes(s, 7) + 1440 - minutes(s, 1) >= 720))
-    given = v != ""
-    return issues(df, key, {
-        "error": (given & ~valid, F.substring(v, 1, 60)),
-        "never_open": (given & valid & ~state, F.substring(v, 1, 60)),
-        "zero_span": (given & (F.size(zero) > 0), F.array_join(zero, ",")),
+    read = let(parse_rules(v), lambda r: F.struct(ever_open(r, days).alias("open"), ever_unknown(r, F.slice(days, 1, 35)).alias("unsure")))
+    values = given.select("_v").distinct().withColumn("_valid", v.rlike(HOURS)).withColumn("_state", F.when(F.col("_valid"), read))
+    values = values.select("_v", "_valid", "_state", F.array_join(zero, ",").alias("_zero"), F.array_join(long_night, ",").alias("_night"))
+    valid = F.col("_valid")
+    return issues(given.join(values, "_v").withColumnRenamed("_key", key), key, {
+        "error": (~valid, F.substring(v, 1, 60)),
+        "never_open": (valid & ~F.col("_state.open"), F.when(F.col("_state.unsure"), ONLY_UNKNOWN).otherwise(NEVER_OPEN)),
+        "zero_span": (F.col("_zero") != "", F.col("_zero")),
         "too_long": (F.length(v) > MOST_CHARS, F.length(v)),
-        "warning": (given & valid & (F.size(long_night) > 0), F.array_join(long_night, ",")),
+        "warning": (valid & (F.col("_night") != ""), F.col("_night")),
     })
 
 
+#: Kinds of findings in hours that fail a run; a long value is cut later, a warning is a hint.
+HOURS_FATAL = ("error", "never_open", "zero_span")
+
+
+def fatal_hours(found: DataFrame) -> DataFrame:
+    """The findings in hours that fail a run."""
+    return found.filter(F.col("kind").isin(*HOURS_FATAL))
+
+
 def fatal(found: DataFrame) -> DataFrame:
-    """The findings that fail a run."""
+    """The findings in tags that fail a run."""
     return found.filter(~F.col("kind").isin(*INFORMATIONAL))

@@ -124,19 +124,6 @@ def validate_reasons(t):
 
 # --- V1: opening hours ----------------------------------------------------------------------------------------------------
 
-HOURS = ["Mo,Tu,We 09:00-17:00; PH off; Dec 29-Jan 03 off", 'Mo-Fr 09:00-17:00; "GWは休診"', "Mo-Sa 09:00-12:00,PH 08:30-08:30", "Mo-Fr 9:00~17:00 xyz", "Sa 09:00-12:00; Sa[2,3,4,5] off; PH off", 'Mo-Fr 09:00-12:30; PH off || off "GWは休診"', "Mo,Tu,We 09:00-12:30,18:00-08:30; PH off", "", "24/7", "Mo 09:00-17:00" + "; We off" * 31]
-FINDINGS = [(1, "never_open", HOURS[1]), (2, "zero_span", "08:30-08:30"), (2, "error", HOURS[2]), (3, "error", HOURS[3]), (6, "warning", "18:00-08:30")]
-
-
-@query(
-    "SELECT kind, CAST(event_id AS VARCHAR) AS id, detail FROM events JOIN (VALUES " + ", ".join(f"({i}, '{k}', '{d}')" for i, k, d in FINDINGS) + ") f(i, kind, detail) ON event_id % 10 = i"
-    " UNION ALL SELECT 'too_long', CAST(event_id AS VARCHAR), '262' FROM events WHERE event_id % 10 = 9"
-)
-def validate_hours(t):
-    table = F.array(*[F.lit(h) for h in HOURS])
-    return V.hours_issues(t("events").select("event_id", F.get(table, (F.col("event_id") % 10).cast("int")).alias("opening_hours")), "event_id")
-
-
 # --- assembly, audits, summaries --------------------------------------------------------------------------------------------
 
 
