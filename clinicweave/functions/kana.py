@@ -6,6 +6,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -19,20 +20,21 @@ AGREES = 0.9
 ROWS = {"": "あいうえお", "k": "かきくけこ", "s": "さしすせそ", "t": "たちつてと", "n": "なにぬねの", "h": "はひふへほ", "m": "まみむめも", "y": "や.ゆ.よ", "r": "らりるれろ", "w": "わ...を", "g": "がぎぐげご", "z": "ざじずぜぞ", "d": "だぢづでど", "b": "ばびぶべぼ", "p": "ぱぴぷぺぽ"}
 IRREGULAR = {"し": "shi", "ち": "chi", "つ": "tsu", "ふ": "fu", "じ": "ji", "ぢ": "ji", "づ": "zu", "を": "o", "ゐ": "i", "ゑ": "e", "ん": "n", "ゔ": "vu"}
 SMALL = {"ぁ": "a", "ぃ": "i", "ぅ": "u", "ぇ": "e", "ぉ": "o", "ゃ": "ya", "ゅ": "yu", "ょ": "yo", "ゎ": "wa"}
-# Which small vowels join which syllables: the consonant that is left before the vowel.
-JOINED = {"ふ": ("f", "ぁぃぇぉ"), "ゔ": ("v", "ぁぃぇぉ"), "て": ("t", "ぃ"), "で": ("d", "ぃ"), "と": ("t", "ぅ"), "ど": ("d", "ぅ"), "う": ("w", "ぃぇぉ"), "し": ("sh", "ぇ"), "ち": ("ch", "ぇ"), "じ": ("j", "ぇ"), "つ": ("ts", "ぁぃぇぉ")}
+# Syllables of two characters that no rule of rows and glides gives.
+JOINED = {
+    "ふぁ": "fa", "ふぃ": "fi", "ふぇ": "fe", "ふぉ": "fo", "ゔぁ": "va", "ゔぃ": "vi", "ゔぇ": "ve", "ゔぉ": "vo", "てぃ": "ti", "でぃ": "di", "とぅ": "tu", "どぅ": "du",
+    "うぃ": "wi", "うぇ": "we", "うぉ": "wo", "しぇ": "she", "ちぇ": "che", "じぇ": "je", "つぁ": "tsa", "つぃ": "tsi", "つぇ": "tse", "つぉ": "tso",
+}
 
 
 def syllables() -> dict[str, str]:
-    """Kana of one or two characters -> romaji, from the rows and the rules of glides and joined vowels."""
+    """Kana of one or two characters -> romaji, from the rows, the rules of glides and the pairs."""
     table = {kana: consonant + vowel for consonant, row in ROWS.items() for kana, vowel in zip(row, "aiueo", strict=True) if kana != "."} | IRREGULAR | SMALL
     for kana in "きしちにひみりぎじぢびぴ":
         stem = table[kana][:-1]
         glide = stem if stem in ("sh", "ch", "j") else stem + "y"
         table |= {kana + small: glide + vowel for small, vowel in zip("ゃゅょ", "auo", strict=True)}
-    for kana, (stem, smalls) in JOINED.items():
-        table |= {kana + small: stem + SMALL[small] for small in smalls}
-    return table
+    return table | JOINED
 
 
 _TABLE = syllables()
@@ -70,6 +72,9 @@ def romaji_similarity(source: Column, reading: Column) -> Column:
     return _ratio(fold_romaji(to_romaji(to_hiragana(reading))), fold_romaji(F.coalesce(source, F.lit(""))))
 
 
-@F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: unicodedata.normalize("NFKC", x) if x is not None else None)
+@F.arrow_udf(StringType())
+def nfkc(text: pa.Array) -> pa.Array:
+    """Compatibility characters in their plain form; each different text of a batch once. Arrow's own function does not
+    compose characters, so Python's stands here."""
+    coded = text.dictionary_encode()
+    return pa.array([unicodedata.normalize("NFKC", x) for x in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)

@@ -1,83 +1,79 @@
-"""Towns that an address parser took too short."""
+"""Towns that an address parser took too short, found through an index of the beginnings of towns."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Numerals, units, and characters written for a hyphen.
-DIGITS = {c: i for i, c in enumerate("〇一二三四五六七八九")}
-UNITS = {"十": 10, "百": 100, "千": 1000}
+DIGITS = "〇一二三四五六七八九"
+UNITS = "十百千"
 HYPHENS = "-－﹣−‐⁃‑‒–—﹘―⎯⏤ーｰ─━"
-
-_NUMERAL = re.compile("[〇一二三四五六七八九十百千]+")
-_FOLD = {**{ord(c): "-" for c in HYPHENS}, **{0xFF10 + i: str(i) for i in range(10)}, ord("ヶ"): "ケ", ord("ヵ"): "カ"}
 # The characters that a town may begin with, and that it consists of.
 KANJI = "[々〇一-鿿]"
-_KANJI = re.compile(KANJI)
-_WORD = re.compile("[々〇一-鿿ぁ-んァ-ヶー]+")
+WORD = "[々〇一-鿿ぁ-んァ-ヶー]"
+# Rule for full-width digits: U+FF10 to U+FF19.
+FULL_DIGITS = "".join(chr(0xFF10 + i) for i in range(10))
 
 
-def numeral(text: str) -> int:
-    """A run of numerals as a number: places (二三) or units (二十三)."""
-    if not any(c in UNITS for c in text):
-        return int("".join(str(DIGITS[c]) for c in text))
-    total, digit = 0, None
-    for c in text:
-        if c in UNITS:
-            total += (1 if digit is None else digit) * UNITS[c]
-            digit = None
-        else:
-            digit = DIGITS[c]
-    return total + (digit or 0)
+def numeral(text: Column) -> Column:
+    """A run of numerals as the digits of its number: places (二三 is 23) or units (二十三 is 23)."""
 
+    def add(a: Column, c: Column) -> Column:
+        unit, digit = F.instr(F.lit(UNITS), c), F.instr(F.lit(DIGITS), c)
+        worth = F.pow(F.lit(10), unit).cast("long")
+        return F.when(unit > 0, F.struct((a["total"] + F.coalesce(a["digit"], F.lit(1)) * worth).alias("total"), F.lit(None).cast("long").alias("digit"))).otherwise(F.struct(a["total"].alias("total"), (digit - 1).cast("long").alias("digit")))
 
-def fold(text: str) -> str:
-    """Spellings of a town made comparable."""
-    plain = _NUMERAL.sub(lambda m: str(numeral(m[0])), text.translate(_FOLD))
-    return re.sub("大?字", "", plain)
+    zero = F.struct(F.lit(0).cast("long").alias("total"), F.lit(None).cast("long").alias("digit"))
+    units = F.aggregate(F.split(text, ""), zero, add, lambda a: (a["total"] + F.coalesce(a["digit"], F.lit(0))).cast("string"))
+    return F.when(text.rlike(f"[{UNITS}]"), units).otherwise(F.regexp_replace(F.translate(text, DIGITS, "0123456789"), "^0+(?=.)", ""))
 
 
-def longer_town(address: str, town: str, rest: str, evidence: str, towns: list[tuple[str, str]]) -> str:
-    """The town or its larger part that the address really names, empty if the parsed one stands.
+def fold(text: Column) -> Column:
+    """Spellings of a town made comparable: hyphens, digits, numerals and small kana alike, without 字 and 大字."""
+    plain = F.translate(text, HYPHENS + FULL_DIGITS + "ヶヵ", "-" * len(HYPHENS) + "0123456789" + "ケカ")
+    numerals = f"[{DIGITS}{UNITS}]+"
+    runs = F.regexp_extract_all(plain, F.lit(f"{numerals}|[^{DIGITS}{UNITS}]+"), F.lit(0))
+    return F.regexp_replace(F.array_join(F.transform(runs, lambda r: F.when(r.rlike(f"^{numerals}"), numeral(r)).otherwise(r)), ""), "大?字", "")
 
-    ``rest`` is what the parser left unread behind the town. If the end of the read part and the beginning of the
-    rest together begin a town of the city, the longest such town is meant, unless it lies in the same larger part.
-    ``towns``: (larger part, name) of the city.
-    """
-    address, cut = address.strip(), len(address.strip()) - len(rest)
-    aligned = bool(town and rest) and evidence == "なし" and cut > 0 and address[cut] == rest[0]
-    if not aligned or not _KANJI.match(rest) or address[cut - 1].isdigit():
-        return ""
-    run = fold(m[0] if (m := _WORD.match(rest)) else "")
-    if not run:
-        return ""
-    across = fold(address[:cut]) + run
-    matched = [(max((k for k in range(len(run) + 1, len(f) + 1) if across.endswith(f[:k])), default=0), -i) for i, f in enumerate(fold(name) for _, name in towns)]
-    length, place = max(matched, default=(0, 0))
-    if not length:
-        return ""
-    part, name = towns[-place]
-    own = next((p for p, n in towns if fold(n) == fold(town)), None)
-    return "" if own is not None and fold(own) == fold(part) else part or name
 
+def town_index(towns: DataFrame) -> DataFrame:
+    """(pref, city, beginning, part, name): every beginning of a folded town, with the first town of the city that has it."""
+    folded = towns.withColumn("_f", fold(F.col("name"))).filter("_f <> ''")
+    begins = folded.select("pref", "city", "at", "part", "name", F.explode(F.sequence(F.lit(1), F.length("_f"))).alias("n"), "_f")
+    first = begins.groupBy("pref", "city", F.substring("_f", F.lit(1), F.col("n")).alias("beginning")).agg(F.min_by(F.struct("part", "name"), "at").alias("t"))
+    return first.select("pref", "city", "beginning", "t.part", "t.name")
 
-def with_longer_towns(df: DataFrame, towns: DataFrame) -> DataFrame:
-    """``longer_town`` beside (pref, city, address, town, rest, evidence); towns: (pref, city, part, name).
 
-    A city's towns are one list, joined by city; rows that cannot be affected are set apart first and never meet it.
-    """
-    lists = towns.dropDuplicates(["pref", "city", "name"]).groupBy("pref", "city").agg(F.array_sort(F.collect_list(F.struct("part", "name"))).alias("_towns"))
+def with_longer_towns(df: DataFrame, towns: DataFrame) -> DataFrame:
+    """``longer_town`` beside (pref, city, address, town, rest, evidence): the town or its larger part that is really named.
 
-    @F.pandas_udf("string")
-    def judge(address: pd.Series, town: pd.Series, rest: pd.Series, evidence: pd.Series, names: pd.Series) -> pd.Series:
-        rows = zip(address, town, rest, evidence, names, strict=True)
-        return pd.Series([longer_town(a or "", t or "", r or "", e or "", [(x["part"] or "", x["name"]) for x in n] if n is not None else []) for a, t, r, e, n in rows])
+    ``rest`` is what the parser left unread behind the town. If the end of the read part and the beginning of the rest
+    together begin a town of the city, the longest such beginning is meant, unless the town lies in the same larger part
+    as the parsed one. ``towns``: (pref, city, part, name, at), the first by ``at`` counting among equals.
 
-    open_ = (F.col("evidence") == "なし") & (F.col("town") != "") & F.col("rest").rlike("^" + KANJI)
-    marked = df.withColumn("_open", F.coalesce(open_, F.lit(False)))
-    judged = marked.filter("_open").join(lists, ["pref", "city"], "left").withColumn("longer_town", judge("address", "town", "rest", "evidence", "_towns")).drop("_towns")
-    return judged.unionByName(marked.filter("not _open").withColumn("longer_town", F.lit(""))).drop("_open")
+    Rows that cannot be affected are set apart; of the others, each different one is worked on once. Its possible
+    beginnings, the ends of what was read that are longer than the run behind it, are keys of a join with the index of
+    beginnings; the longest that is found counts. Nothing is compared with all towns of a city.
+    """
+    keys = ["pref", "city", "address", "town", "rest", "evidence"]
+    text = {c: F.coalesce(F.col(c), F.lit("")) for c in keys}
+    address, rest = F.regexp_replace(text["address"], r"(?U)^\s+|\s+$", ""), text["rest"]
+    cut = F.length(address) - F.length(rest)
+    open_ = (text["evidence"] == "なし") & (text["town"] != "") & rest.rlike("^" + KANJI) & (cut > 0)
+    aligned = (F.substring(address, cut + 1, F.lit(1)) == F.substring(rest, 1, 1)) & ~F.substring(address, cut, F.lit(1)).rlike("^[0-9０-９]")
+    rows = df.filter(F.coalesce(open_ & aligned, F.lit(False))).select(*keys).distinct()
+    run = fold(F.regexp_extract(rest, f"^{WORD}+", 0))
+    read = rows.withColumn("_run", F.length(run)).withColumn("_across", F.concat(fold(F.substring(address, F.lit(1), cut)), run)).filter("_run > 0")
+    parts = towns.filter("coalesce(name, '') <> ''").select("pref", "city", F.coalesce("part", F.lit("")).alias("part"), "name", "at")
+    longest = parts.groupBy("pref", "city").agg(F.max(F.length(fold(F.col("name")))).alias("_most"))
+    within = read.join(longest, ["pref", "city"]).withColumn("_most", F.least("_most", F.length("_across"))).filter("_most > _run")
+    ends = within.select(*keys, F.explode(F.sequence(F.col("_run") + 1, F.col("_most"))).alias("_n"), "_across")
+    ends = ends.select(*keys, "_n", F.substring("_across", F.length("_across") - F.col("_n") + 1, F.col("_n")).alias("beginning"))
+    found = ends.join(town_index(parts), ["pref", "city", "beginning"]).groupBy(*keys).agg(F.max_by(F.struct("part", "name"), "_n").alias("_t"))
+    own = parts.groupBy("pref", "city", fold(F.col("name")).alias("_own")).agg(F.min_by("part", "at").alias("_part"))
+    judged = found.withColumn("_own", fold(F.col("town"))).join(own, ["pref", "city", "_own"], "left")
+    same = F.coalesce(fold(F.col("_part")) == fold(F.col("_t.part")), F.lit(False))
+    named = judged.select(*[F.col(c).alias(f"_{c}") for c in keys], F.when(same, "").when(F.col("_t.part") != "", F.col("_t.part")).otherwise(F.col("_t.name")).alias("longer_town"))
+    on = [df[c].eqNullSafe(named[f"_{c}"]) for c in keys]
+    return df.join(named, on, "left").select(*df.columns, F.coalesce("longer_town", F.lit("")).alias("longer_town"))

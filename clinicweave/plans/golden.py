@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicweave.functions.closures import closure_comment, with_closed_dates
+from clinicweave.functions.closures import with_closed_dates
 from clinicweave.functions.hours import fold_dates, hours_expression, nth_week_rule, week_rules
 from clinicweave.functions.kana import romaji_similarity, to_romaji
 from clinicweave.functions.names import NameRules, with_stripped_names
 from clinicweave.functions.text import to_hiragana
-from clinicweave.functions.towns import with_longer_towns
 
 # Word lists and expected results of the cases.
 RULES = NameRules(["医療法人社団", "医療法人"], ["会", "機構", "社団"], ["病院", "医院", "診療所", "クリニック", "歯科", "センター", "荘"], ["内科", "外科", "消化器内科", "歯科"], ["市立", "県立"], ["国民健康保険"], ["医", "有", "株"])
@@ -49,22 +48,6 @@ NAMES = [
     ("医)", "", "医)", "", ""),
 ]
 ROMAJI = [("ジケイカイ", "jikeikai", "Jikeikai", "true"), ("ほっかいどう", "hokkaidou", "Hokkaido", "true"), ("しんいち", "shin'ichi", "Shinichi", "true"), ("きょうとしりつ", "kyoutoshiritsu", "Kyoto shiritsu", "true"), ("こくみんけんこうほけん", "kokuminkenkouhoken", "Kokuho", "false")]
-DATES = [
-    ("01月01日，01月02日，01月03日，12月30日，12月31日", "Dec 30-Jan 03", "", ""),
-    ("年末年始（12月29日～1月3日）", "Dec 29-Jan 03", "", ""),
-    ("12/29~1/3", "Dec 29-Jan 03", "", ""),
-    ("8/14-5/16\n12/29-1/3", "Dec 29-Jan 03", "[31日超の範囲:8/14-5/16]", ""),
-    ("GW・お盆休み", "", "GW・お盆休み", "GW・お盆は休診"),
-]
-TOWNS = [("神奈川県", "横浜市鶴見区", "鶴見町", "鶴見町"), ("神奈川県", "横浜市鶴見区", "鶴見中央", "鶴見中央一丁目"), ("神奈川県", "藤沢市", "辻堂", "辻堂"), ("神奈川県", "藤沢市", "辻堂元町", "辻堂元町一丁目"), ("大分県", "大分市", "大字下郡", "大字下郡"), ("大分県", "大分市", "大字下郡", "大字下郡北"), ("愛知県", "豊橋市", "牟呂町", "牟呂町字内田"), ("愛知県", "豊橋市", "牟呂内田町", "牟呂内田町")]
-ADDRESSES = [
-    ("t1", "神奈川県", "横浜市鶴見区", "神奈川県横浜市鶴見区鶴見中央", "鶴見町", "中央", "なし", "鶴見中央"),
-    ("t2", "神奈川県", "藤沢市", "神奈川県藤沢市辻堂元町", "辻堂", "元町", "なし", "辻堂元町"),
-    ("t3", "神奈川県", "横浜市鶴見区", "神奈川県横浜市鶴見区鶴見中央1-2-3", "鶴見町", "中央", "照合済み", ""),
-    ("t4", "神奈川県", "横浜市鶴見区", "神奈川県横浜市鶴見区鶴見町1234", "鶴見町", "1234", "なし", ""),
-    ("t5", "大分県", "大分市", "大分県大分市大字下郡北", "大字下郡", "北", "なし", ""),
-    ("t6", "愛知県", "豊橋市", "愛知県豊橋市牟呂内田町１９－１３", "牟呂町字内田", "町19-13", "なし", "牟呂内田町"),
-]
 WEEK = "Mo-Fr 09:00-12:30,13:30-17:30; Sa 09:00-12:30; Sa[1,3,5] off; PH off; Dec 30-Jan 03 off"
 
 
@@ -84,21 +67,10 @@ def golden_romaji(spark: SparkSession, _: str) -> DataFrame:
     return df.select("reading", to_romaji(to_hiragana(F.col("reading"))).alias("romaji"), "source", (romaji_similarity(F.col("source"), F.col("reading")) >= 0.9).cast("string").alias("agrees"))
 
 
-def golden_closed_dates(spark: SparkSession, _: str) -> DataFrame:
-    df = with_closed_dates(spark.createDataFrame([(r[0],) for r in DATES], "source string"), "source")
-    return df.select("source", fold_dates(F.col("closed.dates")).alias("dates"), F.col("closed.rest").alias("rest"), closure_comment(F.col("closed.rest")).alias("comment"))
-
-
-def golden_town_overmatch(spark: SparkSession, _: str) -> DataFrame:
-    rows = spark.createDataFrame([r[:-1] for r in ADDRESSES], "id string, pref string, city string, address string, town string, rest string, evidence string")
-    towns = spark.createDataFrame(TOWNS, "pref string, city string, part string, name string")
-    return with_longer_towns(rows, towns).select("id", "longer_town")
-
-
 def golden_opening_hours(spark: SparkSession, _: str) -> DataFrame:
     """Slots of one hospital, weeks of the month, holidays and closed dates to the whole expression."""
     slots = [(d, 540, 750) for d in range(6)] + [(d, 810, 1050) for d in range(5)] + [(0, 810, 1020), (3, 540, 750)]
-    df = spark.createDataFrame([("h1", slots, DATES[0][0])], "id string, slots array<struct<day:int,s:int,e:int>>, closed_text string")
+    df = spark.createDataFrame([("h1", slots, "01月01日，01月02日，01月03日，12月30日，12月31日")], "id string, slots array<struct<day:int,s:int,e:int>>, closed_text string")
     df = with_closed_dates(df, "closed_text")
     weeks = F.array_compact(F.array(nth_week_rule(F.lit(5), F.array(*map(F.lit, (1, 3, 5))), F.lit(True))))
     none = F.array().cast("array<int>")
@@ -106,11 +78,9 @@ def golden_opening_hours(spark: SparkSession, _: str) -> DataFrame:
     return df.select("id", text.alias("opening_hours"))
 
 
-QUERIES = {f.__name__: f for f in (golden_entity_strip, golden_romaji, golden_closed_dates, golden_town_overmatch, golden_opening_hours)}
+QUERIES = {f.__name__: f for f in (golden_entity_strip, golden_romaji, golden_opening_hours)}
 ORACLES = {
     "golden_entity_strip": _values(NAMES, "source, short, name, removed, guessed"),
     "golden_romaji": _values(ROMAJI, "reading, romaji, source, agrees"),
-    "golden_closed_dates": _values(DATES, "source, dates, rest, comment"),
-    "golden_town_overmatch": _values([(r[0], r[-1]) for r in ADDRESSES], "id, longer_town"),
     "golden_opening_hours": _values([("h1", WEEK)], "id, opening_hours"),
 }

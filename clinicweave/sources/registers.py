@@ -18,10 +18,10 @@ def _path_part(pattern: str, group: int) -> Column:
 
 
 def read_towns(spark: SparkSession, base: str) -> DataFrame:
-    """(pref, city, oaza, name) of a mirror with one file a city, ``<pref>/<city>.json``, whose ``data`` lists towns.
+    """(pref, city, oaza, name, at) of a mirror with one file a city, ``<pref>/<city>.json``, whose ``data`` lists towns.
 
     A name joins oaza_cho, chome and koaza; towns without one are left out, and of equal names of a city the first of
-    the file counts. A city's file is one row of some thousand towns at most.
+    the file counts, at its place ``at``. A city's file is one row of some thousand towns at most.
     """
     town = "struct<oaza_cho:string,chome:string,koaza:string>"
     files = spark.read.schema(f"data array<{town}>").json(f"{base}/*/*.json", multiLine=True)
@@ -29,7 +29,7 @@ def read_towns(spark: SparkSession, base: str) -> DataFrame:
     towns = files.select(_path_part(place, 1).alias("pref"), _path_part(place, 2).alias("city"), F.posexplode("data").alias("at", "t"))
     name = F.concat(*[F.coalesce(F.col(f"t.{c}"), F.lit("")) for c in ("oaza_cho", "chome", "koaza")])
     named = towns.select("pref", "city", "at", F.coalesce("t.oaza_cho", F.lit("")).alias("oaza"), name.alias("name")).filter("name <> ''")
-    return named.groupBy("pref", "city", "name").agg(F.min_by("oaza", "at").alias("oaza")).select("pref", "city", "oaza", "name")
+    return named.groupBy("pref", "city", "name").agg(F.min_by("oaza", "at").alias("oaza"), F.min("at").alias("at")).select("pref", "city", "oaza", "name", "at")
 
 
 def read_numbers(spark: SparkSession, base: str) -> DataFrame:

@@ -6,9 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinicweave.functions import geo, hours, text
-from clinicweave.functions.closures import closed_dates
 from clinicweave.functions.kana import romaji
-from clinicweave.functions.towns import fold, longer_town, numeral
 from clinicweave.operators import intervals, tables
 
 
@@ -57,21 +55,10 @@ def test_rules_fit(spark, most):
     assert len(kept) <= most and "; ".join(x for x in (kept, dropped) if x) == whole
 
 
-def test_closed_dates():
-    assert closed_dates("8/14-5/16\n12/29-1/3") == ([0, 1, 2, 363, 364, 365], "[31日超の範囲:8/14-5/16]")
-    assert closed_dates("2024年13月40日") == ([], "13月40日")
-    assert closed_dates("") == ([], "")
-
-
 def test_readings():
     assert romaji("がっこう") == "gakkou" and romaji("しんや") == "shin'ya" and romaji("ファー") == "ファ" and romaji("ちゃ") == "cha" and romaji("ふぁ") == "fa"
 
 
-def test_towns():
-    assert fold("大字大槻町字天正坦") == "大槻町天正坦" and fold("茅ヶ崎") == "茅ケ崎" and numeral("二十三") == 23 and numeral("二三") == 23
-    assert longer_town("愛知県", "町", "", "なし", []) == ""
-
-
 def test_distance_and_grid(spark):
     assert abs(one(spark, geo.distance_m(F.lit(35.0), F.lit(139.0), F.lit(36.0), F.lit(139.0))) - 111194.9) < 0.1
     assert one(spark, geo.on_coarse_grid(F.lit(38.0), F.lit(140.1))) and not one(spark, geo.on_coarse_grid(F.lit(38.01), F.lit(140.1)))

@@ -14,7 +14,7 @@ def test_towns_and_numbers(spark, tmp_path):
     towns = [{"oaza_cho": "大膳町"}, {"oaza_cho": "本町", "chome": "一丁目"}, {"oaza_cho": "別", "koaza": ""}, {"chome": "別"}, {"koaza": None}, {"oaza_cho": "本町", "chome": "一丁目", "x": 1}]
     (folder / "高知市.json").write_text(json.dumps({"meta": 1, "data": towns}, ensure_ascii=False), encoding="utf-8")
     got = {tuple(r) for r in registers.read_towns(spark, str(tmp_path / "ja")).collect()}
-    assert got == {("高知県", "高知市", "大膳町", "大膳町"), ("高知県", "高知市", "本町", "本町一丁目"), ("高知県", "高知市", "別", "別")}
+    assert got == {("高知県", "高知市", "大膳町", "大膳町", 0), ("高知県", "高知市", "本町", "本町一丁目", 1), ("高知県", "高知市", "別", "別", 2)}
 
     (folder / "高知市-地番.txt").write_text("大膳町,40,60\n本町,100,9\n地番,大膳町\nprc_num1,prc_num2,prc_num3,lng\n37,,,1\n37,2,,1\n37,2,,1\n,5,,1\n地番,本町\nprc_num1,prc_num2,prc_num3\n1,2,3\n", encoding="utf-8")
     (folder / "高知市-住居表示.txt").write_text("住居表示,大膳町\r\nblk_num,rsdt_num,rsdt_num2\r\n1,,2\r\n", encoding="utf-8")
