@@ -7,10 +7,11 @@ import unicodedata
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from clinicweave.functions.hours import let
 from clinicweave.functions.text import fold_romaji, to_hiragana
 
 #: Similarity of folded spellings from which they agree.
@@ -37,29 +38,30 @@ def syllables() -> dict[str, str]:
     return table | JOINED
 
 
-_TABLE = syllables()
+def to_romaji(reading: Column) -> Column:
+    """Hepburn without marks of length: ー goes, っ doubles the next consonant, ん before a vowel or y gets a sign.
 
+    The reading is cut into syllables, two characters where the table has them, and each is looked up with the next.
+    """
+    table = syllables()
+    pairs = "|".join(sorted(k for k in table if len(k) == 2))
+    known = F.map_from_arrays(F.array(*map(F.lit, table)), F.array(*map(F.lit, table.values())))
+    parts = F.regexp_extract_all(F.translate(reading, "ー", ""), F.lit(f"{pairs}|(?s:.)"), F.lit(0))
 
-def romaji(reading: str) -> str:
-    """Hepburn without marks of length: ー goes, っ doubles the next consonant, ん before a vowel or y gets a sign."""
-    parts: list[str] = []
-    rest = reading.replace("ー", "")
-    while rest:
-        size = 2 if rest[:2] in _TABLE else 1
-        kana, rest = rest[:size], rest[size:]
-        following = _TABLE.get(rest[:2]) or _TABLE.get(rest[:1]) or ""
-        if kana == "っ":
-            parts.append("" if following[:1] in ("a", "i", "u", "e", "o") else following[:1])
-        elif kana == "ん" and following[:1] and following[0] in "aiueoy":
-            parts.append("n'")
-        else:
-            parts.append(_TABLE.get(kana, kana))
-    return "".join(parts)
+    def of(kana: Column) -> Column:
+        latin = F.transform(kana, lambda k: F.try_element_at(known, k))
 
+        def one(x: Column) -> Column:
+            def part(k: Column, i: Column) -> Column:
+                own, following = F.get(x["latin"], i), F.coalesce(F.get(x["latin"], i + 1), F.lit(""))
+                doubled = F.when(following.rlike("^[aiueo]"), "").otherwise(F.substring(following, 1, 1))
+                return F.when(k == "っ", doubled).when((k == "ん") & following.rlike("^[aiueoy]"), "n'").otherwise(F.coalesce(own, k))
 
-@F.pandas_udf(StringType())
-def to_romaji(reading: pd.Series) -> pd.Series:
-    return reading.map(lambda x: romaji(x) if x is not None else None)
+            return F.array_join(F.transform(x["kana"], part), "")
+
+        return let(F.struct(kana.alias("kana"), latin.alias("latin")), one)
+
+    return let(parts, of)
 
 
 @F.pandas_udf(DoubleType())
@@ -67,9 +69,14 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
 
 
-def romaji_similarity(source: Column, reading: Column) -> Column:
-    """0 to 1 between a source's romaji and the romaji of a reading, spellings folded; 0 if either is empty."""
-    return _ratio(fold_romaji(to_romaji(to_hiragana(reading))), fold_romaji(F.coalesce(source, F.lit(""))))
+def with_similarity(df: DataFrame, source: str, reading: str, to: str = "similarity") -> DataFrame:
+    """0 to 1 between a source's romaji and the romaji of a reading, spellings folded; 0 if either is empty or null.
+
+    Spellings are folded by column functions; the ratio, which Spark lacks, is computed once for each different pair.
+    """
+    folded = df.withColumn("_a", fold_romaji(F.coalesce(to_romaji(to_hiragana(F.col(reading))), F.lit("")))).withColumn("_b", fold_romaji(F.coalesce(F.col(source), F.lit(""))))
+    pairs = folded.select("_a", "_b").distinct().withColumn(to, _ratio("_a", "_b"))
+    return folded.join(pairs, ["_a", "_b"], "left").drop("_a", "_b")
 
 
 @F.arrow_udf(StringType())

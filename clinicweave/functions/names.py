@@ -1,167 +1,200 @@
-"""Facility names without the bodies that run them."""
+"""Facility names without the bodies that run them, as rewrite steps over columns."""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The longest name of a body before a facility's name, and characters that carry on a suffix as a word.
+from clinicweave.functions.hours import let
+from clinicweave.functions.text import any_of, drop_stray_bracket, join_tokens, squash
+
+# The longest name of a body before a facility's name, characters that carry on a suffix as a word, legal forms
+# that stand without the words around them, and beginnings that belong to the facility.
 BODY_CHARS = 10
 CARRIES_ON = "館社立営店"
+BARE_FORMS = ("社団", "財団")
+ATTACHED = ("附属", "付属")
+
+_GAP = "[ 　]{2,}"
+_NOISE = r"(?U)^[\s　)\]）】」』＞>》・,、.。／/－-]+"
+STATE = "struct<rest:string,removed:array<string>,guessed:array<string>,legal:boolean,tight:boolean>"
+
+
+@dataclass(frozen=True)
+class NameWords:
+    """Word lists: legal forms, suffixes of bodies, kinds of facilities, specialities, operators, insurers, marks in brackets."""
+
+    prefixes: tuple[str, ...] = ()
+    suffixes: tuple[str, ...] = ()
+    facility: tuple[str, ...] = ()
+    speciality: tuple[str, ...] = ()
+    operators: tuple[str, ...] = ()
+    anywhere: tuple[str, ...] = ()
+    brackets: tuple[str, ...] = ()
+
+
+def _one(words: tuple[str, ...]) -> str:
+    return any_of(list(words)) if words else "(?!)"
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def only_kinds(text: Column, words: NameWords) -> Column:
+    """Nothing but words for kinds of facilities, taken away again and again until none is left."""
+
+    def of(t: Column) -> Column:
+        left = F.aggregate(F.sequence(F.lit(0), F.length(t)), t, lambda a, _: F.when(a == "", a).otherwise(F.regexp_replace(a, _one(words.facility), "")))
+        return (t != "") & (left == "")
+
+    return let(squash(text), of)
+
+
+def entity_head(text: Column, words: NameWords) -> Column:
+    """The shortest beginning that ends as a body's name, is more than that ending and is followed by a new word; else empty."""
+    return F.regexp_extract(text, rf"^[^ 　]{{2,{BODY_CHARS}}}?(?<=.{_one(words.suffixes)})(?=[^{CARRIES_ON}])", 0)
+
+
+def _put(state: Column, **changes: Column) -> Column:
+    return F.struct(*[changes.get(k, state[k]).alias(k) for k in ("rest", "removed", "guessed", "legal", "tight")])
+
+
+def _add(words: Column, *new: Column) -> Column:
+    return F.concat(words, F.array(*new))
+
+
+def _after(text: Column, head: Column) -> Column:
+    return F.substring(text, F.length(head) + 1, F.length(text))
+
+
+def _bracket_forms(s: Column, _: Column, words: NameWords) -> Column:
+    """``医)`` at the start, and legal forms and marks in brackets anywhere, unless nothing else would be left."""
+    mark = F.regexp_extract(s["rest"], rf"^{_one(words.brackets)}[)）](?=.)", 0)
+    bracketed = rf"(?U)[(（]\s*(?:{_one(words.brackets)}\s*|{_one(words.prefixes)}[^()（）]*)[)）]"
+
+    def inside(s: Column) -> Column:
+        found = F.regexp_extract_all(s["rest"], F.lit(bracketed), F.lit(0))
+        left = strip(F.regexp_replace(F.regexp_replace(s["rest"], bracketed, ""), _GAP, " "))
+        return let(F.struct(found.alias("found"), left.alias("left")), lambda x: F.when((F.size(x["found"]) > 0) & (x["left"] != ""), _put(s, rest=x["left"], removed=F.concat(s["removed"], x["found"]), legal=F.lit(True))).otherwise(s))
+
+    return let(F.when(mark != "", _put(s, rest=strip(_after(s["rest"], mark)), removed=_add(s["removed"], mark), legal=F.lit(True))).otherwise(s), inside)
+
+
+def _legal_forms(s: Column, _: Column, words: NameWords) -> Column:
+    """Legal forms at the start, one after another, as long as something follows."""
+    form = _one(words.prefixes)
+    head = F.regexp_extract(s["rest"], rf"(?U)^(?>{form}(?=.)\s*)+", 0)
+    return let(head, lambda h: F.when(h != "", _put(s, rest=strip(_after(s["rest"], h)), removed=F.concat(s["removed"], F.regexp_extract_all(h, F.lit(form), F.lit(0))), legal=F.lit(True))).otherwise(s))
+
+
+def _stray_bracket(s: Column, _: Column, words: NameWords) -> Column:
+    return _put(s, rest=drop_stray_bracket(s["rest"]))
+
+
+def _leading_words(s: Column, short: Column, words: NameWords) -> Column:
+    """Words before the facility's own: bodies and legal forms, and others in front of a word for a facility.
+
+    The latter are guesses; they come back where only words for kinds of facilities would be left.
+    """
+    ends = lambda c: c.rlike(f"{_one(words.facility)}$")
+
+    def step(a: Column, _: Column) -> Column:
+        head = F.regexp_extract(a["rest"], "^([^ ]*) ", 1)
+        tail = strip(F.regexp_extract(a["rest"], "(?s)^[^ ]* (.*)$", 1))
+
+        def of(x: Column) -> Column:
+            head, tail = x["head"], x["tail"]
+            body = head.rlike(f"^{_one(words.prefixes)}$") | head.rlike(f"{_one(words.suffixes)}$")
+            kinds = only_kinds(tail, words) & (squash(short) != squash(tail))
+            guess = ~ends(head) & ends(F.element_at(F.split(tail, " "), -1))
+            certain = head.rlike(f"^{_one(words.speciality)}$") | head.rlike(_one(words.operators))
+            own = ~certain & (short != "") & (squash(short) == squash(F.concat(head, tail)))
+            put = lambda **c: F.struct(*[c.get(k, a[k]).alias(k) for k in ("rest", "bodies", "words", "guessed", "untouched", "tight", "on")])
+            stop = put(on=F.lit(False))
+            return (
+                F.when(tail == "", stop).when(body & kinds, put(tight=F.lit(True), on=F.lit(False))).when(body, put(rest=tail, bodies=_add(a["bodies"], head), words=_add(a["words"], head)))
+                .when(guess & ~own, put(rest=tail, words=_add(a["words"], head), guessed=_add(a["guessed"], head), untouched=F.coalesce(a["untouched"], a["rest"]))).otherwise(stop)
+            )
+
+        return F.when(a["on"], let(F.struct(head.alias("head"), tail.alias("tail")), of)).otherwise(a)
+
+    none = F.array().cast("array<string>")
+    start = F.struct(s["rest"].alias("rest"), none.alias("bodies"), none.alias("words"), none.alias("guessed"), F.lit(None).cast("string").alias("untouched"), s["tight"].alias("tight"), F.lit(True).alias("on"))
+
+    def end(a: Column) -> Column:
+        back = a["untouched"].isNotNull() & only_kinds(a["rest"], words)
+        return F.when(back, _put(s, rest=join_tokens(a["untouched"]), removed=F.concat(s["removed"], a["bodies"]), tight=a["tight"])).otherwise(
+            _put(s, rest=a["rest"], removed=F.concat(s["removed"], a["words"]), guessed=F.concat(s["guessed"], a["guessed"]), tight=a["tight"])
+        )
+
+    return let(F.aggregate(F.split(s["rest"], " "), start, step), end)
+
+
+def _bare_forms(s: Column, _: Column, words: NameWords) -> Column:
+    for form in BARE_FORMS:
+        bare = s["rest"].startswith(form) & (s["rest"] != form)
+        s = F.when(bare, _put(s, rest=strip(_after(s["rest"], F.lit(form))), removed=_add(s["removed"], F.lit(form)))).otherwise(s)
+    return s
+
+
+def _attached_bodies(s: Column, short: Column, words: NameWords) -> Column:
+    """Bodies written together with the facility's name, where a legal form went before; the stretch that goes is a guess."""
+
+    def step(a: Column, _: Column) -> Column:
+        def of(head: Column) -> Column:
+            def with_tail(tail: Column) -> Column:
+                own = squash(short) == squash(F.concat(head, tail))
+                vague = (tail == "") | only_kinds(tail, words) | tail.rlike(f"^{_one(words.speciality)}$") | tail.rlike(f"^{_one(ATTACHED)}")
+                gone = F.struct(tail.alias("rest"), _add(a["words"], head).alias("words"), F.lit(True).alias("on"))
+                return F.when((head == "") | own | vague, F.struct(a["rest"].alias("rest"), a["words"].alias("words"), F.lit(False).alias("on"))).otherwise(gone)
+
+            return let(F.regexp_replace(_after(a["rest"], head), _NOISE, ""), with_tail)
+
+        return F.when(a["on"], let(entity_head(a["rest"], words), of)).otherwise(a)
+
+    start = F.struct(s["rest"].alias("rest"), F.array().cast("array<string>").alias("words"), s["legal"].alias("on"))
+    gone = lambda a: F.substring(s["rest"], F.lit(1), F.length(s["rest"]) - F.length(a["rest"]))
+    turns = F.sequence(F.lit(0), F.floor(F.length(s["rest"]) / 2).cast("int"))
+    return let(F.aggregate(turns, start, step), lambda a: F.when(a["rest"] == s["rest"], s).otherwise(_put(s, rest=a["rest"], removed=F.concat(s["removed"], a["words"]), guessed=_add(s["guessed"], gone(a)))))
+
+
+def _insurers(s: Column, short: Column, words: NameWords) -> Column:
+    """Words that go wherever they stand, unless the short name has them or only a kind or speciality would be left."""
+    for word in words.anywhere:
+
+        def of(left: Column) -> Column:
+            goes = s["rest"].contains(word) & ~squash(short).contains(word) & (left != "") & ~left.rlike(f"^{_one((*words.facility, *words.speciality))}$")  # noqa: B023  called at once
+            return F.when(goes, _put(s, rest=left, removed=_add(s["removed"], F.lit(word)))).otherwise(s)  # noqa: B023
+
+        s = let(strip(F.regexp_replace(F.regexp_replace(s["rest"], re.escape(word), ""), _GAP, " ")), of)
+    return s
+
+
+#: The steps in order, each of which takes away what it is sure of.
+STEPS: tuple[Callable[[Column, Column, NameWords], Column], ...] = (_bracket_forms, _legal_forms, _stray_bracket, _leading_words, _legal_forms, _bare_forms, _attached_bodies, _stray_bracket, _insurers)
+
+
+def strip_entity(df: DataFrame, name: str, short: str, words: NameWords) -> DataFrame:
+    """``df`` with ``stripped`` (name, removed, guessed): one projection a step, so that no step is computed twice."""
+    none = F.array().cast("array<string>")
+    text = lambda c: strip(F.coalesce(F.col(c), F.lit("")))
+    start = F.struct(text(name).alias("rest"), none.alias("removed"), none.alias("guessed"), F.lit(False).alias("legal"), F.lit(False).alias("tight"))
+    out = df.withColumn("_s", start.cast(STATE)).withColumn("_short", F.coalesce(F.col(short), F.lit("")))
+    for step in STEPS:
+        out = out.withColumn("_s", let(F.col("_s"), lambda s: step(s, F.col("_short"), words)))  # noqa: B023  the lambda is called at once
+    s = F.col("_s")
+    return out.withColumn("stripped", F.struct(F.when(s["tight"], join_tokens(s["rest"])).otherwise(s["rest"]).alias("name"), s["removed"].alias("removed"), s["guessed"].alias("guessed"))).drop("_s", "_short")
+
+
+def with_stripped_names(df: DataFrame, name: str, short: str, words: NameWords) -> DataFrame:
+    """``stripped`` (name, removed, guessed) beside the names; each distinct (name, short name) is worked on once.
 
-_GAP = re.compile(r"[ 　]{2,}")
-_NOISE = re.compile(r"^[\s　)\]）】」』＞>》・,、.。／/－-]+")
-_LOOSE_BLANK = re.compile(r"(?<![A-Za-z0-9]) +| +(?![A-Za-z0-9])")
-
-
-def squash(text: str | None) -> str:
-    return (text or "").replace(" ", "").replace("　", "")
-
-
-def tighten(text: str) -> str:
-    """Blanks stay between ASCII letters and digits only."""
-    return _LOOSE_BLANK.sub("", text)
-
-
-def _words(words) -> re.Pattern:
-    return re.compile("|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) or r"(?!)")
-
-
-@dataclass
-class _Name:
-    rest: str
-    removed: list[str] = field(default_factory=list)
-    guessed: list[str] = field(default_factory=list)
-    legal: bool = False
-    tighten: bool = False
-
-
-class NameRules:
-    """Word lists of legal forms, suffixes of bodies, facility kinds and so on, compiled once."""
-
-    def __init__(self, prefixes=(), suffixes=(), facility=(), speciality=(), operators=(), anywhere=(), brackets=()):
-        self.prefixes, self.suffixes, self.facility = frozenset(prefixes), tuple(suffixes), frozenset(facility)
-        self.speciality, self.operators, self.anywhere = frozenset(speciality), tuple(operators), tuple(anywhere)
-        self._legal = re.compile(f"(?P<form>{_words(prefixes).pattern})(?=.)")
-        self._kinds = _words(facility)
-        mark = _words(brackets).pattern
-        self._mark_only = re.compile(f"(?:{mark})[)）](?=.)")
-        self._bracketed = re.compile(rf"[(（]\s*(?:(?:{mark})\s*|(?:{_words(prefixes).pattern})[^()（）]*)[)）]")
-
-    def only_kinds(self, text: str) -> bool:
-        """Nothing but words for kinds of facilities."""
-        left = squash(text)
-        if not left:
-            return False
-        while (less := self._kinds.sub("", left)) != left:
-            left = less
-        return not left
-
-    def ends_as_facility(self, text: str) -> bool:
-        return text.endswith(tuple(self.facility))
-
-    # Steps, each of which takes away what it is sure of.
-
-    def _bracket_forms(self, n: _Name, short: str) -> None:
-        if m := self._mark_only.match(n.rest):
-            n.removed.append(m[0])
-            n.rest, n.legal = n.rest[m.end() :].strip(), True
-        found = [m[0] for m in self._bracketed.finditer(n.rest)]
-        left = _GAP.sub(" ", self._bracketed.sub("", n.rest)).strip()
-        if found and left:
-            n.removed += found
-            n.rest, n.legal = left, True
-
-    def _legal_forms(self, n: _Name, short: str) -> None:
-        while m := self._legal.match(n.rest):
-            n.removed.append(m["form"])
-            n.rest, n.legal = n.rest[m.end() :].strip(), True
-
-    def _stray_bracket(self, n: _Name, short: str) -> None:
-        lone = n.rest[:1] in tuple(")）") or (n.rest[:1] in tuple("(（") and not re.search("[)）]", n.rest))
-        if n.rest and lone and n.rest[1:].strip():
-            n.rest = n.rest[1:].strip()
-
-    def _leading_words(self, n: _Name, short: str) -> None:
-        untouched = None
-        while len(pair := n.rest.split(" ", 1)) == 2 and (tail := pair[1].strip()):
-            head = pair[0]
-            if head in self.prefixes or head.endswith(self.suffixes):
-                if self.only_kinds(tail) and squash(short) != squash(tail):
-                    n.tighten = True
-                    break
-                n.removed.append(head)
-            elif not self.ends_as_facility(head) and self.ends_as_facility(tail.rsplit(" ", 1)[-1]):
-                certain = head in self.speciality or any(w in head for w in self.operators)
-                if not certain and short and squash(short) == squash(head + tail):
-                    break
-                untouched = n.rest if untouched is None else untouched
-                n.removed.append(head)
-                n.guessed.append(head)
-            else:
-                break
-            n.rest = tail
-        if untouched is not None and self.only_kinds(n.rest):
-            for word in n.guessed:
-                n.removed.remove(word)
-            n.guessed, n.rest = [], tighten(untouched)
-
-    def _bare_forms(self, n: _Name, short: str) -> None:
-        for form in ("社団", "財団"):
-            if n.rest.startswith(form) and n.rest != form:
-                n.removed.append(form)
-                n.rest = n.rest[len(form) :].strip()
-
-    def _body(self, text: str) -> str:
-        """The shortest beginning that ends as a body's name and is followed by a new word."""
-        for size in range(2, min(len(text) - 1, BODY_CHARS) + 1):
-            head = text[:size]
-            if " " in head or "　" in head:
-                return ""
-            if text[size] not in CARRIES_ON and any(head.endswith(s) and head != s for s in self.suffixes):
-                return head
-        return ""
-
-    def _attached_bodies(self, n: _Name, short: str) -> None:
-        start = n.rest
-        while n.legal and (head := self._body(n.rest)):
-            tail = _NOISE.sub("", n.rest[len(head) :])
-            own_name = squash(short) == squash(head + tail)
-            vague = not tail or self.only_kinds(tail) or tail in self.speciality or tail.startswith(("附属", "付属"))
-            if own_name or vague:
-                break
-            n.removed.append(head)
-            n.rest = tail
-        if n.rest != start:
-            n.guessed.append(start[: len(start) - len(n.rest)])
-
-    def _insurers(self, n: _Name, short: str) -> None:
-        for word in self.anywhere:
-            left = _GAP.sub(" ", n.rest.replace(word, "")).strip()
-            if word in n.rest and word not in squash(short) and left and left not in self.facility | self.speciality:
-                n.removed.append(word)
-                n.rest = left
-
-    def strip(self, name: str, short: str = "") -> tuple[str, list[str], list[str]]:
-        """(name, words taken away, words taken away on a guess)."""
-        n = _Name(name)
-        for step in (self._bracket_forms, self._legal_forms, self._stray_bracket, self._leading_words, self._legal_forms, self._bare_forms, self._attached_bodies, self._stray_bracket, self._insurers):
-            step(n, short)
-        return (tighten(n.rest) if n.tighten else n.rest), n.removed, n.guessed
-
-
-def with_stripped_names(df: DataFrame, name: str, short: str, rules: NameRules) -> DataFrame:
-    """``stripped`` (name, removed, guessed) beside the names; each distinct (name, short name) is worked on once."""
-
-    @F.pandas_udf("struct<name:string,removed:array<string>,guessed:array<string>>")
-    def strip(names: pd.Series, shorts: pd.Series) -> pd.DataFrame:
-        out = [rules.strip(a or "", b or "") for a, b in zip(names, shorts, strict=True)]
-        return pd.DataFrame(out, columns=["name", "removed", "guessed"])
-
-    keys = df.select(F.coalesce(name, F.lit("")).alias("_n"), F.coalesce(short, F.lit("")).alias("_s")).distinct()
-    done = keys.withColumn("stripped", strip("_n", "_s"))
-    return df.join(done, (F.coalesce(df[name], F.lit("")) == F.col("_n")) & (F.coalesce(df[short], F.lit("")) == F.col("_s")), "left").drop("_n", "_s")
+    Null names are empty; blanks around a name go.
+    """
+    done = strip_entity(df.select(F.col(name).alias("_n"), F.col(short).alias("_k")).distinct(), "_n", "_k", words)
+    return df.join(done, df[name].eqNullSafe(F.col("_n")) & df[short].eqNullSafe(F.col("_k")), "left").drop("_n", "_k")

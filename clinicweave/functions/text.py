@@ -66,16 +66,15 @@ def strip_bracket_notes(text: Column, notes: list[str]) -> Column:
 
 
 def strip_brackets(text: Column) -> Column:
-    """Without any bracket and its content; the text itself if nothing would be left."""
-    out = F.trim(F.regexp_replace(text, r"[(（][^()（）]*[)）]", ""))
+    """Without any bracket and its content, the gap one blank; the text itself if nothing would be left."""
+    out = F.trim(F.regexp_replace(F.regexp_replace(text, r"[(（][^()（）]*[)）]", ""), "[ 　]{2,}", " "))
     return F.when(out == "", text).otherwise(out)
 
 
 def drop_stray_bracket(text: Column) -> Column:
-    """Without a bracket at the start that is never opened or closed."""
-    closing = text.rlike(r"^[)）]")
-    unclosed = text.rlike(r"^[(（][^)）]*$")
-    return F.when(closing | unclosed, F.trim(F.substring(text, F.lit(2), F.length(text)))).otherwise(text)
+    """Without a bracket at the start that is never opened or closed; the text itself if nothing would be left."""
+    rest = F.regexp_replace(F.substring(text, F.lit(2), F.length(text)), r"(?U)^\s+|\s+$", "")
+    return F.when(text.rlike(r"^[)）]|(?s)^[(（][^)）]*$") & (rest != ""), rest).otherwise(text)
 
 
 def bracket_contents(text: Column) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clinicweave.functions import calendar as C
+from clinicweave.functions import hours as H
+from clinicweave.operators import intervals as I
 from clinicweave.operators import validators as V
-from clinicweave.plans.queries import DAY_NAMES, query
+from clinicweave.plans.queries import DAY_NAMES, GOOD_SQL, ORACLES, date_runs, good_slots, query
 
 #: An order is a facility: a weekday's hours from its keys, and later rules from its priority, which override them. Some run
 #: over midnight, some end where they start, some are no hours at all.
@@ -59,3 +61,21 @@ HOURS_TEXT = "printf('%02d:%02d-%02d:%02d', s // 60, s % 60, e // 60, e % 60)"
 def validate_hours(t):
     """Findings in the hours of all orders, among them those that later rules close for good."""
     return V.hours_issues(rules_of_orders(t), "id")
+
+
+@query(
+    f"""WITH w AS ({ORACLES['hours_expression']}), ds AS ({ORACLES['date_runs']}), g AS (SELECT DISTINCT id FROM ({GOOD_SQL}) WHERE day = 5)
+ SELECT w.id, expression || CASE WHEN id % 7 = 3 THEN '; PH unknown' ELSE '' END || CASE WHEN id IN (FROM g) AND id % 4 > 0 THEN '; Sa[' || CASE id % 4 WHEN 1 THEN '1,3' WHEN 2 THEN '5' ELSE '2,3,4' END || '] off' ELSE '' END || CASE WHEN id % 3 = 0 THEN '; PH off' ELSE '' END
+ || coalesce('; ' || dates || ' off', '') || CASE WHEN id % 5 = 0 THEN ' || off "GWは休診"' ELSE '' END AS opening_hours FROM w LEFT JOIN ds USING (id)"""
+)
+def facility_hours(t):
+    """The whole expression of a user's slots, weeks of the month, holidays, closed dates (of the customer with its key) and comment."""
+    slots = good_slots(t)
+    saturdays = slots.filter("day = 5").select("id").distinct().withColumn("sa", F.lit(True))
+    rows = I.week_expression(slots).join(saturdays, "id", "left").join(date_runs(t), "id", "left")
+    k = F.col("id")
+    weeks = F.when(k % 4 == 1, F.array(F.lit(1), F.lit(3))).when(k % 4 == 2, F.array(F.lit(5))).when(k % 4 == 3, F.array(F.lit(2), F.lit(3), F.lit(4))).otherwise(F.array().cast("array<int>"))
+    nth = F.array_compact(F.array(H.nth_week_rule(F.lit(5), weeks, F.coalesce("sa", F.lit(False)))))
+    unknown = F.when(k % 7 == 3, F.array(F.lit(7))).otherwise(F.array().cast("array<int>"))
+    text = H.hours_expression(F.col("expression"), unknown, nth, k % 3 == 0, F.col("dates"), F.when(k % 5 == 0, "GWは休診").otherwise(""))
+    return rows.select("id", text.alias("opening_hours"))

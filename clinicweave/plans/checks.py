@@ -249,7 +249,7 @@ def hours_notes(t):
  CASE c_custkey % 6 WHEN 3 THEN '' ELSE 'おおうち' END AS reading, c_custkey % 6 = 2 AS short_used, CASE c_custkey % 6 WHEN 0 THEN '桜' ELSE '桜病院' END AS name, CASE c_custkey % 6 WHEN 0 THEN '花' ELSE '' END AS alt_name, CASE c_custkey % 6 WHEN 1 THEN '梅' ELSE '' END AS old_name FROM customer"""
 )
 def name_routing(t):
-    from clinicweave.functions.kana import romaji_similarity
+    from clinicweave.functions.kana import with_similarity
 
     k = F.col("c_custkey") % 6
     english = F.when(k == 0, "Sakura Clinic").when(k == 1, "ouchi").when(k == 2, "Yamada").when(k == 3, "Ouchi").when(k == 5, "Ōuchi Clinic").otherwise("")
@@ -257,5 +257,5 @@ def name_routing(t):
     short = X.use_short_name(F.when(k == 2, "明雪会").otherwise("桜病院"), F.lit("環状通東 整形外科"), ["病院", "クリニック"], ["整形外科"])
     alt = X.bracket_alternatives(F.when(k == 0, "桜（花）").when(k == 1, "桜病院(梅 )").otherwise("桜病院"), {"花": ("alt", "花"), "梅": ("old", "梅")})
     rows = t("customer").select(F.col("c_custkey").alias("id"), X.clean_english(english).alias("e"), reading.alias("reading"), short.alias("short_used"), alt.alias("alt"))
-    routed = rows.withColumn("r", X.route_english(F.col("e"), F.col("reading"), romaji_similarity(F.col("e"), F.col("reading"))))
+    routed = with_similarity(rows, "e", "reading").withColumn("r", X.route_english(F.col("e"), F.col("reading"), F.col("similarity")))
     return routed.select("id", "r.english", "r.latin", "r.note", "reading", "short_used", "alt.name", "alt.alt_name", "alt.old_name")

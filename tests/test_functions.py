@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinicweave.functions import geo, hours, text
-from clinicweave.functions.kana import romaji
+from clinicweave.functions.kana import syllables, to_romaji
 from clinicweave.operators import intervals, tables
 
 
@@ -55,8 +55,29 @@ def test_rules_fit(spark, most):
     assert len(kept) <= most and "; ".join(x for x in (kept, dropped) if x) == whole
 
 
-def test_readings():
-    assert romaji("がっこう") == "gakkou" and romaji("しんや") == "shin'ya" and romaji("ファー") == "ファ" and romaji("ちゃ") == "cha" and romaji("ふぁ") == "fa"
+def plain_romaji(reading):
+    table, parts, rest = syllables(), [], reading.replace("ー", "")
+    while rest:
+        size = 2 if rest[:2] in table else 1
+        kana, rest = rest[:size], rest[size:]
+        following = table.get(rest[:2]) or table.get(rest[:1]) or ""
+        if kana == "っ":
+            parts.append("" if following[:1] in ("a", "i", "u", "e", "o") else following[:1])
+        elif kana == "ん" and following[:1] and following[0] in "aiueoy":
+            parts.append("n'")
+        else:
+            parts.append(table.get(kana, kana))
+    return "".join(parts)
+
+
+def test_readings(spark):
+    known = {"がっこう": "gakkou", "しんや": "shin'ya", "ファー": "ファ", "ちゃ": "cha", "ふぁ": "fa", "んん": "nn", "っ": "", "あっあ": "aa", "てぃっちぇ": "ticche"}
+    rng = random.Random(6)
+    texts = [*known, "", *["".join(rng.choice("かきゃしょんっーつぁいうゐを漢a 　ふゔじゅ\n") for _ in range(rng.randint(0, 12))) for _ in range(500)]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", to_romaji(F.col("x")).alias("y")).orderBy("i").collect()
+    assert [r["y"] for r in rows] == [plain_romaji(t) for t in texts]
+    assert [r["y"] for r in rows[: len(known)]] == list(known.values())
+    assert one(spark, to_romaji(F.lit(None).cast("string"))) is None
 
 
 def test_distance_and_grid(spark):
