@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,26 +59,58 @@ def read_keyed(spark: SparkSession, path: str, key: str, columns: list[str]) ->
     return last_wins(rows, [key], "_row").drop("_row")
 
 
+def _write_text(fs, p, text: str) -> None:
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def concatenate(spark: SparkSession, parts: str, path: str, head: str = "", tail: str = "", trim_last: str = "") -> None:
-    """Join the part files of a folder, in order, to one file, and remove the folder. Streams bytes, holds one block."""
+    """Join the part files of a folder, in order, to one file, and remove the folder.
+
+    A file system that can join files by their blocks (HDFS) does so, and no byte of the parts is read. Elsewhere the
+    parts are streamed, a block of 64 KB at a time; that suits files of a prefecture, and large tables stay folders.
+    ``trim_last`` is cut off the last part, which takes the stream.
+    """
     fs, folder = _fs(spark, parts)
     jvm = spark._jvm
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(path), True)
+    hadoop_path = jvm.org.apache.hadoop.fs.Path
+    target = hadoop_path(path)
     names = sorted(s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-") and s.getLen() > 0)
-    out.write(bytearray(head.encode()))
-    for i, name in enumerate(names):
-        p = jvm.org.apache.hadoop.fs.Path(name)
-        source = fs.open(p)
-        last = trim_last if i == len(names) - 1 else ""
-        size = fs.getFileStatus(p).getLen() - len(last.encode())
-        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(source, size)
-        jvm.org.apache.hadoop.io.IOUtils.copyBytes(bounded, out, 1 << 16, False)
-        source.close()
-    out.write(bytearray(("\n" if trim_last and names else "").encode() + tail.encode()))
-    out.close()
+    if not (names and not trim_last and _joined_by_blocks(spark, fs, target, folder, names, head, tail)):
+        out = fs.create(target, True)
+        out.write(bytearray(head.encode()))
+        for i, name in enumerate(names):
+            p = hadoop_path(name)
+            source = fs.open(p)
+            last = trim_last if i == len(names) - 1 else ""
+            size = fs.getFileStatus(p).getLen() - len(last.encode())
+            bounded = jvm.org.apache.commons.io.input.BoundedInputStream(source, size)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(bounded, out, 1 << 16, False)
+            source.close()
+        out.write(bytearray(("\n" if trim_last and names else "").encode() + tail.encode()))
+        out.close()
     fs.delete(folder, True)
 
 
+def _joined_by_blocks(spark: SparkSession, fs, target, folder, names: list[str], head: str, tail: str) -> bool:
+    """Whether the file system has joined head, parts and tail itself."""
+    jvm = spark._jvm
+    rest = [jvm.org.apache.hadoop.fs.Path(n) for n in names]
+    if tail:
+        rest.append(jvm.org.apache.hadoop.fs.Path(folder, "tail"))
+        _write_text(fs, rest[-1], tail)
+    _write_text(fs, target, head)
+    array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(rest))
+    for i, p in enumerate(rest):
+        array[i] = p
+    try:
+        fs.concat(target, array)
+    except UnsupportedOperationException:
+        return False
+    return True
+
+
 def csv_line(columns: list[str]) -> Column:
     """A CSV line with quotes only where they are needed; null is empty."""
 
@@ -96,13 +129,37 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, order:
     concatenate(df.sparkSession, f"{path}.parts", path, BOM + ",".join(columns) + "\n")
 
 
-def write_by_prefecture(df: DataFrame, path: str, by: str, known: list[str], allowed_columns: list[str] | None = None) -> None:
-    """CSV folders a value of ``by``; unknown codes stop before anything is written, stale folders are overwritten."""
-    from clinicweave.operators.tables import assert_none
+def check_codes(df: DataFrame, by: str, known: list[str]) -> DataFrame:
+    """``df``, whose job stops at a row with a code that is not known: the guard is part of the plan and costs no job."""
+    code = F.trim(F.coalesce(F.col(by).cast("string"), F.lit("")))
+    return df.withColumn(by, F.when(code.isin(*known), code).otherwise(F.raise_error(F.concat(F.lit("unknown prefecture code: "), code))))
+
 
-    assert_none(df.filter(~F.coalesce(F.col(by), F.lit("")).isin(*known)).select(by), "unknown prefecture codes")
-    out = df.select(*(allowed_columns or df.columns))
-    out.repartition(by).write.mode("overwrite").partitionBy(by).option("header", True).option("escape", '"').csv(path)
+def write_by_prefecture(df: DataFrame, path: str, by: str, known: dict[str, str], columns: list[str], feature: str | None = None) -> DataFrame:
+    """``<path>/csv`` and ``<path>/geojson``, with one folder ``<by>=<code>`` a value of ``by``; returns (code, name, rows, features).
+
+    ``known``: names of the codes; an unknown or missing code stops the job before the old folders are touched, because
+    Spark replaces them only when all rows are written, stale folders included. Rows without a feature stop it as well, so
+    that both hold the same rows: what was written is counted again from the files and compared. Parts of a code are as
+    many as its rows need: a third of all rows in one prefecture is dealt to several tasks.
+    """
+    spark = df.sparkSession
+    has = F.lit(True) if feature is None else F.col(feature).isNotNull()
+    rows = check_codes(df, by, list(known)).withColumn(by, F.when(has, F.col(by)).otherwise(F.raise_error(F.lit("a row without a feature"))))
+    dealt = rows.hint("rebalance", by)
+    dealt.select(*[F.col(f"`{c}`") for c in columns if c != by], by).write.mode("overwrite").partitionBy(by).options(header=True, escape='"', emptyValue="").csv(f"{path}/csv")
+    count = lambda d, n: d.groupBy(by).agg(F.count(F.lit(1)).alias(n))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*(c for c in columns if c != by), by]])
+    written = count(spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(f"{path}/csv"), "rows")
+    if feature is None:
+        found = written.withColumn("features", F.col("rows"))
+    else:
+        dealt.select(F.concat(F.lit("\x1e"), F.col(feature)).alias("value"), by).write.mode("overwrite").partitionBy(by).text(f"{path}/geojson")
+        lines = spark.read.schema(f"value string, `{by}` string").text(f"{path}/geojson", lineSep="\x1e").filter(F.col("value") != "")
+        found = written.join(count(lines, "features"), by, "full")
+    name = F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), F.col(by))
+    same = F.when(F.col("rows").eqNullSafe(F.col("features")), F.col("rows")).otherwise(F.raise_error(F.concat(F.lit("rows and features differ in "), F.col(by))))
+    return found.select(F.col(by).alias("code"), name.alias("name"), same.alias("rows"), "features")
 
 
 def read_mapping(spark: SparkSession, path: str, *, kind: str | None = None, kinds: tuple[str, ...] = (), longest: str | None = None) -> DataFrame:

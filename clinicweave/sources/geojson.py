@@ -24,17 +24,48 @@ def feature_text(lat: Column, lon: Column, properties: dict[str, Column]) -> Col
     return F.concat(F.lit('{"type":"Feature","geometry":{"type":"Point","coordinates":['), lon, F.lit(","), lat, F.lit(']},"properties":{'), body, F.lit("}}"))
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """(type, geometry, properties) of a FeatureCollection file."""
-    whole = spark.read.text(path, wholetext=True)
-    parsed = whole.select(F.from_json("value", f"struct<features:array<{FEATURE}>>").alias("c"))
-    return parsed.select(F.inline("c.features"))
-
-
-def read_sequence(spark: SparkSession, path: str) -> DataFrame:
-    """Features of a text sequence, one a line, with or without record separators."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", f"^{RECORD_SEPARATOR}", "").alias("v")).filter("trim(v) != ''")
-    return lines.select(F.from_json("v", FEATURE).alias("f")).select("f.*")
+#: Ends a piece of a collection: the value of each feature's first key.
+_CUT = '"Feature"'
+
+
+def read_features(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """(type, geometry, properties) of FeatureCollection files, a large file in many tasks.
+
+    A file is read in pieces that end at the value of a feature's ``type``. Inside of a string that value cannot stand,
+    because its quotes would be escaped there, so that a piece is one feature without its beginning, with the beginning
+    of the next one behind it, which a parser of the first value ignores. This holds where ``type`` is the first key of
+    every feature and no property has the value "Feature"; pieces of any other layout are an error, never a wrong row,
+    and such files are read with ``whole``, a file in one task.
+    """
+    if whole:
+        parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<features:array<{FEATURE}>>", {"mode": "FAILFAST"}).alias("c"))
+        return parsed.select(F.inline("c.features"))
+    v = F.col("value")
+    head = v.rlike(r"^[\uFEFF\s]*\{")
+    begun = r"\{\s*\"type\"\s*:\s*$"
+    sound = F.when(head, v.rlike(rf"\[\s*{begun}") | v.rlike(r"\[\s*\]\s*[,}][^\[]*$")).otherwise(v.rlike(rf"\}}\s*,\s*{begun}") | v.rlike(r"\}\s*$"))
+    checked = F.when(sound, F.concat(F.lit('{"type":"Feature"'), v)).otherwise(F.raise_error(F.lit("features of another layout than type first: read them whole")))
+    pieces = spark.read.text(path, lineSep=_CUT).filter(v.rlike(r"\S")).select(F.when(head & sound, F.lit(None)).otherwise(checked).alias("v"))
+    return pieces.filter("v IS NOT NULL").select(F.from_json("v", FEATURE, {"mode": "FAILFAST"}).alias("f")).select("f.*")
+
+
+def read_sequence(spark: SparkSession, path: str, separator: str = RECORD_SEPARATOR) -> DataFrame:
+    """(type, geometry, properties) of text sequences of features or of collections, a large file in many tasks.
+
+    Records begin with a record separator and may hold line ends; files without separators have one record a line
+    (``separator="\\n"``). A record that is no JSON is an error.
+    """
+    records = spark.read.text(path, lineSep=separator).filter(F.col("value").rlike(r"\S")).select(F.translate("value", RECORD_SEPARATOR, "").alias("v"))
+    either = FEATURE[:-1] + f",features:array<{FEATURE}>>"
+    f = F.from_json("v", either, {"mode": "FAILFAST"})
+    parsed = records.select(f.alias("f"))
+    own = F.array(F.struct("f.type", "f.geometry", "f.properties"))
+    return parsed.select(F.inline(F.when(F.col("f.features").isNotNull(), F.col("f.features")).otherwise(own)))
+
+
+def write_sequence(features: DataFrame, path: str, column: str = "feature") -> None:
+    """Feature texts as a folder of text sequences: written in parallel, read back in parallel by ``read_sequence``."""
+    features.select(F.concat(F.lit(RECORD_SEPARATOR), F.col(column)).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_collection(features: DataFrame, path: str, column: str = "feature") -> None:

@@ -37,16 +37,21 @@ def read_numbers(spark: SparkSession, base: str) -> DataFrame:
 
     A file holds a part for each town: a line ``<kind>,<town>``, a line of column names, then rows whose first three
     columns are the parts of a number; empty ones are left out, the others joined by ``-``. What stands before the
-    first part is an index and is not read. A file is one task, its parts are dealt as rows.
+    first part is an index of offsets and is not needed: the reader cuts files wherever a part begins, so that a large
+    file is many tasks and a task holds one part at once. A part is known by its line of column names.
     """
-    place = rf"([^/]+)/([^/]+)-({RESIDENCE}|{LOTS})\.txt$"
-    files = spark.read.text(f"{base}/*/*.txt", wholetext=True)
-    named = files.select(*[_path_part(place, i + 1).alias(c) for i, c in enumerate(("pref", "city", "kind"))], F.explode(F.split("value", rf"\r?\n(?=(?:{RESIDENCE}|{LOTS}),)")).alias("part"))
-    head = rf"^({RESIDENCE}|{LOTS}),([^\r\n]*)"
-    parts = named.filter((F.col("kind") != "") & (F.regexp_extract("part", head, 1) == F.col("kind")))
-    rows = parts.select("pref", "city", "kind", F.trim(F.regexp_extract("part", head, 2)).alias("town"), F.explode(F.slice(F.split("part", r"\r?\n"), 3, 2**31 - 1)).alias("row"))
+    both = [_numbers_of(spark, base, kind) for kind in (RESIDENCE, LOTS)]
+    return both[0].unionByName(both[1]).distinct()
+
+
+def _numbers_of(spark: SparkSession, base: str, kind: str) -> DataFrame:
+    place = rf"([^/]+)/([^/]+)-{kind}\.txt$"
+    parts = spark.read.text(f"{base}/*/*.txt", pathGlobFilter=f"*-{kind}.txt", lineSep=f"\n{kind},")
+    lines = F.split(F.regexp_replace("value", f"^\ufeff?{kind},", ""), r"\r?\n")
+    named = parts.select(_path_part(place, 1).alias("pref"), _path_part(place, 2).alias("city"), F.lit(kind).alias("kind"), lines.alias("l")).filter((F.size("l") > 1) & F.get("l", F.lit(1)).rlike("^[A-Za-z_]"))
+    rows = named.select("pref", "city", "kind", F.trim(F.get("l", F.lit(0))).alias("town"), F.explode(F.slice("l", 3, 2**31 - 1)).alias("row"))
     cells = rows.withColumn("c", F.split("row", ",")).filter(F.col("c")[0] != "")
-    return cells.select("pref", "city", "kind", "town", F.array_join(F.filter(F.slice("c", 1, 3), lambda x: x != ""), "-").alias("number")).distinct()
+    return cells.select("pref", "city", "kind", "town", F.array_join(F.filter(F.slice("c", 1, 3), lambda x: x != ""), "-").alias("number"))
 
 
 def write_pair(df: DataFrame, base: str, columns: list[str], feature: str = "feature", order: list[str] = ()) -> None:
