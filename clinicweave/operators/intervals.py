@@ -45,6 +45,16 @@ def week_expression(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(slots.alias("_slots")).select(key, H.week_rules(F.col("_slots")).alias("expression"))
 
 
+def facility_counts(split: DataFrame, conflicts: DataFrame, key: str = "id") -> DataFrame:
+    """(key, excluded, overnight, conflicts): intervals left out, intervals over midnight that count, days in conflict.
+
+    ``split`` comes from ``split_intervals``, ``conflicts`` from ``day_conflicts``; a facility of either has a row.
+    """
+    slots = split.groupBy(key).agg(F.count_if(F.col("kind").isNotNull()).alias("excluded"), F.count_if(F.col("kind").isNull() & (F.col("e") >= H.DAY)).alias("overnight"))
+    days = conflicts.groupBy(key).agg(F.count(F.lit(1)).alias("conflicts"))
+    return slots.join(days, key, "full").select(key, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("excluded", "overnight", "conflicts")])
+
+
 def day_conflicts(flags: DataFrame, slots: DataFrame, key: str = "id") -> DataFrame:
     """(key, day, conflict) where a day's flag and its intervals disagree: ``closed_with_times``, ``open_without_times``."""
     present = slots.select(key, "day").distinct().withColumn("_has", F.lit(True))

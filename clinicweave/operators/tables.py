@@ -95,6 +95,27 @@ def reverse_index(df: DataFrame, value: str, code: str, separator: str = ";") ->
     return one.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(F.col(code).cast("string"))), ",").alias("codes"))
 
 
+def reverse_index_by(df: DataFrame, value: str, code: str, grade: str, grades: list[str], separator: str = ";") -> DataFrame:
+    """(value, n, a column of codes a grade): which codes lead to each value, split by how exact the mapping is.
+
+    Codes are reduced to distinct (value, code, grade) before they are gathered; a grade outside of the list is an error.
+    """
+    known = F.when(F.col(grade).isin(*grades), F.col(grade)).otherwise(F.raise_error(F.concat(F.lit("unknown grade: "), F.coalesce(grade, F.lit("")))))
+    one = df.select(F.explode(F.split(value, separator)).alias(value), F.col(code).cast("string").alias("_code"), known.alias("_grade")).filter(F.col(value) != "").distinct()
+    lists = [F.array_join(F.array_sort(F.collect_set(F.when(F.col("_grade") == g, F.col("_code")))), ",").alias(g) for g in grades]
+    return one.groupBy(value).agg(F.count_distinct("_code").alias("n"), *lists)
+
+
+def review_list(df: DataFrame, total: str, columns: list[str]) -> DataFrame:
+    """Rows with the largest totals first, ties by the other columns, all descending."""
+    return df.select(total, *columns).orderBy(*[F.desc(c) for c in (total, *columns)])
+
+
+def first_rows(df: DataFrame, order: str, key: str, n: int) -> DataFrame:
+    """The first ``n`` rows with a key, by their place in the source."""
+    return df.filter(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").orderBy(order).limit(n)
+
+
 def set_differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(side, key): keys of one side that the other lacks."""
     a, b = left.select(key).distinct(), right.select(key).distinct()
@@ -102,8 +123,33 @@ def set_differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return only(a, b, "left_only").unionByName(only(b, a, "right_only"))
 
 
-def bounding_boxes(df: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
-    return df.groupBy(key).agg(F.min(lat).alias("lat_min"), F.max(lat).alias("lat_max"), F.min(lon).alias("lon_min"), F.max(lon).alias("lon_max"))
+def bounding_boxes(df: DataFrame, key: str, lat: str, lon: str, groups: int | None = None) -> DataFrame:
+    """(key, lat_min, lat_max, lon_min, lon_max). With ``groups`` another number of keys is an error: a box a prefecture."""
+    boxes = df.groupBy(key).agg(F.min(lat).alias("lat_min"), F.max(lat).alias("lat_max"), F.min(lon).alias("lon_min"), F.max(lon).alias("lon_max"))
+    if groups is None:
+        return boxes
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))  # one row a prefecture
+    wrong = F.raise_error(F.concat(F.lit(f"{groups} boxes are expected, there are "), F.col("_n").cast("string")))
+    return boxes.withColumn("_n", n).withColumn(key, F.when(F.col("_n") == groups, F.col(key)).otherwise(wrong)).drop("_n")
+
+
+def facility_types(df: DataFrame, table: DataFrame, sector: str, condition: str, value: str) -> DataFrame:
+    """``df`` with the value of (sector, condition), else of the sector without a condition; none is an error.
+
+    ``table`` is the mapping of some dozen rows. A null condition is the empty one.
+    """
+    cond = F.coalesce(F.col(condition), F.lit(""))
+    pairs = table.select(F.col(sector).alias("_s"), F.coalesce(F.col(condition), F.lit("")).alias("_c"), F.col(value).alias("_v"))
+    own = df.join(pairs, (F.col(sector) == F.col("_s")) & (cond == F.col("_c")), "left").drop("_s", "_c").withColumnRenamed("_v", "_own")
+    plain = pairs.filter("_c = ''").select("_s", F.col("_v").alias("_plain"))
+    out = own.join(plain, F.col(sector) == F.col("_s"), "left").drop("_s")
+    miss = F.raise_error(F.concat(F.lit("no facility type for "), F.coalesce(sector, F.lit("")), F.lit(" / "), cond))
+    return out.withColumn(value, F.coalesce("_own", "_plain", miss)).drop("_own", "_plain")
+
+
+def beds_condition(sector: Column, beds: Column, few: str = "病床0または空欄", some: str = "病床1以上") -> Column:
+    """The condition that splits clinics by their beds; other sectors have none."""
+    return F.when(sector == "clinic", F.when(beds.rlike("^[0-9]+$") & (beds.try_cast("long") > 0), some).otherwise(few)).otherwise("")
 
 
 def issues(df: DataFrame, key: str, rules: dict[str, tuple[Column, Column]]) -> DataFrame:

@@ -153,19 +153,6 @@ def assemble_facilities(t):
     )
 
 
-MATCH_SQL = f"WITH p AS ({POINTS_SQL}), a AS (SELECT *, 'place ' || (id % 1400) AS name FROM p WHERE sector = 'c'), b AS (SELECT *, 'place ' || (id % 60 + 200) AS name FROM p WHERE sector = 's')"
-
-
-@query(
-    f"{MATCH_SQL}, ua AS (SELECT name, any_value(id) AS id, any_value(lat) AS lat, any_value(lon) AS lon FROM a GROUP BY name HAVING count(*) = 1), ub AS (SELECT name, any_value(id) AS id, any_value(lat) AS lat, any_value(lon) AS lon FROM b GROUP BY name HAVING count(*) = 1)"
-    f" SELECT a.id, b.id AS other_id, round({HAVERSINE_SQL}, 1) AS m FROM ua a JOIN ub b USING (name) WHERE {HAVERSINE_SQL} <= 3000000"
-)
-def name_audit(t):
-    p = points(t)
-    named = lambda s, n, plus: p.filter(F.col("sector") == s).select("id", "lat", "lon", F.concat(F.lit("place "), (F.col("id") % n + plus).cast("string")).alias("name"))
-    return A.name_matches(named("c", 1400, 0), named("s", 60, 200), "name", most_m=3_000_000.0).select("id", "other_id", F.round("m", 1).alias("m"))
-
-
 @query("SELECT c_mktsegment AS sector, count(*) FILTER (c_acctbal > 5000) AS over, count(*) AS n, round(count(*) FILTER (c_acctbal > 5000) * 100.0 / count(*), 2) AS percent FROM customer GROUP BY 1")
 def share_over_bound(t):
     return A.share_over(t("customer").select(F.col("c_mktsegment").alias("sector"), "c_acctbal"), "sector", "c_acctbal", 5000.0)

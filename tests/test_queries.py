@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from clinicweave.plans import calendars, checks, namings, places, queries  # noqa: F401
+from clinicweave.plans import audits, calendars, checks, namings, places, queries  # noqa: F401
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "documents", "pages", "labels")
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
