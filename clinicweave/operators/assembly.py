@@ -6,24 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinicweave.functions.geo import distance_m
-from clinicweave.operators.tables import assert_none, unique_match
+from clinicweave.operators.tables import unique_match
 
 
-def assert_unique(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``df``, after a check that no key repeats."""
-    assert_none(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"{name}: repeated {key}")
-    return df
+def _stop(message: str, key: str) -> Column:
+    return F.raise_error(F.concat(F.lit(message), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+
+
+def unique_rows(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, n, row) with the other columns as a struct; a repeated key stops the job that reads it.
+
+    The check is the aggregate by key that a join by the key needs anyway: no job and no shuffle of its own.
+    """
+    rest = [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))
+    return one.select(key, F.when(F.col("_n") == 1, F.col("_row")).otherwise(_stop(f"{name}: repeated {key}: ", key)).alias(name))
 
 
 def assemble(base: DataFrame, parts: dict[str, DataFrame], key: str = "ID") -> DataFrame:
     """``base`` with each part joined by the key, its columns as a struct under the part's name (null where it has none).
 
-    Keys of all tables are checked to be unique first, so that no row of the base multiplies.
+    A key that a table repeats stops the job, so that no row of the base multiplies; each table is read once.
     """
-    out = assert_unique(base, key, "base")
+    out = unique_rows(base, key, "_base").select(key, *[F.col(f"_base.`{c}`").alias(c) for c in base.columns if c != key]).select(*[F.col(f"`{c}`") for c in base.columns])
     for name, part in parts.items():
-        rest = [c for c in part.columns if c != key]
-        out = out.join(assert_unique(part, key, name).select(key, F.struct(*[F.col(f"`{c}`") for c in rest]).alias(name)), key, "left")
+        out = out.join(unique_rows(part, key, name), key, "left")
     return out
 
 
@@ -37,16 +44,37 @@ def union_sectors(tables: dict[str, DataFrame], column: str = "sector") -> DataF
 
 
 def matched_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join of two tables that must have the same keys; a key of one side only is an error, never skipped."""
-    assert_none(left.select(key).join(right.select(key), key, "left_anti"), "not in the second table")
-    assert_none(right.select(key).join(left.select(key), key, "left_anti"), "not in the first table")
-    return left.join(right, key)
+    """Join of two tables that must have the same keys; a key of one side only stops the job, and is never skipped."""
+    a, b = left.withColumn("_a", F.lit(True)), right.withColumn("_b", F.lit(True))
+    both = a.join(b, key, "full")
+    checked = F.when(F.col("_b").isNull(), _stop("not in the second table: ", key)).when(F.col("_a").isNull(), _stop("not in the first table: ", key)).otherwise(F.col(key))
+    return both.withColumn(key, checked).drop("_a", "_b")
 
 
 def with_required(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join; a key of the left side that the right one lacks is an error."""
-    assert_none(left.select(key).join(right.select(key), key, "left_anti"), "missing")
-    return left.join(right, key)
+    """Join of the left side with its rows of the right one; a key that the right side lacks stops the job."""
+    both = left.join(right.withColumn("_b", F.lit(True)), key, "left")
+    return both.withColumn(key, F.when(F.col("_b").isNull(), _stop("missing: ", key)).otherwise(F.col(key))).drop("_b")
+
+
+# The origin of points that the source gave, and the distance in metres that each level of an address allows.
+SOURCE, ALLOWED = "原データ", {"8": 100.0, "3": 2000.0, "2": 10000.0}
+
+
+def address_suspects(df: DataFrame, distance: str, level: str, origin: str, allowed: dict[str, float] = ALLOWED) -> DataFrame:
+    """Rows of the source's own points that lie farther from their address than its level allows, the farthest first.
+
+    Rows without a distance, of another origin or another level are none.
+    """
+    limit = F.create_map(*[F.lit(x) for kv in allowed.items() for x in kv])[F.col(level).cast("string")]
+    return df.filter((F.col(origin) == SOURCE) & (F.col(distance) > limit)).orderBy(F.desc(distance), *[c for c in df.columns if c != distance])
+
+
+def stop_over(df: DataFrame, distance: str, level: str, origin: str, most_m: float, at: str = "8") -> None:
+    """Raises if one of the source's points at the most exact level is farther than ``most_m`` from its address."""
+    over = df.filter((F.col(origin) == SOURCE) & (F.col(level).cast("string") == at) & (F.col(distance) > most_m)).count()
+    if over:
+        raise ValueError(f"level {at} over {most_m} m: {over}")
 
 
 def with_decisions(conflicts: DataFrame, decisions: DataFrame, facilities: DataFrame, key: str = "id", day: str = "day") -> DataFrame:

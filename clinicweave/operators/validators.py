@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinicweave.functions.calendar import HOURS, SPAN, calendar, ever_open, ever_unknown, parse_rules
 from clinicweave.functions.geo import LAT_BOUNDS, LON_BOUNDS, in_country, number
 from clinicweave.functions.hours import let
 from clinicweave.operators.tables import issues
+from clinicweave.sources.files import read_csv, with_rows
+from clinicweave.sources.geojson import ANY_GEOMETRY, read_features
 
 # The longest tag, the values of facility tags, the format of keys and addresses.
 MOST_CHARS = 255
@@ -147,6 +149,30 @@ def split_issues(whole: DataFrame, parts: DataFrame, code: str = "code") -> Data
     })
 
 
+def written_issues(spark: SparkSession, base: str, prefectures: dict[str, str], *, tags: list[str], parts: str | None = None, corrected: str | None = None, key: str = "ID", code: str = "都道府県コード") -> DataFrame:
+    """All findings in ``<base>.csv`` and ``<base>.geojson`` as they were written.
+
+    Both files are read back: the collection's type, every feature, numbers and order of ids against the table's rows, and
+    every rule on rows and tags. ``parts`` is a folder of CSV parts, one folder ``<code>=...`` a prefecture, that must hold
+    the same rows; ``corrected`` is the table that the notes come from. What is missing of the two is not checked.
+    """
+    raw = read_csv(spark, f"{base}.csv", [key, code])
+    table = with_rows(raw)
+    kinds = spark.read.text(f"{base}.geojson", lineSep='"features"').limit(1)
+    root = issues(kinds.withColumn("id", F.lit("-")), "id", {"geojson_structure": (~F.coalesce(F.get_json_object(F.concat(F.regexp_replace("value", r",\s*$", ""), F.lit("}")), "$.type"), F.lit("")).eqNullSafe("FeatureCollection"), F.substring("value", 1, 60))})
+    features = with_rows(read_features(spark, f"{base}.geojson", schema=ANY_GEOMETRY)).withColumn("_c", F.from_json("geometry.coordinates", "array<double>"))
+    pair = (F.col("geometry.type") == "Point") & (F.size("_c") == 2)
+    at = lambda i: F.when(pair, F.get("_c", F.lit(i)))
+    flat = features.select("_row", F.coalesce(F.element_at("properties", "_id"), F.concat(F.lit("#"), F.col("_row").cast("string"))).alias("id"), F.coalesce("geometry.type", F.lit("")).alias("type"), at(0).alias("x"), at(1).alias("y"))
+    found = root.unionByName(feature_issues(table, flat, key=key)).unionByName(tag_issues(raw, tags, prefectures, key=key, code=code)).unionByName(cross_city_issues(raw, key=key, code=code))
+    if parts:
+        pieces = spark.read.options(header=True, multiLine=True, escape='"').csv(parts)
+        found = found.unionByName(split_issues(raw.filter(_filled(F.col(code))).select(F.col(code).alias("code")), pieces.select(F.col(code).alias("code"))))
+    if corrected:
+        found = found.unionByName(reason_issues(read_csv(spark, corrected, [key]), key=key))
+    return found
+
+
 def reason_issues(df: DataFrame, *, key: str = "ID", reason: str = "座標の理由", note: str = "備考") -> DataFrame:
     """coord_reason_mismatch where a row has a reason and its note does not begin with it."""
     why = F.trim(F.coalesce(F.col(reason), F.lit("")))

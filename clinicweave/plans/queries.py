@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clinicweave.functions import geo as G
 from clinicweave.functions import hours as H
 from clinicweave.functions import text as X
+from clinicweave.operators import assembly as A
 from clinicweave.operators import intervals as I
 from clinicweave.operators import tables as T
 
@@ -273,7 +274,7 @@ def out_of_box(t):
 
 
 ADDRESS_SQL = f"""SELECT id, CASE WHEN id % 11 = 0 THEN NULL ELSE lat END AS slat, CASE WHEN id % 13 = 0 THEN 0.0 ELSE lon END AS slon, CASE WHEN id % 7 = 0 THEN NULL ELSE lat + (id % 5) * 0.004 END AS alat, lon AS alon,
- CAST([1, 2, 3, 8][id % 4 + 1] AS INTEGER) AS level, CASE WHEN id % 17 = 0 THEN '地番方式のため対象外' ELSE '' END AS note, CASE WHEN id % 3 = 0 THEN '照合済み' ELSE '推定' END AS evidence, id % 19 = 0 AS elsewhere FROM ({POINTS_SQL}) WHERE sector = 'c'"""
+ CAST([1, 2, 3, 8][id % 4 + 1] AS INTEGER) AS level, CASE WHEN id % 17 = 0 THEN '地番方式のため対象外' ELSE '' END AS note, CASE WHEN id % 3 = 0 THEN '照合済み' ELSE '推定' END AS evidence, id % 19 = 0 AS elsewhere FROM ({POINTS_SQL})"""
 
 
 @query(
@@ -285,7 +286,7 @@ ADDRESS_SQL = f"""SELECT id, CASE WHEN id % 11 = 0 THEN NULL ELSE lat END AS sla
 )
 def provenance_fold(t):
     k = F.col("id")
-    p = points(t).filter("sector = 'c'")
+    p = points(t)
     text = lambda v: v.cast("string")
     p = p.select(
         "id", F.when(k % 11 != 0, text(F.col("lat"))).alias("slat"), F.when(k % 13 == 0, "0.0").otherwise(text(F.col("lon"))).alias("slon"), F.when(k % 7 != 0, text(F.col("lat") + (k % 5) * 0.004)).alias("alat"), text(F.col("lon")).alias("alon"),
@@ -312,21 +313,22 @@ def percentile_rule(t):
     return T.percentile_by_index(t("part"), ["p_type"], "p_retailprice", [50, 99])
 
 
-SUSPECT_SQL = f"SELECT id, [2, 3, 8][id % 3 + 1] AS level, (id * 37 % 12000) * 1.0 AS m FROM ({POINTS_SQL}) WHERE sector = 'c'"
+SUSPECT_SQL = f"SELECT sector, id, [2, 3, 8][id % 3 + 1] AS level, (id * 37 % 12000) * 1.0 AS m, id % 5 > 0 AS own FROM ({POINTS_SQL})"
 
 
-@query(f"SELECT id, CAST(level AS INTEGER) AS level, CAST(m AS DOUBLE) AS m FROM ({SUSPECT_SQL}) WHERE m > CASE level WHEN 8 THEN 100 WHEN 3 THEN 2000 ELSE 10000 END")
+@query(f"SELECT sector, id, CAST(level AS INTEGER) AS level, CAST(m AS DOUBLE) AS m FROM ({SUSPECT_SQL}) WHERE own AND m > CASE level WHEN 8 THEN 100 WHEN 3 THEN 2000 ELSE 10000 END")
 def distance_suspects(t):
-    p = points(t).filter("sector = 'c'").select("id", F.array(*map(F.lit, (2, 3, 8)))[(F.col("id") % 3).cast("int")].alias("level"), (F.col("id") * 37 % 12000).cast("double").alias("m"))
-    limit = F.create_map(*[F.lit(x) for kv in {8: 100.0, 3: 2000.0, 2: 10000.0}.items() for x in kv])
-    return p.filter(F.col("m") > limit[F.col("level")]).orderBy(F.desc("m"), "id")
+    """Points of the source that are farther from their address than their level allows; geocoded points are the address itself."""
+    k = F.col("id")
+    p = points(t).select("sector", "id", F.array(*map(F.lit, (2, 3, 8)))[(k % 3).cast("int")].alias("level"), (k * 37 % 12000).cast("double").alias("m"), F.when(k % 5 > 0, A.SOURCE).otherwise("ジオコーディング").alias("origin"))
+    return A.address_suspects(p, "m", "level", "origin").select("sector", "id", "level", "m")
 
 
 @query(f"WITH a AS ({ADDRESS_SQL}) SELECT CASE WHEN slat IS NULL THEN 'no source' WHEN alat IS NULL THEN 'no address point' WHEN level < 3 THEN 'low level' ELSE 'checked' END AS reason, count(*) AS n FROM a GROUP BY 1")
 def reason_breakdown(t):
     k = F.col("id")
     reason = F.when(k % 11 == 0, "no source").when(k % 7 == 0, "no address point").when(k % 4 < 2, "low level").otherwise("checked")
-    return points(t).filter("sector = 'c'").groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return points(t).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- texts ----------------------------------------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import UnsupportedOperationException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,18 @@ def read_csv(spark: SparkSession, path: str, required: list[str] = (), optional:
     return ensure_columns(df, required, optional)
 
 
+def with_rows(df: DataFrame, row: str = "_row") -> DataFrame:
+    """A file's rows with their place, 0 for the first: places within a task, and the rows of the tasks before it.
+
+    ``df`` is the read itself, whose tasks follow the file. The driver is not involved: a task's offset is a running sum
+    over one row a task.
+    """
+    placed = df.withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    tasks = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(tasks.select("_task", before.alias("_before")), "_task").withColumn(row, F.col("_before") + F.col("_at")).drop("_task", "_at", "_before")
+
+
 def ensure_columns(df: DataFrame, required: list[str] = (), optional: list[str] = ()) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:

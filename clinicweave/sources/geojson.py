@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURE = "struct<type:string,geometry:struct<type:string,coordinates:array<double>>,properties:map<string,string>>"
+#: The same with coordinates of any shape as their text.
+ANY_GEOMETRY = FEATURE.replace("array<double>", "string")
 RECORD_SEPARATOR = "\x1e"
 
 
@@ -28,7 +30,7 @@ def feature_text(lat: Column, lon: Column, properties: dict[str, Column]) -> Col
 _CUT = '"Feature"'
 
 
-def read_features(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+def read_features(spark: SparkSession, path: str, whole: bool = False, schema: str = FEATURE) -> DataFrame:
     """(type, geometry, properties) of FeatureCollection files, a large file in many tasks.
 
     A file is read in pieces that end at the value of a feature's ``type``. Inside of a string that value cannot stand,
@@ -38,7 +40,7 @@ def read_features(spark: SparkSession, path: str, whole: bool = False) -> DataFr
     and such files are read with ``whole``, a file in one task.
     """
     if whole:
-        parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<features:array<{FEATURE}>>", {"mode": "FAILFAST"}).alias("c"))
+        parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<features:array<{schema}>>", {"mode": "FAILFAST"}).alias("c"))
         return parsed.select(F.inline("c.features"))
     v = F.col("value")
     head = v.rlike(r"^[\uFEFF\s]*\{")
@@ -46,7 +48,7 @@ def read_features(spark: SparkSession, path: str, whole: bool = False) -> DataFr
     sound = F.when(head, v.rlike(rf"\[\s*{begun}") | v.rlike(r"\[\s*\]\s*[,}][^\[]*$")).otherwise(v.rlike(rf"\}}\s*,\s*{begun}") | v.rlike(r"\}\s*$"))
     checked = F.when(sound, F.concat(F.lit('{"type":"Feature"'), v)).otherwise(F.raise_error(F.lit("features of another layout than type first: read them whole")))
     pieces = spark.read.text(path, lineSep=_CUT).filter(v.rlike(r"\S")).select(F.when(head & sound, F.lit(None)).otherwise(checked).alias("v"))
-    return pieces.filter("v IS NOT NULL").select(F.from_json("v", FEATURE, {"mode": "FAILFAST"}).alias("f")).select("f.*")
+    return pieces.filter("v IS NOT NULL").select(F.from_json("v", schema, {"mode": "FAILFAST"}).alias("f")).select("f.*")
 
 
 def read_sequence(spark: SparkSession, path: str, separator: str = RECORD_SEPARATOR) -> DataFrame:
