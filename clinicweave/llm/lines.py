@@ -9,7 +9,7 @@ from clinicweave.llm.common import BROADCAST_BYTES, join_bounded, let, materiali
 
 #: Lines within so many edits count as one line.
 MAX_EDITS = 2
-#: Lines of fewer characters are left alone.
+#: Lines of fewer characters are alike only where they are equal: two edits make another line of them.
 LEAST_CHARS = 24
 #: In a key of more lines, lines are brought together by where they deviate from its earliest one.
 FREQUENT = 32
@@ -156,9 +156,9 @@ def near_earlier(rows: DataFrame, distinct: DataFrame, edits: int, least: int) -
 def line_dedup(docs: DataFrame, *, edits: int = MAX_EDITS, least: int = LEAST_CHARS) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, n_near (removed without an equal earlier line), kept_sha256.
 
-    Lines are what stands between line feeds. A line of ``least`` characters or more is removed where it, or a line
-    within ``edits`` edits of it, occurs earlier: in a document with a smaller id, or above in the same one. Shorter
-    lines stay. Likeness is not carried on from line to line. Null texts are one empty line; rows with equal ids are
+    Lines are what stands between line feeds. A line with a word is removed where it occurs earlier: in a document with
+    a smaller id, or above in the same one; one of ``least`` characters or more also where a line of as many within
+    ``edits`` edits of it occurs earlier. Lines without a word stay. Likeness is not carried on from line to line. Null texts are one empty line; rows with equal ids are
     ordered by a hash of their text, and rows that are equal in full are one document; rows with a null id stay whole.
 
     Lines travel as 128-bit hashes with their places; equal lines are aggregated before the shuffle. Texts are only
@@ -166,12 +166,12 @@ def line_dedup(docs: DataFrame, *, edits: int = MAX_EDITS, least: int = LEAST_CH
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
-    long_lines = rows.filter("doc_id is not null").select("doc_id", "rid", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).filter(F.length("line") >= least)
-    places = materialize(long_lines.select("doc_id", "rid", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2")), "line-places")
+    all_lines = rows.filter("doc_id is not null").select("doc_id", "rid", F.posexplode(F.split("text", "\n", -1)).alias("no", "line")).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    places = materialize(all_lines.select("doc_id", "rid", "no", (F.length("line") >= least).alias("long"), F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2")), "line-places")
     place = F.struct("doc_id", "rid", "no")
-    distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines")
+    distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("long").alias("long")), "lines")
 
-    near = materialize(near_earlier(rows, distinct.select("h1", "h2", "first.rid", "first.no"), edits, least), "near-lines")
+    near = materialize(near_earlier(rows, distinct.filter("long").select("h1", "h2", "first.rid", "first.no"), edits, least), "near-lines")
     alike = join_bounded(distinct, near.withColumn("near", F.lit(True)), ["h1", "h2"], "left", 24)
     affected = alike.filter((F.col("n") > 1) | F.col("near")).select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
 

@@ -202,17 +202,19 @@ def test_similar_lines(spark, docs, monkeypatch, edits, frequent, broadcast):
                 p = rng.randrange(len(x))
                 x[p : p + rng.randint(0, 1)] = rng.choice(["", "a", "z"])
             texts.append("".join(x))
+    texts += [rng.choice(["ab", "ac", "a", " a", "漢", "", " ", "\t", "abcdefg"]) for _ in range(40)]  # short ones, and some without a word
     rng.shuffle(texts)
     rows = [(i, "\n".join(texts[3 * i : 3 * i + 3])) for i in range(len(texts) // 3)] + [(1000, None), (1001, "")]
     first = {}
     for d, t in rows:
         for i, x in enumerate((t or "").split("\n")):
-            if len(x) >= 8:
+            if WORD.search(x):
                 first.setdefault(x, (d, i))
-    near = {x: min((first[y] for y in first if y != x and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits), default=(9999, 0)) for x in first}
+    like = lambda x, y: y != x and min(len(x), len(y)) >= 8 and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits
+    near = {x: min((first[y] for y in first if like(x, y)), default=(9999, 0)) for x in first}
     want = {}
     for d, t in rows:
-        gone = [(i, x) for i, x in enumerate((t or "").split("\n")) if len(x) >= 8 and min(first[x], near[x]) < (d, i)]
+        gone = [(i, x) for i, x in enumerate((t or "").split("\n")) if WORD.search(x) and min(first[x], near[x]) < (d, i)]
         kept = [x for i, x in enumerate((t or "").split("\n")) if i not in {g for g, _ in gone}]
         want[d] = (len((t or "").split("\n")), len(gone), sum(first[x] == (d, i) for i, x in gone), hashlib.sha256("\n".join(kept).encode()).hexdigest())
     got = by_id(lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), edits=edits, least=8))
