@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicweave.llm.common import sized_batches
+from clinicweave.llm.common import materialize, sized_batches
 
-#: Words that the models know: so many of the most frequent ones that occur ``LEAST_COUNT`` times or more. The bound
+#: Words that the models know: so many at most, the most frequent ones that occur ``LEAST_COUNT`` times or more. The bound
 #: makes the model one that every worker can hold; other words are one token, ``UNKNOWN``.
 MAX_WORDS, LEAST_COUNT = 100_000, 3
 #: Longest word that a name is split into, in characters.
@@ -158,12 +158,21 @@ class Words:
 def count_words(texts: DataFrame, column: str, *, max_words: int = MAX_WORDS, least: int = LEAST_COUNT) -> dict[str, int]:
     """Words of letters outside of tags, lower-cased, with their counts over all rows: the most frequent ones.
 
-    Counts are a partial aggregate; the driver gets ``max_words`` rows at most, ties by the word.
+    Counts are a partial aggregate, written once. They fall into classes, eight for each doubling of the count, and the
+    model takes whole classes, the most frequent first, as long as ``max_words`` holds them: which words it knows
+    depends on no order of rows, and the driver gets the classes' sizes and the words that are taken, whatever the
+    number of tasks.
     """
     plain = F.regexp_replace(F.coalesce(column, F.lit("")), r"(?s)<[^>]*>", " ")
-    words = texts.select(F.explode(F.split(F.lower(plain), r"\P{L}+")).alias("w"))
-    counts = words.filter(F.length("w").between(1, LONGEST_WORD)).groupBy("w").count().filter(F.col("count") >= least)
-    return {r["w"]: r["count"] for r in counts.orderBy(F.desc("count"), "w").limit(max_words).collect()}
+    words = texts.select(F.explode(F.split(F.lower(plain), r"\P{L}+")).alias("w")).filter(F.length("w").between(1, LONGEST_WORD))
+    counts = materialize(words.groupBy("w").count().filter(F.col("count") >= least).withColumn("class", F.floor(F.log2("count") * 8).cast("int")), "words")
+    lowest, total = 1 << 30, 0
+    for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("class")).collect():
+        total += r["n"]
+        if total > max_words:
+            break
+        lowest = r["class"]
+    return {r["w"]: r["count"] for r in counts.filter(F.col("class") >= lowest).collect()}
 
 
 def _distinct_tokens(words: Words, texts: pa.Array) -> tuple[np.ndarray, list[list[str]]]:

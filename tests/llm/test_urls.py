@@ -135,6 +135,21 @@ def test_verdicts_against_plain_counts(spark):
     assert verdict[2] == verdict[3] == "block" and verdict[8] == verdict[9] == "allow"
 
 
+def test_words_of_a_bounded_model_are_whole_classes(spark):
+    rng = random.Random(4)
+    words = [f"w{'abcdefgh'[i % 8]}{'xyz'[i // 8 % 3]}{'klm'[i // 24]}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, weights=range(1, 61), k=200)) for _ in range(20)]
+    n = Counter(" ".join(texts).split())
+    df = spark.createDataFrame([(f"<b {i}>{t.upper()}</b>",) for i, t in enumerate(texts)], "t string")
+    for most in (0, 1, 10, 30, 1000):
+        got = urls.count_words(df, "t", max_words=most)
+        assert len(got) <= most and all(n[w] == c for w, c in got.items())
+        left = [c for w, c in n.items() if w not in got and c >= urls.LEAST_COUNT]
+        if got and left:
+            assert min(got.values()) > max(left)
+        assert most < 1000 or len(got) == sum(c >= urls.LEAST_COUNT for c in n.values())
+
+
 def test_urls_without_texts_and_an_empty_table(spark):
     pages = [(i, f"https://{'cheap-casino' if i % 10 == 0 else 'daily-news'}.example.com/{i}", None) for i in range(200)]
     got = urls.url_verdicts(table(spark, pages), [], text_col=None).collect()
