@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from clinicweave.llm.common import let, materialize, sized_batches, words_of
 
 #: A range holds 2 ** RANGE_BITS ids. A range of a part is one row of posting lists, so that this bounds a list.
-RANGE_BITS = 12
+RANGE_BITS = 14
 #: Orders are the permutations of the filters: 720 for six.
 MOST_FILTERS = 6
 
@@ -39,10 +39,10 @@ def with_failures(docs: DataFrame, filters: dict[str, Column], repeats: str, *,
     names = sorted([*filters, repeats])
     t = F.coalesce(F.col(text_col), F.lit(""))
     bits = sum((F.coalesce(c, F.lit(False)).cast("int") * (1 << names.index(k)) for k, c in filters.items()), F.lit(0))
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col), F.lit("")).alias("part"), bits.alias("bits"), F.xxhash64(t).alias("h1"), F.xxhash64(F.lit("second"), t, F.length(t)).alias("h2"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col), F.lit("")).alias("part"), bits.alias("bits"), F.unhex(F.md5(t)).alias("h"))
     rows = materialize(read, "failures")
-    first = rows.filter("doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
-    own = rows.join(first, ["doc_id", "h1", "h2"], "left")
+    first = rows.filter("doc_id IS NOT NULL").groupBy("h").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
+    own = rows.join(first, ["doc_id", "h"], "left")
     again = (F.col("doc_id").isNotNull() & F.col("first").isNull()).cast("int") * (1 << names.index(repeats))
     return own.select("doc_id", "part", (F.col("bits") + again).alias("mask"))
 

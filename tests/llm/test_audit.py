@@ -93,6 +93,28 @@ def test_long_text_empty_tables_and_edge_ids(spark):
     assert audit.filter_audit(*tables(spark, [], [(1, 1, 1)])).count() == 0
 
 
+def test_repeats_are_told_by_128_bits(spark):
+    """Two texts that differ in the first lane of XXH64 only, in a way that cancels for several of its seeds."""
+    rng, full = random.Random(3), 2**64 - 1
+    p1, p2 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F
+
+    def after(word):
+        v = (42 + p1 + p2 + int.from_bytes(word, "little") * p2) & full
+        return ((v << 31 | v >> 33) & full) * p1 & full
+
+    letters = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    while True:
+        a, b, c = letters(8), letters(8), letters(8)
+        d = ((int.from_bytes(c, "little") + (after(a) - after(b)) * pow(p2, -1, 1 << 64)) & full).to_bytes(8, "little")
+        if all(32 <= x < 127 for x in d):
+            break
+    middle = letters(24)
+    docs = [(1, (a + middle + c).decode() + "z" * 80, "p"), (2, (b + middle + d).decode() + "z" * 80, "p")]
+    df, labels = tables(spark, docs, [])
+    assert df.select(F.xxhash64("text")).distinct().count() == df.select(F.xxhash64(F.lit("second"), "text")).distinct().count() == 1
+    assert result(audit.filter_audit(df, labels)) == plain_audit(docs, [])
+
+
 def test_filters_of_ones_own(spark):
     docs, labels = tables(spark, [(1, "a", "p"), (2, "a", "p"), (3, "bb", "p")], [(2, 1, 0)])
     got = {(r["filter_order"], r["step"]): (r["kept"], r["removed"], r["redundant"], r["good_lost"], r["shapley"]) for r in audit.filter_audit(docs, labels, filters={"short": F.length("text") < 2, "null": F.lit(None).cast("boolean")}, repeats="twice").collect()}
