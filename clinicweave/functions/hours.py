@@ -154,6 +154,21 @@ def fit_rules(text: Column, most: int = 255) -> Column:
     return let(F.split(text, "; "), of)
 
 
+def fit_hours(value: Column, most: int = 255) -> Column:
+    """Struct (value, note): hours cut to ``most`` characters by whole rules from the end, and what is said of it.
+
+    The note quotes the first 80 characters of what went; where not even the first rule fits nothing is left.
+    """
+
+    def of(x: Column) -> Column:
+        n = F.size(F.split(x["dropped"], "; ")).cast("string")
+        cut = F.concat(F.lit(f"{most}文字を超えたため末尾の規則"), n, F.lit("件を落とした: "), F.substring(x["dropped"], 1, 80))
+        note = F.when(x["dropped"] == "", "").when(x["kept"] == "", f"{most}文字を超え、残せる規則が無いため出力しない").otherwise(cut)
+        return F.struct(x["kept"].alias("value"), note.alias("note"))
+
+    return let(fit_rules(F.trim(F.coalesce(value, F.lit(""))), most), of)
+
+
 def hours_expression(week: Column, unknown_days: Column, nth_weeks: Column, holiday_off: Column, dates: Column, comment: Column) -> Column:
     """The whole expression; later rules override earlier ones.
 

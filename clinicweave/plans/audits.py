@@ -5,10 +5,13 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from clinicweave.functions import hours as H
 from clinicweave.operators import audits as U
 from clinicweave.operators import intervals as I
 from clinicweave.operators import tables as T
+from clinicweave.operators.document import document_lines
 from clinicweave.operators.resolver import recheck_inferred
+from clinicweave.plans.calendars import RULES_SQL, rules_of_orders
 from clinicweave.plans.queries import GRID_SQL, HAVERSINE_SQL, KIND_SQL, POINTS_SQL, SLOTS_SQL, day_grid, points, query, slots
 
 #: Customers and suppliers under names that are spelled differently: legal forms, widths, signs and case. Some names occur twice.
@@ -130,3 +133,44 @@ def unpivot_slots(t):
     k = F.col("c_custkey")
     wide = t("customer").select(k.alias("id"), F.col("c_mktsegment").alias("a:0"), F.col("c_name").alias("a:1"), F.when(k % 2 == 0, "  ").otherwise("x").alias("a:2"), (k % 3).cast("string").alias("b"), F.when(k % 5 > 0, (k % 3).cast("string")).alias("c"))
     return I.unpivot_slots(wide, ["id"], [(0, "a:0", "b"), (1, "a:1", "c"), (2, "a:2", "b")])
+
+
+@query(
+    f"""WITH r AS ({RULES_SQL}), p AS (SELECT id, v, string_split(v, '; ') AS rs FROM r), c AS (SELECT id, v, rs, CASE WHEN length(v) <= 120 THEN len(rs) ELSE list_max([0] || list_filter(range(1, len(rs)), lambda n: length(array_to_string(rs[1:n], '; ')) <= 120)) END AS n FROM p)
+ SELECT id, array_to_string(rs[1:n], '; ') AS value, CASE WHEN n = len(rs) THEN '' WHEN n = 0 THEN '120文字を超え、残せる規則が無いため出力しない' ELSE '120文字を超えたため末尾の規則' || (len(rs) - n) || '件を落とした: ' || substr(array_to_string(rs[n + 1:], '; '), 1, 80) END AS note FROM c"""
+)
+def fitted_hours(t):
+    """Hours of all orders cut to 120 characters by whole rules, with what is said of it."""
+    return rules_of_orders(t).withColumn("f", H.fit_hours(F.col("opening_hours"), 120)).select("id", "f.value", "f.note")
+
+
+#: A part is a code of a family, with a value and a grade; some override it for a flag, which stands for a sector.
+MAPPING_SQL = """SELECT sector, lpad(CAST(p_size % 9 + 1 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_name AS name, CASE WHEN p_size % 7 = 0 THEN p_type || ';' || p_brand ELSE p_type END AS value, ['exact', 'broader', 'none'][p_size % 3 + 1] AS grade, CASE p_size % 5 WHEN 0 THEN '要検討|' || p_brand WHEN 1 THEN 'x' ELSE '' END AS note
+ FROM part, (SELECT unnest(['', 'R']) AS sector) WHERE sector = '' OR p_partkey % 50 = 0"""
+FAMILIES = {f"{i:02d}": f"family {i}" for i in range(1, 9)}
+
+
+@query(
+    f"""WITH m AS ({MAPPING_SQL}), d AS (SELECT * FROM m WHERE sector = ''), n AS (SELECT l_returnflag AS sector, lpad(CAST(p_size % 9 + 1 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, count(DISTINCT l_suppkey) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+ w AS (SELECT d.*, coalesce(a.n, 0) AS a, coalesce(b.n, 0) AS b FROM d LEFT JOIN n a ON a.code = d.code AND a.sector = 'A' LEFT JOIN n b ON b.code = d.code AND b.sector = 'R'),
+ i AS (SELECT code, name, grade, unnest(string_split(value, ';')) AS v FROM d), num AS (SELECT *, CASE WHEN a > 0 THEN format('{{:,}}', a) ELSE '' END AS ta, CASE WHEN b > 0 THEN format('{{:,}}', b) ELSE '' END AS tb FROM w)
+ SELECT 0 AS section, CAST(0 AS BIGINT) AS n, grade AS key, '| `' || grade || '` | ' || count(*) || ' |' AS line FROM d GROUP BY grade
+ UNION ALL SELECT 1, -count(*), v, '| `' || v || '` | ' || coalesce(string_agg(name, '、' ORDER BY code, name) FILTER (grade <> 'broader'), '') || ' | ' || coalesce(string_agg(name, '、' ORDER BY code, name) FILTER (grade = 'broader'), '') || ' |' FROM i GROUP BY v
+ UNION ALL SELECT DISTINCT 2, 0, substr(code, 1, 2), '### ' || substr(code, 1, 2) || ' family ' || CAST(substr(code, 1, 2) AS INTEGER) FROM d WHERE substr(code, 1, 2) < '09'
+ UNION ALL SELECT 2, 0, substr(code, 1, 2) || ' ' || code, '| `' || code || '` | ' || name || ' | `' || value || '` | ' || grade || ' | ' || ta || ' | ' || tb || ' | ' || replace(note, '|', chr(92) || '|') || ' |' FROM num WHERE substr(code, 1, 2) < '09'
+ UNION ALL SELECT 3, 0, sector || ' ' || code, '| returned | `' || code || '` | ' || name || ' | `' || value || '` | ' || grade || ' | ' || replace(note, '|', chr(92) || '|') || ' |' FROM m WHERE sector <> ''
+ UNION ALL SELECT 4, 0, r_name, '| `' || r_name || '` | `WORLD` | ' || r_regionkey || ' |' FROM region
+ UNION ALL SELECT 5, -(a + b), name || ' ' || value || ' ' || note, '| ' || name || ' | `' || value || '` | ' || format('{{:,}}', a + b) || ' | ' || note || ' |' FROM w WHERE grade = 'broader' AND note LIKE '%要検討%'"""
+)
+def mapping_document(t):
+    """The lines of a document of all parts as codes, with the suppliers of two flags as facilities of two sectors."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    code = F.concat(F.lpad((size % 9 + 1).cast("string"), 2, "0"), F.lpad(k.cast("string"), 6, "0")).alias("code")
+    part = t("part")
+    value = F.when(size % 7 == 0, F.concat("p_type", F.lit(";"), "p_brand")).otherwise(F.col("p_type"))
+    note = F.when(size % 5 == 0, F.concat(F.lit("要検討|"), "p_brand")).when(size % 5 == 1, "x").otherwise("")
+    default = part.select(F.lit("").alias("sector"), code, F.col("p_name").alias("name"), value.alias("value"), F.get(F.array(*map(F.lit, ("exact", "broader", "none"))), (size % 3).cast("int")).alias("grade"), note.alias("note"), k.alias("k"))
+    mapping = default.unionByName(default.filter("k % 50 = 0").withColumn("sector", F.lit("R"))).drop("k")
+    counts = t("lineitem").join(part.select("p_partkey", code), F.col("l_partkey") == k).groupBy(F.col("l_returnflag").alias("sector"), "code").agg(F.count_distinct("l_suppkey").alias("n"))
+    rollup = t("region").select(F.col("r_name").alias("value"), F.lit("WORLD").alias("broader"), F.col("r_regionkey").cast("string").alias("note"))
+    return document_lines(mapping, counts, rollup, {"A": "asked", "R": "returned"}, FAMILIES)
