@@ -48,15 +48,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def bounded_batches(docs: DataFrame) -> DataFrame:
-    """``docs``, after the session's Arrow batches are limited to ``BATCH_ROWS`` rows: a worker holds a batch of texts at
-    once, and texts are long. A smaller limit that the session has stays."""
-    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return docs
-
-
 def sized_batches(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     """``df``, after the session's Arrow batches are limited to ``most`` bytes besides their rows. A smaller limit stays."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -65,6 +56,15 @@ def sized_batches(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     return df
 
 
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, after the session's Arrow batches are limited to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes: a worker
+    holds a batch of texts at once, however long they are. Smaller limits that the session has stay."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return sized_batches(docs)
+
+
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
     """Join, with ``small`` (a materialized table) as a broadcast only if its counted rows fit ``BROADCAST_BYTES``.
 

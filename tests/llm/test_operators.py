@@ -66,6 +66,17 @@ def test_a_full_cache_changes_nothing(monkeypatch):
     tokens._CACHES.clear()
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    df = common.bounded_batches(spark.range(60, numPartitions=1).selectExpr("repeat('x', 1000000) AS text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    rows = [r["n"] for r in df.mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 60 and max(rows) <= 40
+
+
 def test_token_files(spark, docs):
     path = vocabulary("word_bpe_49k.json")
     got = tokens.token_output(docs, path, end_id=2).orderBy("start").collect()
