@@ -22,6 +22,9 @@ from clinicweave.llm.common import bounded_batches, scratch
 
 #: Entries that a worker keeps; its older half leaves when it is full, which costs time and changes nothing else.
 CACHE_ENTRIES = 450_000
+#: Characters of the words that a cache keeps, in one of its two generations, and of the longest word that it keeps: texts
+#: without blanks are words of any length.
+CACHE_CHARS, LONGEST_KEPT = 8 << 20, 128
 #: Words that go to the library in one call.
 WORDS_IN_A_CALL = 20_000
 #: Texts are encoded in groups of about so many bytes.
@@ -100,13 +103,20 @@ class _Words(dict):
     def __init__(self, path: str, prefix: str, keep):
         super().__init__()
         self.path, self.prefix, self.keep, self.old = path, prefix, keep, {}
+        self.chars, self.long = 0, []
 
     def learn(self, words: set[str]) -> None:
+        for w in self.long:  # these stay until the next call only
+            del self[w]
+        self.long = [w for w in words if len(w) > LONGEST_KEPT]
         new = words - self.keys()
-        if len(self) + len(new) > CACHE_ENTRIES:
+        added = sum(len(w) for w in new if len(w) <= LONGEST_KEPT)
+        if len(self) + len(new) > CACHE_ENTRIES or self.chars + added > CACHE_CHARS:
             self.old = dict(self)
             self.clear()
             new = words
+            self.chars, added = 0, sum(len(w) for w in new if len(w) <= LONGEST_KEPT)
+        self.chars += added
         known = new & self.old.keys()
         self.update((w, self.old[w]) for w in known)
         rest = list(new - known)

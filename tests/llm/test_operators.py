@@ -59,9 +59,16 @@ def test_words_give_the_counts_of_whole_texts():
 
 
 def test_a_full_cache_changes_nothing(monkeypatch):
+    path = vocabulary("byte_bpe_50k.json")
+    long = ["x1y2" * n for n in range(20, 90, 7)] * 2  # words without a blank, longer than what is kept
+    monkeypatch.setattr(tokens, "CACHE_CHARS", 300)
+    tokens._CACHES.clear()
+    for texts in (long[:5], long, odd_texts(100), long):
+        assert tokens.count_tokens_byte_level(path, texts) == [len(x) for x in tokens._encode(path, texts)]
+        for cache in tokens._CACHES.values():
+            assert sum(len(w) for w in cache if len(w) <= tokens.LONGEST_KEPT) <= 300 + max(sum(map(len, set(texts))), 300)
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 3)
     tokens._CACHES.clear()
-    path = vocabulary("byte_bpe_50k.json")
     assert [tokens.count_tokens_byte_level(path, [t])[0] for t in odd_texts(200)] == [len(x) for x in tokens._encode(path, odd_texts(200))]
     tokens._CACHES.clear()
 
