@@ -16,12 +16,13 @@ from clinicweave.llm.queries import OP8_SQL, ORACLES, QUERIES, vocabulary
 
 def test_operators_equal_their_sql(spark, sf_dir):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{os.path.join(sf_dir, 'documents.parquet')}'")
+    for t in ("documents", "labels", "embeddings"):
+        con.sql(f"create view {t} as select * from '{os.path.join(sf_dir, t)}.parquet'")
     for name, sql in ORACLES.items():
         got, want = QUERIES[name](spark, sf_dir).toPandas(), con.sql(sql).df()
         key = sorted(want.columns)
         assert sorted(got.columns) == key
-        got, want = (df[key].sort_values("doc_id").reset_index(drop=True) for df in (got, want))
+        got, want = (df[key].sort_values([c for c in ("doc_id", "vec_id", "part", "filter_order", "step") if c in key]).reset_index(drop=True) for df in (got, want))
         assert ((got == want) | (got.isna() & want.isna())).all().all(), name
 
 
