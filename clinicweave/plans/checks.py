@@ -8,7 +8,7 @@ from clinicweave.functions import notes as N
 from clinicweave.functions import text as X
 from clinicweave.operators import assembly as A
 from clinicweave.operators import validators as V
-from clinicweave.plans.queries import HAVERSINE_SQL, POINTS_SQL, points, query
+from clinicweave.plans.queries import POINTS_SQL, points, query
 
 # --- V2: lists of values ---------------------------------------------------------------------------------------------
 
