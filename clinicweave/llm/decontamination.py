@@ -1,4 +1,9 @@
-"""Benchmark decontamination: counts of common grams by diagonal, which lose no passage, and exact edit verification."""
+"""Benchmark decontamination: CGK walks over windows of texts, keys of sampled steps, and exact edit verification.
+
+A walk emits a character a step and then stays or goes on, by a random bit of the step and the character. Two walks with
+the same bits that part at an edit soon meet again, so that few edits leave most steps equal: edit distance becomes
+Hamming distance. A key is the characters of some sampled steps; equal keys of a text and an item are a candidate.
+"""
 
 from __future__ import annotations
 
@@ -14,19 +19,22 @@ from clinicweave.llm.tokens import groups
 
 #: An item leaks into a document that holds a passage within this share of its length in edits.
 MAX_EDITS = 0.15
-#: Items of fewer characters after normalization leak only where they stand without an edit between other words:
-#: what is within the edits of so few characters is met by chance.
-LEAST_ITEM = 32
-#: Items of fewer characters are words that any text may hold, and are not searched.
-LEAST_EXACT = 12
-#: Characters of a gram at most, and grams that a passage within the edits keeps of an item at least.
-GRAM, LEAST_KEPT = 10, 4
-#: Characters of texts that are searched at once, and cells of (item, strip of diagonals) that are counted in an array.
-GROUP_CHARS, CELLS = 256 << 10, 16 << 20
+#: Steps of a walk, which pass about half as many characters, steps sampled for a key, and keys sampled from each walk.
+STEPS, KEY_STEPS, KEYS = 48, 16, 8
+#: Walks begin at every so many characters of a text, and at every character of an item.
+STRIDE = 6
+#: Items of fewer characters are too short for walks from several places; they are searched by their segments.
+LEAST_WALKED = 64
+#: Walks are added until this share of edited copies of items is found, or ``MOST_WALKS`` are taken.
+TARGET_RECALL, LEAST_WALKS, MOST_WALKS = 0.98, 2, 12
+#: Items of which edited copies are made on the driver to measure recall.
+MEASURED_ITEMS = 200
+#: Characters of texts that are searched at once, and windows that walk at once.
+GROUP_CHARS, WINDOWS = 256 << 10, 1 << 14
 #: Characters of items that are broadcast at once; more items are searched block by block.
-BLOCK_CHARS = 4 << 20
-
-_MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BLOCK_CHARS = 512 << 10
+#: Characters of a gram of which a passage within the edits has to keep enough before it is verified.
+GRAM = 4
 
 
 def normalize(text: str | None) -> str:
@@ -34,19 +42,44 @@ def normalize(text: str | None) -> str:
     return " ".join((text or "").lower().replace("\0", " ").split())
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+def _classes(text: str) -> np.ndarray:
+    """One of 256 classes of each character."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return ((codes ^ codes >> 8 ^ codes >> 16) & 255).astype(np.uint8)
 
 
-def _grams(codes: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of the gram of ``size`` characters that starts at each position."""
-    n = max(0, len(codes) - size + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(size):
-        out += codes[i : i + n] * _MULTIPLIERS[i]
+def _grams(classes: np.ndarray) -> np.ndarray:
+    """16 bits of a hash of the ``GRAM`` characters that begin at each place; equal grams have equal ones."""
+    n = max(0, len(classes) - GRAM + 1)
+    out = np.zeros(n, np.uint16)
+    for i in range(GRAM):
+        out = out * np.uint16(40_503) + classes[i : i + n]
     return out
 
 
+class Walk:
+    """Random bits of one walk and the steps that its keys sample; equal seeds give equal walks everywhere."""
+
+    def __init__(self, seed: int):
+        random = np.random.default_rng([7, seed])
+        self.moves = random.integers(0, 2, (STEPS, 256)).astype(np.int64)
+        self.hashes = random.integers(0, 2**63, (STEPS, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        sampled = np.array([random.choice(STEPS, KEY_STEPS, replace=False) for _ in range(KEYS)])
+        self.keys_of = [np.flatnonzero((sampled == step).any(axis=1)) for step in range(STEPS)]
+
+    def keys(self, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Keys (one row each) of the walks from each start; ``classes`` has ``STEPS`` more entries than starts can be."""
+        at, out = starts.copy(), np.zeros((KEYS, len(starts)), np.uint64)
+        for step in range(STEPS):
+            here = classes.take(at)
+            if len(self.keys_of[step]):
+                hashed = self.hashes[step].take(here)
+                for key in self.keys_of[step]:
+                    out[key] += hashed
+            at += self.moves[step].take(here)
+        return out
+
+
 def best_match(item: str, text: str) -> tuple[int, int]:
     """(fewest edits between the item and any substring of the text, end of the first such substring).
 
@@ -73,144 +106,174 @@ def best_match(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
-class Items:
-    """Items of one gram size, prepared on the driver: where each gram occurs in them, and the texts to verify against.
+class Index:
+    """Items of at least ``LEAST_WALKED`` characters by the keys of walks from each of their characters.
 
-    An edit touches ``size`` grams at most, so that a passage within ``most`` edits of an item keeps all but
-    ``most * size`` of its grams, at diagonals (place in the text less place in the item) that span ``most`` at most.
-    The most frequent grams of an item are left out and count as lost; the others still have to come ``least`` times in
-    two neighbouring strips of diagonals.
+    Of an item with the same key at several places the first and the last are kept, so that a window meets it once.
     """
 
-    def __init__(self, rows: list[tuple[int, str]], most: list[int], size: int):
-        self.rows, self.size, self.most = rows, size, np.array(most, np.int64)
-        n = np.array([len(t) for _, t in rows], np.int64)
-        self.kept = n - size + 1 - self.most * size
-        self.least = np.minimum(np.maximum(LEAST_KEPT, -(-self.kept // 2)), self.kept)
-        self.item_grams = [_grams(_codes(t), size) for _, t in rows]
-        self.grams, which, counts = np.unique(np.concatenate(self.item_grams), return_inverse=True, return_counts=True)
-        owners, offsets, numbers, at = [], [], [], 0
-        for item, g in enumerate(self.item_grams):
-            mine = which[at : at + len(g)]
-            at += len(g)
-            rare = np.argsort(counts[mine], kind="stable")[: len(g) - int(self.kept[item] - self.least[item])]
-            owners.append(np.full(len(rare), item))
-            offsets.append(rare)
-            numbers.append(mine[rare])
-        owners, offsets, numbers = np.concatenate(owners), np.concatenate(offsets), np.concatenate(numbers)
-        order = np.argsort(numbers, kind="stable")
-        self.owners, self.first = owners[order], np.searchsorted(numbers[order], np.arange(len(self.grams) + 1))
-        self.ahead = int(n.max())  # so that no diagonal is below 0
-        self.turn, self.width = self.ahead - offsets[order] + 0.5, 1.0 / (self.most[self.owners] + 1)
-        # Grams in order of their hashes: the first of each value of the upper bits.
-        self.shift = np.uint64(64 - min(24, max(16, int(len(self.grams)).bit_length() + 3)))
-        self.begin = np.searchsorted(self.grams >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
-        self.deep = int(np.diff(self.begin).max())
-
-    def _hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, number of its gram) of the positions whose gram an item has."""
-        top = (grams >> self.shift).astype(np.int64)
-        start, end = self.begin[top], self.begin[top + 1]
-        at = np.flatnonzero(end > start)
-        start, end, mine = start[at], end[at], grams[at]
+    def __init__(self, items: list[tuple[int, str]], walks: list[Walk]):
+        self.walks, self.tables = walks, []
+        classes = [np.concatenate([_classes(t), np.zeros(STEPS, np.uint8)]) for _, t in items]
+        starts = [np.arange(max(STRIDE, len(t) - STEPS // 2 + 1)) for _, t in items]
+        owner, place = np.repeat(np.arange(len(items)), [len(x) for x in starts]), np.concatenate(starts)
+        for walk in walks:
+            for keys in np.concatenate([walk.keys(c, x) for c, x in zip(classes, starts, strict=True)], axis=1):
+                order = np.lexsort((place, owner, keys))
+                k, o, x = keys[order], owner[order], place[order]
+                first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])]))
+                last = np.concatenate([first[1:], [len(k)]]) - 1
+                shift = np.uint64(64 - max(12, int(len(first)).bit_length() + 3))
+                there = np.zeros(1 << (64 - int(shift)), bool)
+                there[k[first] >> shift] = True
+                self.tables.append((shift, there, k[first], o[first].astype(np.int32), x[first].astype(np.int32), x[last].astype(np.int32)))
+
+    def candidates(self, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rows of (window's start, item, first place, last place) of all equal keys."""
         found = []
-        for k in range(self.deep):
-            same = (start + k < end) & (self.grams[np.minimum(start + k, len(self.grams) - 1)] == mine)
-            found.append(np.stack([at[same], start[same] + k]))
-        found = np.concatenate(found, axis=1)
-        return found[0], found[1]
-
-    def _strips(self, grams: np.ndarray, chars: int) -> tuple[np.ndarray, np.ndarray]:
-        """(item, strip) of which this strip and the next one have as many grams as a passage keeps."""
-        at, gram = self._hits(grams)
-        many = self.first[gram + 1] - self.first[gram]
-        place = np.repeat(self.first[gram] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        owner = self.owners[place]
-        strip = ((np.repeat(at, many) + self.turn[place]) * self.width[place]).astype(np.int64)
-        each = (chars + self.ahead) // (self.most + 1) + 3
-        base = np.cumsum(each) - each
-        cells = int(each.sum())
-        if cells <= CELLS:
-            counts = np.bincount(base[owner] + strip, minlength=cells + 1)
-            some = counts >= max(1, int(self.least.min()) // 2)
-            some[:-1] |= some[1:]
-            cell = np.flatnonzero(some[:-1])
-            both = counts[cell] + counts[cell + 1]
-        else:
-            cell, n = np.unique(base[owner] + strip, return_counts=True)
-            both = n.copy()
-            both[:-1] += np.where(cell[1:] == cell[:-1] + 1, n[1:], 0)
-            alone = np.setdiff1d(cell - 1, cell)  # strips that have grams in the next one only
-            cell, both = np.concatenate([cell, alone]), np.concatenate([both, n[np.searchsorted(cell, alone + 1)]])
-            order = np.argsort(cell)
-            cell, both = cell[order], both[order]
-        item = np.maximum(np.searchsorted(base, cell, "right") - 1, 0)
-        good = both >= self.least[item]
-        return item[good], (cell - base[item])[good]
-
-    def candidates(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, least, greatest) of the places in the text that an item may start at."""
-        codes = _codes("\0".join(texts))
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        last: list[int] | None = None
-        for item, strip in zip(*(x.tolist() for x in self._strips(_grams(codes, self.size), len(codes))), strict=True):
-            most = int(self.most[item])
-            low, high = strip * (most + 1) - self.ahead - most, (strip + 2) * (most + 1) - self.ahead + most
-            for text in range(max(0, int(np.searchsorted(begins, low, "right")) - 1), min(len(texts), int(np.searchsorted(begins, high, "right")))):
-                x, y = max(0, low - int(begins[text])), min(len(texts[text]), high - int(begins[text]))
-                if last and last[:2] == [text, item] and x <= last[3]:
-                    last[3] = max(y, last[3])
-                    continue
-                if last:
-                    yield tuple(last)
-                last = [text, item, x, y]
-        if last:
-            yield tuple(last)
+        for at in range(0, len(starts), WINDOWS):
+            some = starts[at : at + WINDOWS]
+            for w, walk in enumerate(self.walks):
+                for keys, (shift, there, own, *columns) in zip(walk.keys(classes, some), self.tables[w * KEYS : (w + 1) * KEYS], strict=True):
+                    near = np.flatnonzero(there.take((keys >> shift).astype(np.int64)))
+                    low, high = np.searchsorted(own, keys[near], "left"), np.searchsorted(own, keys[near], "right")
+                    n = high - low
+                    if n.any():
+                        row = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                        found.append(np.stack([np.repeat(some[near], n), *(c[row] for c in columns)]))
+        return np.unique(np.concatenate(found, axis=1), axis=1).T if found else np.zeros((0, 4), np.int64)
+
+
+def _edited(text: str, edits: int, random: np.random.Generator, evenly: bool) -> str:
+    """The text after replacements, insertions and deletions at distinct places, random ones or evenly spread ones.
+
+    Evenly spread edits leave the shortest stretches between them, which is hardest for walks.
+    """
+    out = list(text)
+    places = (np.arange(edits) + 0.5) * len(out) // max(1, edits) if evenly else random.choice(len(out), edits, replace=False)
+    for at in sorted(places.astype(np.int64).tolist(), reverse=True):
+        kind, other = random.integers(3), text[random.integers(len(text))]
+        out[at : at + 1] = ["" if kind == 0 else other if kind == 1 else out[at] + other]
+    return "".join(out)
+
+
+def walks_needed(items: list[tuple[int, str]], max_edits: float) -> list[Walk]:
+    """Walks whose keys find ``TARGET_RECALL`` of edited copies of items, with all the edits that count.
+
+    Measured on ``MEASURED_ITEMS`` items spread over all, each with random and with evenly spread edits; copies begin at
+    different distances from a window's start.
+    """
+    some = [items[i] for i in np.unique(np.linspace(0, len(items) - 1, min(MEASURED_ITEMS, len(items))).astype(int))]
+    random, missing = np.random.default_rng(23), []
+    for i, (_, t) in enumerate(some):
+        for evenly in (False, True):
+            edits, begin = int(max_edits * len(t)), int(random.integers(STRIDE))
+            missing.append((i, edits, begin, " " * begin + _edited(t, edits, random, evenly)))
+    copies = len(missing)
+    walks: list[Walk] = []
+    while len(walks) < LEAST_WALKS or (len(missing) > (1 - TARGET_RECALL) * copies and len(walks) < MOST_WALKS):
+        walks.append(Walk(len(walks)))
+        index, left = Index(some, walks[-1:]), []
+        for copy in missing:
+            i, edits, begin, text = copy
+            classes = np.concatenate([_classes(text), np.zeros(STEPS, np.uint8)])
+            x = index.candidates(classes, np.arange(0, len(text), STRIDE))
+            x = x[x[:, 1] == i]
+            if not ((x[:, 0] - x[:, 3] - 2 * edits <= begin) & (begin <= x[:, 0] - x[:, 2] + 2 * edits)).any():
+                left.append(copy)
+        missing = left
+    return walks
+
+
+class Items:
+    """Items of one block, prepared on the driver: the index of the long ones, the segments of the short ones."""
+
+    def __init__(self, rows: list[tuple[int, str]], max_edits: float):
+        rows = [(i, t) for i, t in ((i, normalize(t)) for i, t in rows) if t]
+        self.rows = [r for r in rows if len(r[1]) >= LEAST_WALKED]
+        self.long = len(self.rows)
+        self.index = Index(self.rows, walks_needed(self.rows, max_edits)) if self.rows else None
+        self.rows += [r for r in rows if len(r[1]) < LEAST_WALKED]
+        self.most = [int(max_edits * len(t)) for _, t in self.rows]
+        self.grams = [_grams(_classes(t)) for _, t in self.rows]
+        self.segments = []
+        for item, (_, t) in enumerate(self.rows[self.long :], self.long):
+            cuts = [len(t) * k // (self.most[item] + 1) for k in range(self.most[item] + 2)]
+            self.segments.append((item, [(x, t[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]))
+
+    def places(self, texts: list[str], begins: np.ndarray, classes: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """By (text, item) the (least, greatest) places that a passage may begin at."""
+        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        if self.index:
+            starts = np.concatenate([np.arange(b, b + len(t), STRIDE) for b, t in zip(begins.tolist(), texts, strict=False)])
+            found = self.index.candidates(classes, starts)
+            which = np.searchsorted(begins, found[:, 0], "right") - 1
+            for text, (at, item, first, last) in zip(which.tolist(), found.tolist(), strict=True):
+                at, most = at - int(begins[text]), self.most[item]
+                out.setdefault((text, item), []).append((at - last - 2 * most, at - first + 2 * most))
+        for item, segments in self.segments:
+            for x, segment in segments:
+                for text, body in enumerate(texts):
+                    at = body.find(segment)
+                    while at >= 0:
+                        out.setdefault((text, item), []).append((at - x - self.most[item], at - x + self.most[item]))
+                        at = body.find(segment, at + 1)
+        return out
 
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item id, edits, end) of the best verified passage of each item in each text."""
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for text, item, low, high in self.candidates(texts):
-            wanted, most = self.rows[item][1], int(self.most[item])
-            part = texts[text][low : high + len(wanted) + most]
-            if len(part) < self.size:
-                continue
-            near, own = np.sort(_grams(_codes(part), self.size)), self.item_grams[item]
-            if (near[np.minimum(np.searchsorted(near, own), len(near) - 1)] == own).sum() < self.kept[item]:
-                continue
-            if len(wanted) < LEAST_ITEM:
-                at = f" {texts[text]} ".find(f" {wanted} ", low)
-                edits, end = (0, at - low + len(wanted)) if 0 <= at <= high else (most + 1, 0)
-            else:
-                edits, end = best_match(wanted, part)
-            if edits <= most:
-                best[text, item] = min(best.get((text, item), (edits, low + end)), (edits, low + end))
-        for (text, item), (edits, end) in best.items():
-            yield text, self.rows[item][0], edits, end
-
-
-def prepared(rows: list[tuple[int, str]], max_edits: float) -> list[Items]:
-    """Items by gram size: the largest that leaves ``LEAST_KEPT`` grams of an item, and one for each eight of its characters."""
-    by: dict[int, list[tuple[tuple[int, str], int]]] = {}
-    for i, t in ((i, normalize(t)) for i, t in rows):
-        n = len(t)
-        most = int(max_edits * n) if n >= LEAST_ITEM else 0
-        kept = lambda size: n - size + 1 - most * size  # noqa: B023, E731
-        if n >= LEAST_EXACT:
-            size = next((size for size in range(GRAM, 1, -1) if kept(size) >= max(LEAST_KEPT if most else 1, n // 8)), 1)
-            by.setdefault(size, []).append(((i, t), most))
-    return [Items([r for r, _ in x], [m for _, m in x], size) for size, x in by.items()]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        classes = np.concatenate([_classes("\0".join(texts)), np.zeros(STEPS, np.uint8)])
+        grams = _grams(classes)
+        for (text, item), places in self.places(texts, begins, classes).items():
+            wanted, most, best = self.rows[item][1], self.most[item], None
+            merged: list[list[int]] = []
+            for low, high in sorted(places):
+                low = max(0, low)
+                if merged and low <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], high)
+                else:
+                    merged.append([low, high])
+            kept = len(wanted) - GRAM + 1 - most * GRAM  # an edit touches ``GRAM`` of them at most
+            for low, high in merged:
+                high = min(len(texts[text]), max(0, high + len(wanted) + most))
+                if kept > 0:
+                    there = np.zeros(1 << 16, bool)
+                    there[grams[begins[text] + low : max(begins[text] + low, begins[text] + high - GRAM + 1)]] = True
+                    if there[self.grams[item]].sum() < kept:
+                        continue
+                edits, end = passage(wanted, texts[text], low, high)
+                if edits <= most and (best is None or (edits, end) < best):
+                    best = edits, end
+            if best:
+                yield text, self.rows[item][0], *best
+
+
+def passage(item: str, text: str, low: int, high: int) -> tuple[int, int]:
+    """(edits, end in the text) of the best passage in text[low:high].
+
+    Items too short for walks are passages of whole words: what stands inside a longer word is met by chance.
+    """
+    if len(item) >= LEAST_WALKED:
+        edits, end = best_match(item, text[low:high])
+        return edits, low + end
+    begin, end = text.rfind(" ", 0, low) + 1, text.find(" ", high)
+    part = f" {text[begin : end if end >= 0 else len(text)]} "
+    edits, at = best_match(f" {item} ", part)
+    return edits, min(begin + max(0, at - 2), len(text))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_EDITS) -> DataFrame:
     """(doc_id, item_id, edits, item_chars, end) of every document and item of which it holds a passage.
 
     Texts are compared in lower case with single blanks. A document leaks an item if some passage of it is within
-    ``max_edits`` of the item's length in edits (Levenshtein). Every such passage is found: it keeps so many grams of
-    the item on near diagonals that counting them loses none, and places with that many are verified over the whole
-    item. Items shorter than ``LEAST_ITEM`` have to stand verbatim between other words, and those shorter than
-    ``LEAST_EXACT`` are not searched. Null or empty texts, ids and items leak nothing; equal items are found each;
-    repeated rows have their own rows; texts of any length are searched whole; extra columns are ignored.
+    ``max_edits`` of the item's length in edits (Levenshtein), rounded down. Windows begin at every ``STRIDE`` characters
+    of whole texts and walk as the item does from each of its characters; equal keys are verified over the whole item.
+    As many walks are taken as find ``TARGET_RECALL`` of edited copies of the items. Items shorter than ``LEAST_WALKED``
+    are passages of whole words: with a blank on each side, which counts as a character of theirs, they are found
+    exactly, by the segments of which one stays without an edit. What is returned is right whatever the keys find.
+    Null or empty texts, ids and items leak nothing; equal items are found each; repeated rows have their own rows;
+    texts of any length are searched whole; extra columns are ignored.
 
     One narrow pass over the documents for each block of ``BLOCK_CHARS`` characters of items, which is what a task
     gets as a broadcast, a block at a time; nothing is shuffled.
@@ -223,15 +286,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, max_edits: float = MAX_
 
     def search(block: int) -> tuple[DataFrame, object]:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast(prepared([(r["item_id"], r["text"]) for r in part], max_edits))
+        shared = spark.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in part], max_edits))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            chars = {i: len(t) for items in shared.value for i, t in items.rows}
+            items = shared.value
+            chars = {i: len(t) for i, t in items.rows}
             for batch in batches:
                 at, ids = 0, batch.column("doc_id").to_pylist()
                 for group in groups(batch.column("text"), GROUP_CHARS):
                     texts = [normalize(t) for t in group]
-                    found = [(ids[at + t], i, e, chars[i], end) for items in shared.value for t, i, e, end in items.leaks(texts)]
+                    found = [(ids[at + t], i, e, chars[i], end) for t, i, e, end in items.leaks(texts)]
                     at += len(group)
                     if found:
                         cols = zip(*found, strict=True)
