@@ -20,7 +20,10 @@ from clinicweave.llm.tokens import groups
 #: An item leaks into a document that holds a passage within this share of its length in edits.
 MAX_EDITS = 0.15
 #: Steps of a walk, which pass about half as many characters, steps sampled for a key, and keys sampled from each walk.
+#: Steps are taken and sampled two at a time.
 STEPS, KEY_STEPS, KEYS = 48, 16, 8
+#: Bits of a character's class.
+BITS = 6
 #: Walks begin at every so many characters of a text, and at every character of an item.
 STRIDE = 6
 #: Items of fewer characters are too short for walks from several places; they are searched by their segments.
@@ -33,8 +36,8 @@ MEASURED_ITEMS = 200
 GROUP_CHARS, WINDOWS = 256 << 10, 1 << 14
 #: Characters of items that are broadcast at once; more items are searched block by block.
 BLOCK_CHARS = 512 << 10
-#: Characters of a gram of which a passage within the edits has to keep enough before it is verified.
-GRAM = 4
+#: Characters of the grams of which a passage within the edits has to keep enough before it is verified.
+GRAMS = (4, 5, 6)
 
 
 def normalize(text: str | None) -> str:
@@ -43,40 +46,60 @@ def normalize(text: str | None) -> str:
 
 
 def _classes(text: str) -> np.ndarray:
-    """One of 256 classes of each character."""
+    """One of ``1 << BITS`` classes of each character; those of a-z, blanks, digits and ASCII signs are distinct."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    return ((codes ^ codes >> 8 ^ codes >> 16) & 255).astype(np.uint8)
+    return ((codes ^ codes >> 1 & 32 ^ codes >> 7 ^ codes >> 13) & ((1 << BITS) - 1)).astype(np.uint8)
 
 
-def _grams(classes: np.ndarray) -> np.ndarray:
-    """16 bits of a hash of the ``GRAM`` characters that begin at each place; equal grams have equal ones."""
-    n = max(0, len(classes) - GRAM + 1)
-    out = np.zeros(n, np.uint16)
-    for i in range(GRAM):
-        out = out * np.uint16(40_503) + classes[i : i + n]
+def _pairs(classes: np.ndarray) -> np.ndarray:
+    """Number of the two classes at each place but the last, by which two steps are looked up."""
+    out = classes[:-1].astype(np.int64)
+    out <<= BITS
+    out |= classes[1:]
+    return out
+
+
+def _grams(classes: np.ndarray) -> list[np.ndarray]:
+    """For each length of ``GRAMS`` 16 bits of a hash of the grams that begin at each place; equal grams have equal ones."""
+    out, hashed = [], np.zeros(len(classes), np.uint32)
+    for i in range(GRAMS[-1]):
+        n = max(0, len(classes) - i)
+        hashed = hashed[:n] * np.uint32(0x9E3779B1) + classes[i:]
+        if i + 1 in GRAMS:
+            out.append((hashed * np.uint32(0x85EBCA6B) >> np.uint32(16)).astype(np.int64))
     return out
 
 
 class Walk:
-    """Random bits of one walk and the steps that its keys sample; equal seeds give equal walks everywhere."""
+    """Random bits of one walk and the steps that its keys sample; equal seeds give equal walks everywhere.
+
+    Two steps are one look-up: by the classes of a place and the next, the hashes of the characters that both steps emit,
+    summed, with the places that both go on in the lowest two bits.
+    """
 
     def __init__(self, seed: int):
         random = np.random.default_rng([7, seed])
-        self.moves = random.integers(0, 2, (STEPS, 256)).astype(np.int64)
-        self.hashes = random.integers(0, 2**63, (STEPS, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        sampled = np.array([random.choice(STEPS, KEY_STEPS, replace=False) for _ in range(KEYS)])
-        self.keys_of = [np.flatnonzero((sampled == step).any(axis=1)) for step in range(STEPS)]
-
-    def keys(self, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Keys (one row each) of the walks from each start; ``classes`` has ``STEPS`` more entries than starts can be."""
+        moves = random.integers(0, 2, (STEPS, 1 << BITS)).astype(np.uint64)
+        hashes = random.integers(0, 2**62, (STEPS, 1 << BITS), dtype=np.uint64) * np.uint64(4)
+        first, second = np.arange(1 << 2 * BITS) >> BITS, np.arange(1 << 2 * BITS) & ((1 << BITS) - 1)
+        self.steps = []
+        for step in range(0, STEPS, 2):
+            then = np.where(moves[step][first] == 1, second, first)
+            self.steps.append(hashes[step][first] + hashes[step + 1][then] + moves[step][first] + moves[step + 1][then])
+        sampled = np.array([random.choice(STEPS // 2, KEY_STEPS // 2, replace=False) for _ in range(KEYS)])
+        self.keys_of = [np.flatnonzero((sampled == step).any(axis=1)) for step in range(STEPS // 2)]
+
+    def keys(self, pairs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Keys (one row each) of the walks from each start; ``pairs`` has ``STEPS`` more entries than starts can be.
+
+        All places are within their arrays; "clip" only spares numpy's slower check of them.
+        """
         at, out = starts.copy(), np.zeros((KEYS, len(starts)), np.uint64)
-        for step in range(STEPS):
-            here = classes.take(at)
-            if len(self.keys_of[step]):
-                hashed = self.hashes[step].take(here)
-                for key in self.keys_of[step]:
-                    out[key] += hashed
-            at += self.moves[step].take(here)
+        for steps, keys in zip(self.steps, self.keys_of, strict=True):
+            emitted = steps.take(pairs.take(at, mode="clip"), mode="clip")
+            for key in keys:
+                out[key] += emitted
+            at += (emitted & np.uint64(3)).view(np.int64)
         return out
 
 
@@ -114,28 +137,38 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], walks: list[Walk]):
         self.walks, self.tables = walks, []
-        classes = [np.concatenate([_classes(t), np.zeros(STEPS, np.uint8)]) for _, t in items]
+        pairs = [_pairs(np.concatenate([_classes(t), np.zeros(STEPS + 1, np.uint8)])) for _, t in items]
         starts = [np.arange(max(STRIDE, len(t) - STEPS // 2 + 1)) for _, t in items]
         owner, place = np.repeat(np.arange(len(items)), [len(x) for x in starts]), np.concatenate(starts)
         for walk in walks:
-            for keys in np.concatenate([walk.keys(c, x) for c, x in zip(classes, starts, strict=True)], axis=1):
+            for keys in np.concatenate([walk.keys(p, x) for p, x in zip(pairs, starts, strict=True)], axis=1):
                 order = np.lexsort((place, owner, keys))
                 k, o, x = keys[order], owner[order], place[order]
                 first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])]))
                 last = np.concatenate([first[1:], [len(k)]]) - 1
                 shift = np.uint64(64 - max(12, int(len(first)).bit_length() + 3))
-                there = np.zeros(1 << (64 - int(shift)), bool)
-                there[k[first] >> shift] = True
+                there = np.zeros((2, 1 << (64 - int(shift))), bool)
+                for bits, held in zip(self._bits(k[first], shift), there, strict=True):
+                    held[bits] = True
                 self.tables.append((shift, there, k[first], o[first].astype(np.int32), x[first].astype(np.int32), x[last].astype(np.int32)))
 
-    def candidates(self, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Rows of (window's start, item, first place, last place) of all equal keys."""
+    @staticmethod
+    def _bits(keys: np.ndarray, shift: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """The highest bits of each key and as many lower ones."""
+        return (keys >> shift).view(np.int64), (keys << (np.uint64(64) - shift) >> shift).view(np.int64)
+
+    def candidates(self, pairs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rows of (window's start, item, first place, last place) of all equal keys.
+
+        Few windows pass both tables of bits, and only those are searched for among the keys.
+        """
         found = []
         for at in range(0, len(starts), WINDOWS):
             some = starts[at : at + WINDOWS]
             for w, walk in enumerate(self.walks):
-                for keys, (shift, there, own, *columns) in zip(walk.keys(classes, some), self.tables[w * KEYS : (w + 1) * KEYS], strict=True):
-                    near = np.flatnonzero(there.take((keys >> shift).astype(np.int64)))
+                for keys, (shift, there, own, *columns) in zip(walk.keys(pairs, some), self.tables[w * KEYS : (w + 1) * KEYS], strict=True):
+                    near = np.flatnonzero(there[0].take((keys >> shift).view(np.int64), mode="clip"))
+                    near = near[there[1].take(self._bits(keys[near], shift)[1], mode="clip")]
                     low, high = np.searchsorted(own, keys[near], "left"), np.searchsorted(own, keys[near], "right")
                     n = high - low
                     if n.any():
@@ -176,8 +209,7 @@ def walks_needed(items: list[tuple[int, str]], max_edits: float) -> list[Walk]:
         index, left = Index(some, walks[-1:]), []
         for copy in missing:
             i, edits, begin, text = copy
-            classes = np.concatenate([_classes(text), np.zeros(STEPS, np.uint8)])
-            x = index.candidates(classes, np.arange(0, len(text), STRIDE))
+            x = index.candidates(_pairs(np.concatenate([_classes(text), np.zeros(STEPS + 1, np.uint8)])), np.arange(0, len(text), STRIDE))
             x = x[x[:, 1] == i]
             if not ((x[:, 0] - x[:, 3] - 2 * edits <= begin) & (begin <= x[:, 0] - x[:, 2] + 2 * edits)).any():
                 left.append(copy)
@@ -206,7 +238,7 @@ class Items:
         out: dict[tuple[int, int], list[tuple[int, int]]] = {}
         if self.index:
             starts = np.concatenate([np.arange(b, b + len(t), STRIDE) for b, t in zip(begins.tolist(), texts, strict=False)])
-            found = self.index.candidates(classes, starts)
+            found = self.index.candidates(_pairs(classes), starts)
             which = np.searchsorted(begins, found[:, 0], "right") - 1
             for text, (at, item, first, last) in zip(which.tolist(), found.tolist(), strict=True):
                 at, most = at - int(begins[text]), self.most[item]
@@ -220,13 +252,26 @@ class Items:
                         at = body.find(segment, at + 1)
         return out
 
+    def keeps(self, item: int, k: int, grams: np.ndarray, there: np.ndarray) -> bool:
+        """Among the grams of a part of a text are enough of the item's: an edit touches as many as a gram has characters.
+
+        ``there`` is all false, before and after.
+        """
+        kept = len(self.rows[item][1]) - GRAMS[k] + 1 - self.most[item] * GRAMS[k]
+        if kept <= 0:
+            return True
+        there[grams] = True
+        n = np.count_nonzero(there.take(self.grams[item][k], mode="clip"))
+        there[grams] = False
+        return n >= kept
+
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item id, edits, end) of the best verified passage of each item in each text."""
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        classes = np.concatenate([_classes("\0".join(texts)), np.zeros(STEPS, np.uint8)])
-        grams = _grams(classes)
+        classes = np.concatenate([_classes("\0".join(texts)), np.zeros(STEPS + 1, np.uint8)])
+        grams, there = _grams(classes), np.zeros(1 << 16, bool)
         for (text, item), places in self.places(texts, begins, classes).items():
-            wanted, most, best = self.rows[item][1], self.most[item], None
+            wanted, most, best, begin = self.rows[item][1], self.most[item], None, int(begins[text])
             merged: list[list[int]] = []
             for low, high in sorted(places):
                 low = max(0, low)
@@ -234,14 +279,10 @@ class Items:
                     merged[-1][1] = max(merged[-1][1], high)
                 else:
                     merged.append([low, high])
-            kept = len(wanted) - GRAM + 1 - most * GRAM  # an edit touches ``GRAM`` of them at most
             for low, high in merged:
                 high = min(len(texts[text]), max(0, high + len(wanted) + most))
-                if kept > 0:
-                    there = np.zeros(1 << 16, bool)
-                    there[grams[begins[text] + low : max(begins[text] + low, begins[text] + high - GRAM + 1)]] = True
-                    if there[self.grams[item]].sum() < kept:
-                        continue
+                if not all(self.keeps(item, k, grams[k][begin + low : max(begin + low, begin + high - n + 1)], there) for k, n in enumerate(GRAMS)):
+                    continue
                 edits, end = passage(wanted, texts[text], low, high)
                 if edits <= most and (best is None or (edits, end) < best):
                     best = edits, end

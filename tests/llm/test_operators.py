@@ -604,6 +604,15 @@ def test_leaks_in_runs_and_in_any_grouping():
     assert whole == sorted((t, *x[1:]) for t, one in enumerate(texts) for x in items.leaks([one]))
 
 
+def test_few_passages_are_verified_in_vain(spark, docs, sf_dir, monkeypatch):
+    verified, one = [], decontamination.passage
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    texts = [decontamination.normalize(r["text"]) for r in docs.select("text").collect()]
+    monkeypatch.setattr(decontamination, "passage", lambda *x: verified.append(x) or one(*x))
+    leaks = list(decontamination.Items(items, 0.15).leaks(texts))
+    assert 0 < len(leaks) and len(verified) <= 3 * len(leaks)
+
+
 def test_walks_follow_the_edits_that_count():
     rng = random.Random(9)
     items = [(i, decontamination.normalize("".join(rng.choice("abcdefghij  ") for _ in range(90)))) for i in range(60)]
