@@ -77,6 +77,14 @@ def test_known_towns(spark):
     assert longer(spark, [a[:-1] for a in ADDRESSES], []) == [""] * len(ADDRESSES)
 
 
+def test_joins_of_towns_carry_no_addresses(spark):
+    t = spark.createDataFrame([(*r, i) for i, r in enumerate(TOWNS)], "pref string, city string, part string, name string, at int")
+    rows = spark.createDataFrame([(i, *a[:-1]) for i, a in enumerate(ADDRESSES)], "id int, pref string, city string, address string, town string, rest string, evidence string")
+    plan = towns.with_longer_towns(rows, t).select("id", "longer_town")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 4 and not any("address" in line for line in joins)
+
+
 def test_folding(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice("〇一二三九十百千字大町ヶケ－ー３5a") for _ in range(rng.randint(0, 9))) for _ in range(400)] + ["大字大槻町字天正坦", "茅ヶ崎", "二三", "千九百八十四番", "〇〇", ""]
