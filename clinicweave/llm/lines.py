@@ -60,47 +60,73 @@ def _some_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return one.select(F.xxhash64("x.line").alias("h1"), F.xxhash64(F.reverse("x.line")).alias("h2"), F.col("x.line").alias("line"), place.alias("first"))
 
 
-def _common(a: Column, i: Column, b: Column, j: Column) -> Column:
-    """Length of the common prefix of ``a`` from character ``i`` and ``b`` from ``j``, by halving steps."""
-    most = F.greatest(F.least(F.length(a) - i, F.length(b) - j), F.lit(0))
-    steps = F.transform(F.sequence(F.ceil(F.log2(most + 1)).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
-    same = lambda n, step: (n + step <= most) & (F.substring(a, i + n + 1, step) == F.substring(b, j + n + 1, step))
-    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(same(n, step), n + step).otherwise(n))
+def _common(t: Column, i: Column, j: Column) -> Column:
+    """Length of the common prefix of ``t.a`` from character ``i`` and ``t.b`` from ``j``, by halving steps.
+
+    ``t`` also has the lengths of both, so that nothing is counted or reversed again at every step.
+    """
+
+    def of(most: Column) -> Column:
+        steps = F.transform(F.sequence(F.ceil(F.log2(most + 1)).cast("int"), F.lit(0)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+        same = lambda n, step: (n + step <= most) & (F.substring(t["a"], i + n + 1, step) == F.substring(t["b"], j + n + 1, step))
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(same(n, step), n + step).otherwise(n))
+
+    return let(F.greatest(F.least(t["la"] - i, t["lb"] - j), F.lit(0)), of)
 
 
 def _reach(a: Column, b: Column, edits: int) -> Column:
     """Struct of the common prefix of ``a`` and ``b`` and of the longest prefix of ``b`` that is within ``edits`` edits
     of some prefix of ``a``: the furthest points of the diagonals, an edit at a time."""
-    spot = lambda i, j: let(F.struct(F.least(i, F.length(a)).alias("i"), F.least(j, F.length(b)).alias("j")), lambda s: let(_common(a, s["i"], b, s["j"]), lambda n: F.struct((s["i"] + n).alias("i"), (s["j"] + n).alias("j"))))
-    spots = F.array(spot(F.lit(0), F.lit(0)))
-    for _ in range(edits):
-        spots = F.flatten(F.transform(spots, lambda s: F.array(spot(s["i"] + 1, s["j"] + 1), spot(s["i"] + 1, s["j"]), spot(s["i"], s["j"] + 1))))
-    return F.struct(_common(a, F.lit(0), b, F.lit(0)).alias("same"), F.array_max(F.transform(spots, lambda s: s["j"])).alias("far"))
 
+    def of(t: Column) -> Column:
+        follow = lambda s: let(_common(t, s["i"], s["j"]), lambda n: F.struct((s["i"] + n).alias("i"), (s["j"] + n).alias("j")))
+        spot = lambda i, j: let(F.struct(F.least(i, t["la"]).alias("i"), F.least(j, t["lb"]).alias("j")), follow)
+
+        def after(spots: Column, n: int) -> Column:
+            if n == 0:
+                return F.array_max(F.transform(spots, lambda s: s["j"]))
+            return let(F.array_distinct(F.flatten(F.transform(spots, lambda s: F.array(spot(s["i"] + 1, s["j"] + 1), spot(s["i"] + 1, s["j"]), spot(s["i"], s["j"] + 1))))), lambda x: after(x, n - 1))
+
+        return let(spot(F.lit(0), F.lit(0)), lambda s: F.struct(s["i"].alias("same"), after(F.array(s), edits).alias("far")))
 
-def _deviating(big: DataFrame, edits: int) -> DataFrame:
-    """Pairs (h1, h2, g1, g2) of frequent keys that may be similar, g the earlier line; of rows (key, h1, h2, probe,
-    first, done, line, hub), hub being the text of the key's earliest line.
+    return let(F.struct(a.alias("a"), b.alias("b"), F.length(a).alias("la"), F.length(b).alias("lb")), of)
+
+
+def _signature(line: Column) -> Column:
+    """64 bits: each is the parity of the number of character pairs in a class. An edit changes four of them at most."""
+    pairs = lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), lambda c, d: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(c, d), F.lit(64))))
+    return F.aggregate(let(F.split(line, ""), pairs), F.lit(0).cast("long"), lambda bits, bit: bits.bitwiseXOR(bit))
+
+
+def _deviating(big: DataFrame, texts, edits: int) -> DataFrame:
+    """Pairs (h1, h2, g1, g2) of frequent keys that may be similar, g the earlier line; of rows (key, h1, h2, g1, g2,
+    probe, first, done), g being the key's earliest line, the hub, and ``texts(a, b, name)`` the texts by their hashes.
 
     A line x leaves the hub r after ``left`` characters and comes back to it for good at ``right``. With all edits spent
     it follows r up to ``far`` from the left, and from ``near`` on seen from the right. If y is similar to x, y's part
     before its own ``left`` is r's, so that x follows it: left(y) <= far(x), and all of that the other way round and
     from the right. So intervals [left, far] of two lines that are not similar to r meet, and an earlier y that is
     similar to r has [left, right] around far(x) or in touch with [near(x), far(x)]. Blocks of places make keys of it.
+    Lines that deviate in the same places still have to agree in their signatures but for the bits that the edits change.
+
+    A line is held against a hub once, however many keys they share.
     """
     size = F.length("hub")
-    rows = big.select("*", _reach(F.col("line"), F.col("hub"), edits).alias("a"), _reach(F.reverse("line"), F.reverse("hub"), edits).alias("z"))
-    rows = rows.select("key", "h1", "h2", "probe", "first", "done", F.col("a.same").alias("left"), F.col("a.far").alias("far"), (size - F.col("z.same")).alias("right"), (size - F.col("z.far")).alias("near"))
-    rows = materialize(rows, "line-deviations")
+    both = materialize(big.select("h1", "h2", "g1", "g2").distinct(), "lines-and-hubs").join(texts("h1", "h2", "line"), ["h1", "h2"]).join(texts("g1", "g2", "hub"), ["g1", "g2"])
+    both = both.select("h1", "h2", "g1", "g2", size.alias("size"), _signature(F.col("line")).alias("bits"), _reach(F.col("line"), F.col("hub"), edits).alias("a"), _reach(F.reverse("line"), F.reverse("hub"), edits).alias("z"))
+    both = materialize(both, "line-deviations")
+    both = both.select("h1", "h2", "g1", "g2", "bits", F.col("a.same").alias("left"), F.col("a.far").alias("far"), (F.col("size") - F.col("z.same")).alias("right"), (F.col("size") - F.col("z.far")).alias("near"))
+    rows = materialize(join_bounded(big, both, ["h1", "h2", "g1", "g2"], "inner", 64), "deviating-lines")
     blocks = lambda x, y: F.explode(F.sequence(F.floor(x / PLACES), F.floor(F.greatest(x, y) / PLACES))).alias("block")
     left, far, right, near = (F.col(c) for c in ("left", "far", "right", "near"))
-    sides = ("key", "h1", "h2", "probe", "first", "left", "far", "right", "near")
+    sides = ("key", "h1", "h2", "probe", "first", "bits", "left", "far", "right", "near")
     found = None
     for like_hub, own, its in ((False, (left, far), (left, far)), (True, (F.least(near, far), far), (left, right))):
         x = rows.filter("not done").select(*sides, blocks(*own))
         y = rows.filter(F.col("done") == like_hub).select("key", *[F.col(c).alias(f"y_{c}") for c in sides[1:]], blocks(*its))
         meet = (F.col("y_first") < F.col("first")) & (F.col("y_probe") != F.col("probe")) & (F.col("y_left") <= far) & (left <= F.col("y_far")) & (F.col("y_right") >= near) & (right >= F.col("y_near"))
-        pairs = x.join(y, ["key", "block"]).filter(meet).select("h1", "h2", F.col("y_h1").alias("g1"), F.col("y_h2").alias("g2"))
+        alike = F.bit_count(F.col("bits").bitwiseXOR(F.col("y_bits"))) <= 4 * edits
+        pairs = x.join(y, ["key", "block"]).filter(meet & alike).select("h1", "h2", F.col("y_h1").alias("g1"), F.col("y_h2").alias("g2"))
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
 
@@ -148,8 +174,7 @@ def near_earlier(rows: DataFrame, distinct: DataFrame, edits: int, least: int) -
     pairs = pairs.select("h1", "h2", "g1", "g2")
     big = marked.filter(F.col("n") > FREQUENT)
     if not big.isEmpty():
-        with_texts = big.join(of("h1", "h2", "line"), ["h1", "h2"]).join(of("g1", "g2", "hub"), ["g1", "g2"])
-        pairs = pairs.unionByName(_deviating(with_texts.drop("g1", "g2", "n"), edits))
+        pairs = pairs.unionByName(_deviating(big.drop("n"), of, edits))
     return near.unionByName(verified(pairs.distinct(), "near-others")).distinct()
 
 

@@ -240,6 +240,21 @@ def test_similar_lines(spark, docs, monkeypatch, edits, frequent, broadcast):
     assert lines.line_dedup(docs, edits=edits).count() == docs.count() and lines.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_signatures_bound_the_edits(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(300):
+        x = "".join(rng.choice("abcd 漢😀") for _ in range(rng.randint(1, 40)))
+        y = list(x)
+        for _ in range(2):
+            p = rng.randrange(len(y) + 1)
+            y[p : p + rng.randint(0, 1)] = rng.choice(["", "a", "z", "😀"])
+        rows.append((x, "".join(y) or "a", "".join(rng.choice("efgh") for _ in range(60))))
+    bits = lambda a, b: F.bit_count(lines._signature(F.col(a)).bitwiseXOR(lines._signature(F.col(b))))
+    got = spark.createDataFrame(rows, "x string, y string, z string").select(bits("x", "y").alias("near"), bits("x", "z").alias("far")).collect()
+    assert max(r["near"] for r in got) <= 8 < sum(r["far"] for r in got) / len(got)
+
+
 def test_lines_of_a_large_group_of_near_copies(spark):
     rng = random.Random(17)
     base = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(40))
